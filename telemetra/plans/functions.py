@@ -145,7 +145,7 @@ def time_format_parse(spark, sf_dir):
   FROM ({_EVENTS_SQL}))
 SELECT event_id, coalesce(a < b, false) AS is_before, coalesce(a > b, false) AS is_after,
        coalesce((epoch_us(a) - epoch_us(b)) // 1000000, 0) AS minus_seconds,
-       abs(k * 777 - 30000) // 1000 AS gap_seconds,
+       CAST(abs(k * 777 - 30000) // 1000 AS BIGINT) AS gap_seconds,
        ms // 1000 AS now_s
 FROM t""",
 )

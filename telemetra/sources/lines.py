@@ -61,76 +61,72 @@ def filter_gps_lines(lines: DataFrame) -> DataFrame:
     return lines.where(is_gps_line(F.col("value")))
 
 
-def _decoded(lines: DataFrame) -> DataFrame:
-    """Line, terminal and the array of point texts; trailing empty points do not count."""
+def _envelopes(lines: DataFrame) -> DataFrame:
     body = F.split_part(F.col("value"), F.lit(ENVELOPE_SEPARATOR), F.lit(2))
-    envelope = F.from_json(body, ENVELOPE)
-    payload = F.try_to_binary(F.col("envelope.message"), F.lit("base64")).cast("string")
-    points = F.split(F.rtrim(payload, F.lit(POINT_SEPARATOR)), POINT_SEPARATOR)
-    return (
-        filter_gps_lines(lines)
-        .withColumn("envelope", envelope)
-        .select(
-            "value",
-            F.col("envelope.terminalId").alias("terminal_id"),
-            points.alias("points"),
-        )
-    )
+    return filter_gps_lines(lines).select("value", F.from_json(body, ENVELOPE).alias("envelope"))
 
 
-def _point_columns(point: Column) -> list[Column]:
+def _typed_point(fields: Column, terminal_id: Column) -> Column:
     """Fields 0, 3, 6 and 9 of a point: time, speed, satellite count, online flag."""
-    fields = F.split(point, FIELD_SEPARATOR)
 
     def field(i: int) -> Column:
         return F.trim(F.get(fields, F.lit(i)))
 
-    return [
+    return F.struct(
+        terminal_id.alias("terminal_id"),
         field(0).alias("raw_time"),
-        timekeys.parse_point_time(field(0)).alias("ts"),
+        timekeys.parse_point_time(F.get(fields, F.lit(0))).alias("ts"),
         field(3).try_cast("double").alias("speed"),
         field(6).try_cast("int").alias("satellite_num"),
         field(9).try_cast("int").alias("online_status"),
-    ]
+        fields.alias("fields"),
+    )
 
 
-def _parsed(lines: DataFrame, point: Column) -> DataFrame:
-    return (
-        _decoded(lines)
-        .select("value", "terminal_id", point.alias("point"))
-        .select("value", "terminal_id", "point", *_point_columns(F.col("point")))
-    )
+def _points(lines: DataFrame, first_only: bool = False) -> DataFrame:
+    """Raw line and its points as typed structs; trailing empty points do not count.
+
+    Points are typed inside the array, before it is exploded: a filter on a parsed field then
+    stays above the explode and no line is decoded a second time to evaluate it.
+    """
+    message, terminal_id = F.col("envelope.message"), F.col("envelope.terminalId")
+    payload = F.try_to_binary(message, F.lit("base64")).cast("string")
+    texts = F.split(F.rtrim(payload, F.lit(POINT_SEPARATOR)), POINT_SEPARATOR)
+    if first_only:
+        texts = F.slice(texts, 1, 1)
+    fields = F.transform(texts, lambda point: F.split(point, FIELD_SEPARATOR))
+    typed = F.transform(fields, lambda f: _typed_point(f, terminal_id))
+    return _envelopes(lines).select("value", F.explode_outer(typed).alias("p"))
 
 
 def _is_whole() -> Column:
-    columns = ["terminal_id", "ts", "speed", "satellite_num", "online_status"]
-    whole = F.col(columns[0]).isNotNull()
-    for name in columns[1:]:
-        whole = whole & F.col(name).isNotNull()
+    whole = F.col("p").isNotNull()
+    for name in ("terminal_id", "ts", "speed", "satellite_num", "online_status"):
+        whole = whole & F.col(f"p.{name}").isNotNull()
     return whole
 
 
 POINT_COLUMNS = ["terminal_id", "raw_time", "ts", "speed", "satellite_num", "online_status"]
 
 
+def _whole_points(lines: DataFrame, first_only: bool) -> DataFrame:
+    return _points(lines, first_only).where(_is_whole()).select(*[f"p.{name}" for name in POINT_COLUMNS])
+
+
 def parse_gps_lines(lines: DataFrame) -> DataFrame:
     """One row per point of every GPS message; lines or points that do not parse are left out
     here and come back from :func:`gps_rejects`."""
-    return _parsed(lines, F.explode("points")).where(_is_whole()).select(*POINT_COLUMNS)
+    return _whole_points(lines, first_only=False)
 
 
 def parse_gps_first_points(lines: DataFrame) -> DataFrame:
     """Only the first point of each message."""
-    return _parsed(lines, F.get("points", F.lit(0))).where(_is_whole()).select(*POINT_COLUMNS)
+    return _whole_points(lines, first_only=True)
 
 
 def gps_rejects(lines: DataFrame) -> DataFrame:
     """GPS lines or single points that could not be read, with the point text if there is one."""
-    return (
-        _parsed(lines, F.explode_outer("points"))
-        .where(~_is_whole())
-        .select("value", "terminal_id", "point")
-    )
+    return _points(lines).where(~_is_whole()).select("value", F.array_join("p.fields", FIELD_SEPARATOR).alias("point"))
 
 
 # ---- connection log ----------------------------------------------------------------------
