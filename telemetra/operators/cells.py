@@ -1,7 +1,8 @@
 """The metric store as a cell table: ``(row_key, qualifier, value, write_ts)``, last write wins.
 
 Writes append; reads take the newest write of each cell with a partial aggregation. The table is
-partitioned by day, so a key or period test prunes folders before it filters rows.
+partitioned by day and its files are sorted by key: a point read visits one folder and, through
+the row-group statistics, few pages of it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,11 @@ def row_key(terminal_id: Column, time_id: Column) -> Column:
     return F.concat_ws("_", terminal_id, time_id)
 
 
+def day_of_key(key: Column) -> Column:
+    """The day folder a ``terminal_time`` row key is stored in."""
+    return timekeys.parent_key(F.substring_index(key, "_", -1), DAY_KEY)
+
+
 def cells_of_metrics(metrics: DataFrame, write_ts: Column) -> DataFrame:
     """Long metric rows as cells, with their day for partitioning."""
     return metrics.select(
@@ -61,9 +67,10 @@ def metric_text_cells(wide: DataFrame, names: dict[str, str], write_ts: Column)
 
 
 def append_cells(cells: DataFrame, path: str) -> None:
-    """Add writes to a table. Rows are balanced by day first: small days share a file and a
-    huge day is split over several tasks."""
-    cells.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(path)
+    """Add writes to a table. Rows are balanced by day first: a day's rows meet in few files,
+    and a huge day is split over several tasks."""
+    balanced = cells.hint("rebalance", "day").sortWithinPartitions("day", "row_key")
+    balanced.write.mode("append").partitionBy("day").parquet(path)
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
@@ -86,7 +93,7 @@ def delete_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
     return cells.join(keys.select("row_key").distinct(), "row_key", "left_anti")
 
 
-def delete_row(cells: DataFrame, key: str) -> DataFrame:
+def delete_one_row(cells: DataFrame, key: str) -> DataFrame:
     return cells.where(F.col("row_key") != key)
 
 
@@ -114,14 +121,20 @@ def first_row(cells: DataFrame, condition: Column | None = None) -> DataFrame:
 
 
 def get_row(cells: DataFrame, key: str) -> DataFrame:
-    return cells.where(F.col("row_key") == key)
+    """All cells of one row key of a stored table."""
+    return cells.where((F.col("day") == day_of_key(F.lit(key))) & (F.col("row_key") == key))
 
 
 def get_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of the given keys. A null key is an error. Which side is broadcast, if any, is left
-    to the size statistics."""
-    checked = F.when(F.col("row_key").isNull(), F.raise_error(F.lit("row key must not be null"))).otherwise(F.col("row_key"))
-    return cells.join(keys.select(checked.alias("row_key")), "row_key", "left_semi")
+    """Rows of the given keys of a stored table. A null key is an error.
+
+    The join is on day and key, so a selective key list prunes day folders at run time. Which
+    side is broadcast, if any, is left to the size statistics.
+    """
+    key = F.col("row_key")
+    checked = F.when(key.isNull(), F.raise_error(F.lit("row key must not be null"))).otherwise(key)
+    wanted = keys.select(checked.alias("row_key")).withColumn("day", day_of_key(key))
+    return cells.join(wanted, ["day", "row_key"], "left_semi")
 
 
 def newest_versions(cells: DataFrame, max_versions: int) -> DataFrame:

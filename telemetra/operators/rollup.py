@@ -1,6 +1,7 @@
 """Hour and day roll-ups of long metric rows ``(terminal_id, time_id, metric, value)``.
 
-Keys nest as text prefixes, so any finer period can feed a coarser one.
+Keys nest as text prefixes, so any finer period can feed a coarser one. Child keys are compared
+as numbers: with fixed-width buffers every roll-up stays a hash aggregation.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ def _to_parent(metrics: DataFrame, key_length: int) -> DataFrame:
     return metrics.select(
         "terminal_id",
         timekeys.parent_key(F.col("time_id"), key_length).alias("parent_id"),
-        F.col("time_id").alias("child_id"),
+        F.col("time_id").cast("bigint").alias("child_id"),
         "metric",
         "value",
     )

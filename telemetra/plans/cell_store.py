@@ -41,7 +41,7 @@ def cell_table(spark, sf_dir):
     def write(path):
         ops.append_cells(ops.latest_cells(version_table(spark, sf_dir)), path)
 
-    return ops.read_cells(spark, staged(spark, sf_dir, "cells", write)).drop("day")
+    return ops.read_cells(spark, staged(spark, sf_dir, "cells", write))
 
 
 _WRITER_WIDE = wide_sql(keys="terminal_id, time_id, writer", extra=", max(ms) * 10 + writer AS write_ts")
@@ -57,7 +57,8 @@ cells AS (
   ) WHERE rn = 1
 )"""
 
-_COLUMNS = "row_key, qualifier, value, write_ts"
+COLUMNS = ["row_key", "qualifier", "value", "write_ts"]
+_COLUMNS = ", ".join(COLUMNS)
 
 
 @query("cells_upsert", f"WITH {CELLS_SQL} SELECT {_COLUMNS} FROM cells")
@@ -89,12 +90,12 @@ def cells_put_wide(spark, sf_dir):
 
 @query("cells_scan_full", f"WITH {CELLS_SQL} SELECT {_COLUMNS} FROM cells")
 def cells_scan_full(spark, sf_dir):
-    return cell_table(spark, sf_dir)
+    return cell_table(spark, sf_dir).select(*COLUMNS)
 
 
 @query("cells_scan_key_contains", f"WITH {CELLS_SQL} SELECT {_COLUMNS} FROM cells WHERE contains(row_key, '2024011')")
 def cells_scan_key_contains(spark, sf_dir):
-    return ops.scan_key_contains(cell_table(spark, sf_dir), "2024011")
+    return ops.scan_key_contains(cell_table(spark, sf_dir), "2024011").select(*COLUMNS)
 
 
 @query(
@@ -103,7 +104,7 @@ def cells_scan_key_contains(spark, sf_dir):
 )
 def cells_scan_filter(spark, sf_dir):
     condition = (F.col("qualifier") == "gpsWeakNum") & (F.col("value").try_cast("int") >= 1) & (F.col("row_key") >= "1")
-    return ops.scan_filter(cell_table(spark, sf_dir), condition)
+    return ops.scan_filter(cell_table(spark, sf_dir), condition).select(*COLUMNS)
 
 
 @query(
@@ -113,7 +114,7 @@ SELECT {_COLUMNS} FROM cells WHERE qualifier <> 'gpsFrequent'
   AND row_key = (SELECT min(row_key) FROM cells WHERE qualifier <> 'gpsFrequent')""",
 )
 def cells_first_row(spark, sf_dir):
-    return ops.first_row(cell_table(spark, sf_dir), F.col("qualifier") != "gpsFrequent")
+    return ops.first_row(cell_table(spark, sf_dir), F.col("qualifier") != "gpsFrequent").select(*COLUMNS)
 
 
 @query(
@@ -121,7 +122,7 @@ def cells_first_row(spark, sf_dir):
     f"WITH {CELLS_SQL} SELECT {_COLUMNS} FROM cells WHERE row_key >= '0_2024010512' AND row_key < '0_2024012006'",
 )
 def cells_range_scan(spark, sf_dir):
-    return ops.scan_range(cell_table(spark, sf_dir), "0_2024010512", "0_2024012006")
+    return ops.scan_range(cell_table(spark, sf_dir), "0_2024010512", "0_2024012006").select(*COLUMNS)
 
 
 @query(
@@ -131,7 +132,7 @@ SELECT {_COLUMNS} FROM cells WHERE row_key = (SELECT max(row_key) FROM cells)"""
 )
 def cells_get_row(spark, sf_dir):
     cells = cell_table(spark, sf_dir)
-    return ops.get_row(cells, cells.agg(F.max("row_key")).first()[0])
+    return ops.get_row(cells, cells.agg(F.max("row_key")).first()[0]).select(*COLUMNS)
 
 
 _ERROR_KEYS_SQL = "SELECT terminal_id || '_' || time_id AS row_key FROM points WHERE online_status = 0"
@@ -145,12 +146,12 @@ def _offline_keys(spark, sf_dir):
 
 @query("cells_get_rows", f"WITH {CELLS_SQL} SELECT {_COLUMNS} FROM cells WHERE row_key IN ({_ERROR_KEYS_SQL})")
 def cells_get_rows(spark, sf_dir):
-    return ops.get_rows(cell_table(spark, sf_dir), _offline_keys(spark, sf_dir))
+    return ops.get_rows(cell_table(spark, sf_dir), _offline_keys(spark, sf_dir)).select(*COLUMNS)
 
 
 @query("cells_delete_keys", f"WITH {CELLS_SQL} SELECT {_COLUMNS} FROM cells WHERE row_key NOT IN ({_ERROR_KEYS_SQL})")
 def cells_delete_keys(spark, sf_dir):
-    return ops.delete_rows(cell_table(spark, sf_dir), _offline_keys(spark, sf_dir))
+    return ops.delete_rows(cell_table(spark, sf_dir), _offline_keys(spark, sf_dir)).select(*COLUMNS)
 
 
 @query(
@@ -176,7 +177,7 @@ def cells_page(spark, sf_dir):
     cells, page = cell_table(spark, sf_dir), ops.Page(size=PAGE_SIZE)
     for _ in range(3):
         rows, page = ops.next_page(cells, page, start_key="0_20240103")
-    return rows.drop("version").select("*", F.lit(page.index).alias("page_index"), F.lit(page.rows_seen).alias("rows_seen"))
+    return rows.select(*COLUMNS, F.lit(page.index).alias("page_index"), F.lit(page.rows_seen).alias("rows_seen"))
 
 
 @query(
