@@ -30,16 +30,16 @@ def route_original_filter(spark, sf_dir):
     return ops.original_records(route_records(spark, sf_dir)).select("waybill_no", "ordinal", "status", "original_flag")
 
 
-@query(
-    "route_text_export",
-    f"""WITH {ROUTES_SQL}
+EXPORT_SQL = f"""WITH {ROUTES_SQL}
 SELECT {_COMPOSITE} || ',' || CAST(epoch_ms(create_tm) AS VARCHAR) || ',' || coalesce(main_waybill_no, 'null') || ',' || waybill_no
        || ',' || zone_code || ',' || op_code || ',' || contnr_code || ',' || op_attach_info || ',' || obj_type_code
        || ',' || coalesce(strftime(bar_scan_tm, '%a %b %d %H:%M:%S UTC %Y'), 'null')
        || ',' || CAST(data_status AS VARCHAR) || ',' || CAST(status AS VARCHAR) || ',' || CAST(ordinal AS VARCHAR)
        || ',' || strftime(create_tm, '%a %b %d %H:%M:%S UTC %Y') AS line
-FROM routes""",
-)
+FROM routes"""
+
+
+@query("route_text_export", EXPORT_SQL)
 def route_text_export(spark, sf_dir):
     return ops.export_lines(route_records(spark, sf_dir))
 
