@@ -74,16 +74,18 @@ def kv_get(text: Column, field: str, delimiter: str = "|") -> Column:
 
 
 def kv_set(text: Column, field: str, value: Column | str, delimiter: str = "|") -> Column:
-    """Replace the first item named ``field``; nothing is appended when there is none."""
-    new_value = value if isinstance(value, Column) else F.lit(value)
-    items = F.split(F.regexp_replace(text, f"(?:{re.escape(delimiter)})+\\z", ""), re.escape(delimiter))
-    names = F.transform(items, lambda item: F.substring_index(item, "=", 1))
-    position = F.array_position(names, field) - 1
-    changed = F.transform(
-        items,
-        lambda item, i: F.when(i == position, F.concat(F.lit(f"{field}="), new_value)).otherwise(item),
-    )
-    return F.array_join(changed, "|")
+    """Replace the first item named ``field``; nothing is appended when there is none.
+
+    Empty items at the end are dropped, and items are joined with ``|`` again.
+    """
+    sep = re.escape(delimiter)
+    items = F.regexp_replace(text, rf"(?:{sep})+\z", "")
+    item = f"(?:(?!{sep}).)*"
+    first_named = rf"(?s)\A((?:{item}{sep})*?){re.escape(field)}(?:={item})?(?={sep}|\z)"
+    plain = value if isinstance(value, Column) else F.lit(value)
+    escaped = F.replace(F.replace(plain, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+    changed = F.regexp_replace(items, F.lit(first_named), F.concat(F.lit(f"$1{field}="), escaped))
+    return changed if delimiter == "|" else F.replace(changed, F.lit(delimiter), F.lit("|"))
 
 
 def kv_between(data: Column, field: str, param: Column, low: str, high: str) -> Column:

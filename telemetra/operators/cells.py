@@ -114,10 +114,11 @@ def scan_range(cells: DataFrame, start_key: str, stop_key: str) -> DataFrame:
 
 
 def first_row(cells: DataFrame, condition: Column | None = None) -> DataFrame:
-    """All matching cells of the first row in key order."""
+    """All matching cells of the first row in key order of a stored table. Only the key itself is
+    looked up first, so the read that follows prunes to one folder."""
     matching = cells if condition is None else cells.where(condition)
-    first = matching.agg(F.min("row_key").alias("row_key"))
-    return matching.join(F.broadcast(first), "row_key")
+    key = matching.agg(F.min("row_key")).first()[0]
+    return get_row(matching, key) if key is not None else matching.where(F.lit(False))
 
 
 def get_row(cells: DataFrame, key: str) -> DataFrame:
@@ -133,7 +134,7 @@ def get_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
     """
     key = F.col("row_key")
     checked = F.when(key.isNull(), F.raise_error(F.lit("row key must not be null"))).otherwise(key)
-    wanted = keys.select(checked.alias("row_key")).withColumn("day", day_of_key(key))
+    wanted = keys.select(checked.alias("row_key")).distinct().withColumn("day", day_of_key(key))
     return cells.join(wanted, ["day", "row_key"], "left_semi")
 
 

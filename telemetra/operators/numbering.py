@@ -10,19 +10,23 @@ _PARTITION_SHIFT = 33
 
 
 def with_row_number(df: DataFrame, order: list[Column], name: str = "row_number", partitions: int | None = None) -> DataFrame:
-    """Number rows 1..n in the given order; ``order`` should tell all rows apart.
+    """Number rows 1..n in the given order; rows that tie keep their order of arrival.
 
     Rows are range-partitioned and sorted in parallel and numbered within their partition. The
-    only gathered data is one count per partition, from which each partition learns its offset.
+    arrival number is part of the sort key, so even a mass of equal rows is spread. The only
+    gathered data is one count per partition, from which each partition learns its offset.
     The numbered rows are checkpointed, because both the counts and the rows must see the same
     partitioning even if an executor is lost in between.
     """
     spark = df.sparkSession
     shared_dir(spark)
     wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [*order, F.col("_arrival")]
     ranged = (
-        df.repartitionByRange(wanted, *order)
+        df.withColumn("_arrival", F.monotonically_increasing_id())
+        .repartitionByRange(wanted, *order)
         .sortWithinPartitions(*order)
+        .drop("_arrival")
         .withColumn("_id", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_id", _PARTITION_SHIFT))
         .withColumn("_nth", F.col("_id") - F.shiftleft("_part", _PARTITION_SHIFT) + 1)

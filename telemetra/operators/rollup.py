@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from telemetra.functions import timekeys
 from telemetra.operators.point_metrics import online_percent
@@ -83,9 +83,21 @@ def previous_period(as_of: datetime, key_length: int) -> str:
     raise ValueError(f"no period has a key of length {key_length}")
 
 
+def write_metrics(metrics: DataFrame, path: str) -> None:
+    """Store long metric rows by day, sorted by metric and time so that scans can skip."""
+    by_day = metrics.withColumn("day", timekeys.parent_key(F.col("time_id"), DAY_KEY))
+    balanced = by_day.hint("rebalance", "day").sortWithinPartitions("day", "metric", "time_id")
+    balanced.write.mode("append").partitionBy("day").parquet(path)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("terminal_id string, time_id string, metric string, value double, day string").parquet(path)
+
+
 def only_period(metrics: DataFrame, period: str) -> DataFrame:
-    """Rows whose key lies in the period; a prefix test, so the scan can skip on it."""
-    return metrics.where(F.col("time_id").startswith(period))
+    """Rows of a stored metric table in an hour or day: one folder, then a prefix test."""
+    in_day = F.col("day") == period[:DAY_KEY]
+    return metrics.where(in_day & F.col("time_id").startswith(period))
 
 
 def explode_wide_rows(wide: DataFrame, names: dict[str, str], key_length: int) -> DataFrame:

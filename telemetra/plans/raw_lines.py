@@ -1,4 +1,4 @@
-"""Parsing of raw message lines. Lines are built from the tables and read back."""
+"""Parsing of raw message lines. Lines are built from the tables, written as text and read back."""
 
 from __future__ import annotations
 
@@ -13,11 +13,20 @@ from telemetra.plans.inputs import (
     log_raw_lines,
 )
 from telemetra.plans.registry import query
+from telemetra.plans.staging import staged
 from telemetra.sources import lines as src
 
 
+def gps_line_files(spark, sf_dir) -> str:
+    return staged(spark, sf_dir, "gps-lines", lambda path: gps_raw_lines(spark, sf_dir).write.text(path))
+
+
+def log_line_files(spark, sf_dir) -> str:
+    return staged(spark, sf_dir, "log-lines", lambda path: log_raw_lines(spark, sf_dir).write.text(path))
+
+
 def clean_gps_lines(spark, sf_dir):
-    return src.clean_lines(gps_raw_lines(spark, sf_dir))
+    return src.clean_lines(spark.read.text(gps_line_files(spark, sf_dir)))
 
 
 @query("line_strip_quotes", f"WITH {GPS_LINES_SQL} SELECT value FROM clean_lines")
@@ -66,5 +75,5 @@ def gps_time_dual_format(spark, sf_dir):
 
 @query("log_parse_lines", f"WITH {LOG_SQL} SELECT serial_num, terminal_id, ms, online_status FROM records")
 def log_parse_lines(spark, sf_dir):
-    records = src.parse_log_lines(log_raw_lines(spark, sf_dir))
+    records = src.parse_log_lines(src.clean_lines(spark.read.text(log_line_files(spark, sf_dir))))
     return records.select("serial_num", "terminal_id", F.unix_millis("ts").alias("ms"), "online_status")

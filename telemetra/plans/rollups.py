@@ -10,6 +10,7 @@ from telemetra.operators import point_metrics, rollup, sessions
 from telemetra.plans.inputs import AS_OF, GPS_LONG_SQL, WIDE_SQL, gps_points, log_records
 from telemetra.plans.registry import query
 from telemetra.plans.sessions import LOG_LONG_SQL
+from telemetra.plans.staging import staged
 from telemetra.schemas import DAY_KEY, GPS_METRIC_COLUMNS, HOUR_KEY
 
 ALL_LONG_SQL = f"""{GPS_LONG_SQL}, {LOG_LONG_SQL},
@@ -25,6 +26,14 @@ def all_metrics(spark, sf_dir):
     return gps.unionByName(sessions.metrics_long(log_records(spark, sf_dir), AS_OF))
 
 
+def metric_table(spark, sf_dir):
+    """The ten-minute metrics as a stored table, which is what the roll-ups read."""
+    path = staged(
+        spark, sf_dir, "ten-minute-metrics", lambda p: rollup.write_metrics(all_metrics(spark, sf_dir), p)
+    )
+    return rollup.read_metrics(spark, path)
+
+
 def _sums(length: int, source: str = "cells") -> str:
     return f"""SELECT terminal_id, substr(time_id, 1, {length}) AS time_id, metric, sum(value) AS value
 FROM {source} WHERE metric NOT IN ('gpsOnlinePercent', 'gpsFrequent') GROUP BY ALL"""
@@ -48,13 +57,13 @@ FROM (
 
 @query("rollup_hour", f"WITH {ALL_LONG_SQL} {_sums(10)}")
 def rollup_hour(spark, sf_dir):
-    return rollup.sum_metrics(all_metrics(spark, sf_dir), HOUR_KEY)
+    return rollup.sum_metrics(metric_table(spark, sf_dir), HOUR_KEY)
 
 
 @query("rollup_day", f"WITH {ALL_LONG_SQL}, hours AS ({_sums(10)}) {_sums(8, 'hours')}")
 def rollup_day(spark, sf_dir):
     # Sums nest, so the day needs no hour frame in between: one shuffle less, same rows.
-    return rollup.sum_metrics(all_metrics(spark, sf_dir), DAY_KEY)
+    return rollup.sum_metrics(metric_table(spark, sf_dir), DAY_KEY)
 
 
 @query(
@@ -63,7 +72,7 @@ def rollup_day(spark, sf_dir):
 SELECT * FROM ({_percent(10)}) UNION ALL SELECT * FROM ({_percent(8)})""",
 )
 def rollup_online_percent(spark, sf_dir):
-    cells = point_metrics.metrics_long(gps_points(spark, sf_dir))
+    cells = metric_table(spark, sf_dir)
     return rollup.percent_of_sums(cells, HOUR_KEY).unionByName(rollup.percent_of_sums(cells, DAY_KEY))
 
 
@@ -73,7 +82,7 @@ def rollup_online_percent(spark, sf_dir):
 SELECT * FROM ({_frequency(10)}) UNION ALL SELECT * FROM ({_frequency(8)})""",
 )
 def rollup_frequent(spark, sf_dir):
-    cells = point_metrics.metrics_long(gps_points(spark, sf_dir))
+    cells = metric_table(spark, sf_dir)
     return rollup.latest_frequency(cells, HOUR_KEY).unionByName(rollup.latest_frequency(cells, DAY_KEY))
 
 
@@ -87,12 +96,12 @@ SELECT terminal_id, time_id, metric, value, '20240114' FROM cells
 WHERE time_id LIKE strftime(TIMESTAMP '2024-01-15 13:20:00' - INTERVAL 24 HOUR, '%Y%m%d') || '%'""",
 )
 def rollup_period_filter(spark, sf_dir):
-    cells = all_metrics(spark, sf_dir)
+    cells = metric_table(spark, sf_dir)
     hour = rollup.previous_period(ROLLUP_AS_OF, HOUR_KEY)
     day = rollup.previous_period(ROLLUP_AS_OF, DAY_KEY)
     return rollup.only_period(cells, hour).withColumn("period", F.lit(hour)).unionByName(
         rollup.only_period(cells, day).withColumn("period", F.lit(day))
-    )
+    ).drop("day")
 
 
 @query(
@@ -101,7 +110,7 @@ def rollup_period_filter(spark, sf_dir):
 SELECT * FROM ({_frequency(10)}) UNION ALL SELECT * FROM ({_percent(10)}) UNION ALL SELECT * FROM ({_sums(10)})""",
 )
 def rollup_union_all(spark, sf_dir):
-    return rollup.rollup(all_metrics(spark, sf_dir), HOUR_KEY)
+    return rollup.rollup(metric_table(spark, sf_dir), HOUR_KEY)
 
 
 @query("union_all_metrics", f"WITH {ALL_LONG_SQL} SELECT * FROM cells")

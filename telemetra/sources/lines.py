@@ -132,26 +132,38 @@ def gps_rejects(lines: DataFrame) -> DataFrame:
 # ---- connection log ----------------------------------------------------------------------
 
 
+_NAMED_TEXT = "[^,:]*:[^,:]+(?::[^,]*)?"
+_NAMED_MILLIS = "[^,:]*: *[0-9]{1,15} *(?::[^,]*)?"
+_NAMED_STATUS = "[^,:]*: *[0-9]{1,9} *(?::[^,]*)?"
+LOG_LINE = rf"\A{_NAMED_TEXT},{_NAMED_TEXT},{_NAMED_MILLIS},{_NAMED_STATUS},[^,]+,*\z"
+
+
+def is_log_line(value: Column) -> Column:
+    return value.rlike(LOG_LINE)
+
+
+def log_rejects(lines: DataFrame) -> DataFrame:
+    """Lines that are neither GPS messages nor readable log records."""
+    value = F.col("value")
+    return lines.where(~is_log_line(value) & ~F.contains(value, F.lit(ENVELOPE_SEPARATOR)))
+
+
 def parse_log_lines(lines: DataFrame) -> DataFrame:
     """``serialNum:..,terminalId:..,time:<ms>,online:..,serverIp:..`` to typed records.
 
-    A line counts only with exactly five comma fields, trailing empty ones ignored.
+    A line counts only with exactly five comma fields, trailing empty ones ignored. The whole
+    line is tested once, as text; after that every field is known to be there.
     """
-    fields = F.split(F.rtrim(F.col("value"), F.lit(FIELD_SEPARATOR)), FIELD_SEPARATOR)
+    fields = F.split(F.col("value"), FIELD_SEPARATOR)
 
     def value(i: int) -> Column:
-        return F.nullif(F.split_part(F.get("fields", F.lit(i)), F.lit(":"), F.lit(2)), F.lit(""))
-
-    return (
-        lines.withColumn("fields", fields)
-        .where(F.size("fields") == 5)
-        .select(
-            value(0).alias("serial_num"),
-            value(1).alias("terminal_id"),
-            F.timestamp_millis(value(2).try_cast("bigint")).alias("ts"),
-            value(3).try_cast("int").alias("online_status"),
-        )
-        .where(F.col("ts").isNotNull() & F.col("serial_num").isNotNull() & F.col("terminal_id").isNotNull())
+        return F.split_part(F.get(fields, F.lit(i)), F.lit(":"), F.lit(2))
+
+    return lines.where(is_log_line(F.col("value"))).select(
+        value(0).alias("serial_num"),
+        value(1).alias("terminal_id"),
+        F.timestamp_millis(value(2).cast("bigint")).alias("ts"),
+        value(3).cast("int").alias("online_status"),
     )
 
 

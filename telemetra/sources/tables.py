@@ -42,6 +42,7 @@ def numbered_records(spark: SparkSession, view: str, last_key: int = 99) -> Data
 
 
 def record_lines(records: DataFrame, below: int) -> DataFrame:
-    """``Key: k, Value: v`` for keys below a bound, in key order."""
-    chosen = records.where(F.col("key") < below).orderBy("key", "value")
-    return chosen.select(F.concat(F.lit("Key: "), F.col("key"), F.lit(", Value: "), F.col("value")).alias("line"))
+    """``Key: k, Value: v`` for keys below a bound, in key order. The arrival number only spreads
+    a frequent key over several sort partitions."""
+    chosen = records.where(F.col("key") < below).withColumn("arrival", F.monotonically_increasing_id())
+    return chosen.orderBy("key", "value", "arrival").select(F.concat(F.lit("Key: "), F.col("key"), F.lit(", Value: "), F.col("value")).alias("line"))

@@ -104,5 +104,5 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
 def read_carry(spark: SparkSession, path: str) -> DataFrame:
     """Sessions still open after the last batch."""
     versions = spark.read.schema(f"{CARRY_SCHEMA}, version bigint").parquet(f"{path}/carry")
-    newest = versions.agg(F.max("version").alias("version"))
-    return versions.join(F.broadcast(newest), "version").drop("version")
+    newest = versions.agg(F.max("version")).first()[0]
+    return versions.where(F.col("version") == newest).drop("version")
