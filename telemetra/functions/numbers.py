@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def whole_div(a: Column, b: Column | int) -> Column:
+    """Integer division, truncated."""
+    return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
+
+
 def ratio_half_up(a: Column, b: Column) -> Column:
     """smaller / larger of two non-negative whole numbers, two decimals, ties up.
 
@@ -12,8 +17,7 @@ def ratio_half_up(a: Column, b: Column) -> Column:
     ever rounded.
     """
     low, high = F.least(a, b), F.greatest(a, b)
-    numerator = low * 200 + high
-    return (numerator - F.pmod(numerator, high * 2)) / (high * 2) / F.lit(100.0)
+    return whole_div(low * 200 + high, high * 2) / F.lit(100.0)
 
 
 def format_double(value: Column, scale: int) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from telemetra.functions.numbers import whole_div
 from telemetra.schemas import BUCKET_MILLIS, BUCKET_SECONDS, DAY_KEY, HOUR_KEY, TEN_MINUTE_KEY
 
 SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -114,5 +115,4 @@ def minus_seconds(left: Column, right: Column) -> Column:
 
 def seconds_between(ms_a: Column, ms_b: Column) -> Column:
     """Whole seconds between two epoch-millis values, order free, truncated."""
-    gap = F.abs(ms_a - ms_b)
-    return ((gap - gap % 1000) / 1000).cast("bigint")
+    return whole_div(F.abs(ms_a - ms_b), 1000)

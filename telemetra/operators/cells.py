@@ -78,10 +78,14 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_cells(cells: DataFrame) -> DataFrame:
-    """The newest write of each cell; equal times fall back to the larger value."""
+    """The newest write of each cell; equal times fall back to the larger value.
+
+    The day belongs to the key and is grouped by too, so a test on day or key that comes later
+    still reaches the scan.
+    """
     others = [c for c in cells.columns if c not in (*CELL, "value", "write_ts")]
-    newest = F.max(F.struct("write_ts", "value", *others)).alias("newest")
-    return cells.groupBy(*CELL).agg(newest).select(*CELL, "newest.value", "newest.write_ts", *[f"newest.{c}" for c in others])
+    newest = F.max(F.struct("write_ts", "value")).alias("newest")
+    return cells.groupBy(*CELL, *others).agg(newest).select(*CELL, "newest.value", "newest.write_ts", *others)
 
 
 def upsert_cells(existing: DataFrame, incoming: DataFrame) -> DataFrame:

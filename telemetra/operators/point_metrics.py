@@ -12,10 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.functions import timekeys
-from telemetra.functions.numbers import ratio_half_up
-from telemetra.schemas import GPS_METRIC_COLUMNS, GPS_FREQUENT, GPS_TOTAL_NUM
+from telemetra.functions.numbers import ratio_half_up, whole_div
+from telemetra.schemas import GPS_FREQUENT, GPS_METRIC_COLUMNS, GPS_ONLINE_PERCENT, GPS_TOTAL_NUM
 
+# Points of a full bucket, and the divisor from points to sampling frequency.
 POINTS_PER_BUCKET = 15
+FREQUENCY_DIVISOR = 15
 
 KEYS = ["terminal_id", "time_id"]
 
@@ -49,7 +51,7 @@ def corrected_total(count: Column, points_per_bucket: int) -> Column:
 
 
 def frequency(total: Column) -> Column:
-    return ((total - total % 15) / 15).cast("bigint")
+    return whole_div(total, FREQUENCY_DIVISOR)
 
 
 def online_percent(total: Column, online: Column) -> Column:
@@ -127,17 +129,17 @@ def wide_by_left_joins(points: DataFrame, points_per_bucket: int = POINTS_PER_BU
     return joined.select(*KEYS, *GPS_METRIC_COLUMNS)
 
 
-def _absent_as_null(name: str) -> Column:
-    """Totals and frequency always exist; a count of zero means the metric has no row."""
-    if GPS_METRIC_COLUMNS[name] in (GPS_TOTAL_NUM, GPS_FREQUENT):
+def _absent_as_null(name: str, metric: str) -> Column:
+    """A count of zero means the metric has no row; totals, frequency and share stay as they are."""
+    if metric in (GPS_TOTAL_NUM, GPS_FREQUENT, GPS_ONLINE_PERCENT):
         return F.col(name)
-    return F.when(F.col(name) > 0, F.col(name)) if name != "gps_online_percent" else F.col(name)
+    return F.when(F.col(name) > 0, F.col(name))
 
 
 def wide_to_long(wide: DataFrame, names: dict[str, str], ids: list[str], as_text: bool = False) -> DataFrame:
     """One row per present metric: ``ids``, ``metric``, ``value``."""
     kind = "string" if as_text else "double"
-    values = [_absent_as_null(name).cast(kind).alias(metric) for name, metric in names.items()]
+    values = [_absent_as_null(name, metric).cast(kind).alias(metric) for name, metric in names.items()]
     return (
         wide.select(*ids, *values)
         .unpivot(ids, list(names.values()), "metric", "value")

@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.functions import timekeys
+from telemetra.functions.numbers import whole_div
 from telemetra.schemas import (
     BUCKET_MILLIS,
     LOG_CLOSE_NUM,
@@ -117,7 +118,7 @@ def split_into_buckets(sessions: DataFrame, start: Column, end: Column, last: Co
     inside = F.least(F.col("end"), F.col("bucket") + BUCKET_MILLIS) - F.greatest(F.col("start"), F.col("bucket"))
     return (
         sessions.select("terminal_id", start.alias("start"), end.alias("end"), F.explode(F.sequence(first, last, step)).alias("bucket"))
-        .select("terminal_id", "bucket", ((inside - inside % 1000) / 1000).cast("bigint").alias("seconds"))
+        .select("terminal_id", "bucket", whole_div(inside, 1000).alias("seconds"))
     )
 
 
@@ -165,19 +166,24 @@ def duration_open(records: DataFrame, as_of: datetime, accrue_lone_close: bool =
 
 
 def duration_total(records: DataFrame, as_of: datetime, accrue_lone_close: bool = False) -> DataFrame:
-    """Connected seconds of closed and still open sessions together.
+    """Connected seconds of closed and still open sessions together."""
+    return seconds_of_sessions(session_bounds(records), as_of, accrue_lone_close)
 
-    The three cases differ only in where the session ends, so one reduction to sessions, one
+
+def seconds_of_sessions(sessions: DataFrame, as_of: datetime, accrue_lone_close: bool = False) -> DataFrame:
+    """Connected seconds of reduced sessions, see :func:`session_bounds`.
+
+    Same bucket, several buckets and still open differ only in where the session ends, so one
     split and one sum serve them all.
     """
     last = _as_of_bucket(as_of)
     is_open = F.col("record_count") == 1
-    sessions = session_bounds(records).where(
+    counted = sessions.where(
         ~is_open | (_accruing(accrue_lone_close) & (F.col("start_ms") < last + BUCKET_MILLIS))
     )
     end = F.when(is_open, last + BUCKET_MILLIS).otherwise(F.col("end_ms"))
     last_bucket = F.when(is_open, last).otherwise(timekeys.bucket_start_ms(F.col("end_ms")))
-    return sum_by_bucket(split_into_buckets(sessions, F.col("start_ms"), end, last_bucket))
+    return sum_by_bucket(split_into_buckets(counted, F.col("start_ms"), end, last_bucket))
 
 
 def metrics_long(records: DataFrame, as_of: datetime) -> DataFrame:

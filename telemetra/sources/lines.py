@@ -39,6 +39,17 @@ def kafka_stream(
     return reader.load().select("topic", "value")
 
 
+def publish_lines(lines: DataFrame, servers: str, topic: str) -> None:
+    """Send the column ``value`` to a topic, in parallel from the executors."""
+    (
+        lines.select("value")
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .save()
+    )
+
+
 def text_file_stream(spark: SparkSession, path: str) -> DataFrame:
     """A folder of line files as a stream with the column ``value``."""
     return spark.readStream.text(path)

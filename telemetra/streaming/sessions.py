@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from telemetra.functions import timekeys
-from telemetra.streaming.sinks import for_each_batch
+from telemetra.streaming.sinks import AVAILABLE_NOW, for_each_batch
 
 SESSION = ["serial_num", "terminal_id"]
 
@@ -73,7 +73,7 @@ def _carry_path(path: str, version: int) -> str:
     return f"{path}/carry/version={version}"
 
 
-def pair_with_carry(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def pair_with_carry(records: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
     """Pair each micro-batch with the sessions still open; what stays open is carried on.
 
     Batch n reads carry version n and writes the closed sessions of the batch and version n + 1.
@@ -94,7 +94,7 @@ def pair_with_carry(records: DataFrame, path: str, checkpoint: str) -> Streaming
         finally:
             sessions.unpersist()
 
-    return for_each_batch(records, pair, checkpoint, "append")
+    return for_each_batch(records, pair, checkpoint, "append", trigger)
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:

@@ -22,31 +22,41 @@ def run_available(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def append_to_files(stream: DataFrame, path: str, checkpoint: str, file_format: str = "parquet") -> StreamingQuery:
+# Take what has arrived and stop. A live job passes e.g. {"processingTime": "15 seconds"}.
+AVAILABLE_NOW = {"availableNow": True}
+
+
+def append_to_files(
+    stream: DataFrame, path: str, checkpoint: str, file_format: str = "parquet", trigger: dict = AVAILABLE_NOW
+) -> StreamingQuery:
     """Finished rows go to files, each exactly once."""
     return (
         stream.writeStream.format(file_format)
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
 
 def for_each_batch(
-    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, output_mode: str = "update"
+    stream: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    output_mode: str = "update",
+    trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(write)
         .outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
 
-def upsert_to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def upsert_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
     """Changed rows of each micro-batch go to the batch's own folder.
 
     A batch that runs again after a failure overwrites the same folder, so nothing counts twice.
@@ -55,7 +65,7 @@ def upsert_to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQ
     def write(changes: DataFrame, batch_id: int) -> None:
         changes.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return for_each_batch(stream, write, checkpoint)
+    return for_each_batch(stream, write, checkpoint, trigger=trigger)
 
 
 def read_upserts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
