@@ -73,7 +73,8 @@ def filter_gps_lines(lines: DataFrame) -> DataFrame:
 
 
 def _envelopes(lines: DataFrame) -> DataFrame:
-    body = F.split_part(F.col("value"), F.lit(ENVELOPE_SEPARATOR), F.lit(2))
+    value = F.col("value")
+    body = F.substr(value, F.instr(value, ENVELOPE_SEPARATOR) + len(ENVELOPE_SEPARATOR))
     return filter_gps_lines(lines).select("value", F.from_json(body, ENVELOPE).alias("envelope"))
 
 
