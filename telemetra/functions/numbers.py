@@ -21,8 +21,8 @@ def ratio_half_up(a: Column, b: Column) -> Column:
 
 
 def format_double(value: Column, scale: int) -> Column:
-    """Round half up to ``scale`` decimals."""
-    return F.round(value.cast("decimal(28,9)"), scale).cast("double")
+    """Round half up to ``scale`` decimals, judged on the number as it is written."""
+    return F.round(value, scale)
 
 
 def add_text_numbers(a: Column, b: Column) -> Column:

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from telemetra import schemas
 from telemetra.functions import timekeys
 from telemetra.operators.numbering import with_row_number
 from telemetra.operators.point_metrics import wide_to_long
@@ -74,7 +75,7 @@ def append_cells(cells: DataFrame, path: str) -> None:
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("row_key string, qualifier string, value string, write_ts bigint, day string").parquet(path)
+    return spark.read.schema(schemas.CELL).parquet(path)
 
 
 def latest_cells(cells: DataFrame) -> DataFrame:

@@ -9,22 +9,30 @@ from telemetra.workspace import shared_dir
 _PARTITION_SHIFT = 33
 
 
-def with_row_number(df: DataFrame, order: list[Column], name: str = "row_number", partitions: int | None = None) -> DataFrame:
-    """Number rows 1..n in the given order; rows that tie keep their order of arrival.
+def with_row_number(
+    df: DataFrame,
+    order: list[Column],
+    name: str = "row_number",
+    partitions: int | None = None,
+    may_tie: bool = False,
+) -> DataFrame:
+    """Number rows 1..n in the given order.
 
-    Rows are range-partitioned and sorted in parallel and numbered within their partition. The
-    arrival number is part of the sort key, so even a mass of equal rows is spread. The only
-    gathered data is one count per partition, from which each partition learns its offset.
+    Rows are range-partitioned and sorted in parallel and numbered within their partition. With
+    ``may_tie`` the order of arrival joins the sort key, which spreads even a mass of equal rows;
+    it needs an input whose rows arrive in the same order when a task is repeated, such as a file
+    scan. Without it ``order`` has to tell all rows apart. The only gathered data is one count per partition, from which each partition learns its offset.
     The numbered rows are checkpointed, because both the counts and the rows must see the same
     partitioning even if an executor is lost in between.
     """
     spark = df.sparkSession
     shared_dir(spark)
     wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [*order, F.col("_arrival")]
+    if may_tie:
+        df = df.withColumn("_arrival", F.monotonically_increasing_id())
+        order = [*order, F.col("_arrival")]
     ranged = (
-        df.withColumn("_arrival", F.monotonically_increasing_id())
-        .repartitionByRange(wanted, *order)
+        df.repartitionByRange(wanted, *order)
         .sortWithinPartitions(*order)
         .drop("_arrival")
         .withColumn("_id", F.monotonically_increasing_id())

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from telemetra.functions import timekeys
 from telemetra.operators.point_metrics import online_percent
-from telemetra.schemas import DAY_KEY, GPS_FREQUENT, GPS_ONLINE_PERCENT, GPS_ONLINE_TOTAL, GPS_TOTAL_NUM, HOUR_KEY
+from telemetra.schemas import DAY_KEY, GPS_FREQUENT, GPS_ONLINE_PERCENT, GPS_ONLINE_TOTAL, GPS_TOTAL_NUM, HOUR_KEY, METRIC
 
 KEYS = ["terminal_id", "time_id"]
 
@@ -91,7 +91,7 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("terminal_id string, time_id string, metric string, value double, day string").parquet(path)
+    return spark.read.schema(METRIC).parquet(path)
 
 
 def only_period(metrics: DataFrame, period: str) -> DataFrame:

@@ -63,7 +63,7 @@ def export_lines(routes: DataFrame) -> DataFrame:
 
 def order_by_ordinal(routes: DataFrame, tie_breakers: list[str]) -> DataFrame:
     """Records in ordinal order with their position; the tie breakers make it reproducible."""
-    return with_row_number(routes, [F.col("ordinal"), *[F.col(c) for c in tie_breakers]], "position")
+    return with_row_number(routes, [F.col("ordinal"), *[F.col(c) for c in tie_breakers]], "position", may_tie=True)
 
 
 def zone_half_hour_counts(routes: DataFrame) -> DataFrame:

@@ -96,6 +96,29 @@ CELL = T.StructType(
         T.StructField("qualifier", T.StringType()),
         T.StructField("value", T.StringType()),
         T.StructField("write_ts", T.LongType()),
+        T.StructField("day", T.StringType()),
+    ]
+)
+
+METRIC = T.StructType(
+    [
+        T.StructField("terminal_id", T.StringType()),
+        T.StructField("time_id", T.StringType()),
+        T.StructField("metric", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("day", T.StringType()),
+    ]
+)
+
+# A session reduced to one row; an open one has a single record.
+SESSION = T.StructType(
+    [
+        T.StructField("serial_num", T.StringType()),
+        T.StructField("terminal_id", T.StringType()),
+        T.StructField("start_ms", T.LongType()),
+        T.StructField("end_ms", T.LongType()),
+        T.StructField("record_count", T.LongType()),
+        T.StructField("online_status", T.IntegerType()),
     ]
 )
 

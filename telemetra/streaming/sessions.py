@@ -2,29 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
+from telemetra import schemas
 from telemetra.functions import timekeys
 from telemetra.streaming.sinks import AVAILABLE_NOW, for_each_batch
 
 SESSION = ["serial_num", "terminal_id"]
 
 
+RECORD = [*SESSION, "ts"]
+
+
+def _without_copies(records: DataFrame, delay: str) -> DataFrame:
+    """Each record once. Streaming deduplication has no map-side step, so copies are collapsed
+    within the Arrow batches of the input task first; a record that is sent over and over reaches
+    the shuffle once per batch instead of once per copy."""
+    record = list(RECORD)
+
+    # A local function travels to the workers by value, so they need not have this package.
+    def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from pa.Table.from_batches([batch]).group_by(record).aggregate([]).select(record).to_batches()
+
+    collapsed = records.select(*record).mapInArrow(
+        collapse, "serial_num string, terminal_id string, ts timestamp"
+    )
+    return collapsed.withWatermark("ts", delay).dropDuplicates(RECORD)
+
+
 def join_pairs(connects: DataFrame, closes: DataFrame, max_session: str = "10 days", delay: str = "10 minutes") -> DataFrame:
     """Every connect with its close, or alone once no close can come any more.
 
     Both sides drop repeated copies of a record first. State is bounded by ``max_session`` plus
     the delay: a longer session counts as never closed.
     """
-    copies = [*SESSION, "ts"]
-    opened = (
-        connects.where(F.col("online_status") == 1)
-        .withWatermark("ts", delay)
-        .dropDuplicates(copies)
-        .select(*[F.col(c).alias(f"open_{c}") for c in copies])
-    )
-    closed = closes.where(F.col("online_status") == 0).withWatermark("ts", delay).dropDuplicates(copies).select(*copies)
+    opened = _without_copies(connects.where(F.col("online_status") == 1), delay)
+    closed = _without_copies(closes.where(F.col("online_status") == 0), delay)
+    opened = opened.select(*[F.col(c).alias(f"open_{c}") for c in opened.columns])
     matches = (
         (F.col("open_serial_num") == F.col("serial_num"))
         & (F.col("open_terminal_id") == F.col("terminal_id"))
@@ -50,9 +70,6 @@ def closed_pairs(joined: DataFrame) -> DataFrame:
 
 # ---- carry table -------------------------------------------------------------------------
 
-CARRY_SCHEMA = "serial_num string, terminal_id string, start_ms bigint, end_ms bigint, record_count bigint, online_status int"
-
-
 def _reduce(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*SESSION).agg(
         F.min("start_ms").alias("start_ms"),
@@ -84,7 +101,7 @@ def pair_with_carry(records: DataFrame, path: str, checkpoint: str, trigger: dic
         spark = batch.sparkSession
         rows = _one_row_each(batch)
         if batch_id > 0:
-            carried = spark.read.schema(CARRY_SCHEMA).parquet(_carry_path(path, batch_id))
+            carried = spark.read.schema(schemas.SESSION).parquet(_carry_path(path, batch_id))
             rows = rows.unionByName(carried)
         sessions = _reduce(rows).persist()
         try:
@@ -97,12 +114,16 @@ def pair_with_carry(records: DataFrame, path: str, checkpoint: str, trigger: dic
     return for_each_batch(records, pair, checkpoint, "append", trigger)
 
 
+def _with(schema: StructType, partition: str) -> StructType:
+    return StructType([*schema.fields, StructField(partition, LongType())])
+
+
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{CARRY_SCHEMA}, batch bigint").parquet(f"{path}/pairs").drop("batch")
+    return spark.read.schema(_with(schemas.SESSION, "batch")).parquet(f"{path}/pairs").drop("batch")
 
 
 def read_carry(spark: SparkSession, path: str) -> DataFrame:
     """Sessions still open after the last batch."""
-    versions = spark.read.schema(f"{CARRY_SCHEMA}, version bigint").parquet(f"{path}/carry")
+    versions = spark.read.schema(_with(schemas.SESSION, "version")).parquet(f"{path}/carry")
     newest = versions.agg(F.max("version")).first()[0]
     return versions.where(F.col("version") == newest).drop("version")

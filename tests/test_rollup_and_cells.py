@@ -162,7 +162,7 @@ def test_page_with_stop_key_and_condition(spark):
 
 def test_row_numbers_are_consecutive_even_for_equal_rows(spark):
     frame = spark.range(0, 5000, 1, 7).selectExpr("if(id % 3 = 0, 1, id % 11) AS k")
-    numbered = numbering.with_row_number(frame, [F.col("k")], "n", partitions=6).collect()
+    numbered = numbering.with_row_number(frame, [F.col("k")], "n", partitions=6, may_tie=True).collect()
     assert sorted(r.n for r in numbered) == list(range(1, 5001))
     in_order = [r.k for r in sorted(numbered, key=lambda r: r.n)]
     assert in_order == sorted(in_order)
