@@ -1,6 +1,8 @@
 """Session pairing and connected seconds with hand-derived results; keys in UTC+8."""
 
-from datetime import datetime
+import random
+from collections import Counter
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,6 +129,31 @@ def test_split_loses_less_than_a_second_per_bucket(spark):
         assert whole - sums[str(i)].n <= sums[str(i)].s <= whole
 
 
+def test_random_sessions_against_a_plain_loop(spark):
+    source = random.Random(5)
+    as_of, base = datetime(2024, 1, 3, 12, 34, 56), 1704067200000
+    last = base + 2 * 86_400_000 + 12 * 3_600_000 + 30 * 60_000  # the bucket of as_of: 12:30
+    data, expected = [], Counter()
+    for i in range(400):
+        terminal, start = f"t{source.randrange(9)}", base + source.randrange(2 * 86_400_000)
+        data.append((str(i), terminal, start, 1))
+        if source.random() < 0.8:
+            end, final = start + source.choice([0, source.randrange(600_000), source.randrange(40_000_000)]), None
+            data.append((str(i), terminal, end, 0))
+            final = end - end % 600_000
+        else:
+            end, final = last + 600_000, last
+        bucket = start - start % 600_000
+        while bucket <= final:
+            expected[terminal, bucket] += (min(end, bucket + 600_000) - max(start, bucket)) // 1000
+            bucket += 600_000
+    source.shuffle(data)
+    got = ops.duration_total(records(spark, data), as_of)
+    found = {(r.terminal_id, r.time_id): r.duration_seconds for r in got.collect()}
+    key = lambda ms: datetime.fromtimestamp(ms / 1000, timezone.utc).strftime("%Y%m%d%H%M")[:11]
+    assert found == {(t, key(b)): s for (t, b), s in expected.items()}
+
+
 def test_repeated_copies_of_one_record_stay_small(spark):
     hot = spark.range(20_000).selectExpr("'1' AS serial_num", "'t' AS terminal_id", "timestamp_millis(1704067200000 + id % 2) AS ts", "cast(id % 2 as int) AS online_status")
     assert rows(ops.pair_sessions(hot)) == [("1", "t", 1704067200000, 1704067200001, 20_000)]

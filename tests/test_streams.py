@@ -53,6 +53,19 @@ def test_join_gives_unmatched_connects_after_the_horizon(spark):
     assert out.count() == 4
 
 
+def test_a_mass_of_copies_joins_once(spark):
+    work, inbox = new_dir(spark, "t"), new_dir(spark, "in")
+    hot = spark.range(0, 30_000, 1, 3).selectExpr(
+        "'1' AS serial_num", "'t' AS terminal_id", "timestamp_millis(1704067200000 + (id % 2) * 60000) AS ts",
+        "cast(1 - id % 2 AS int) AS online_status",
+    )
+    arrive(hot, inbox)
+    connects, closes = (sinks.parquet_stream(spark, hot.schema, inbox) for _ in range(2))
+    run = sinks.append_to_files(sessions.join_pairs(connects, closes), f"{work}/out", f"{work}/checkpoint")
+    sinks.run_available(run)
+    assert rows(spark.read.parquet(f"{work}/out")) == [("1", "t", 1704067200000, 1704067260000)]
+
+
 def test_late_points_are_dropped_and_windows_come_once(spark):
     work, inbox = new_dir(spark, "t"), new_dir(spark, "in")
 
