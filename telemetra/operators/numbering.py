@@ -25,14 +25,14 @@ def with_row_number(
     The numbered rows are checkpointed, because both the counts and the rows must see the same
     partitioning even if an executor is lost in between.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
-    wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared_dir(df.sparkSession)
     if may_tie:
         df = df.withColumn("_arrival", F.monotonically_increasing_id())
         order = [*order, F.col("_arrival")]
+    # Without a given number, adaptive execution merges small neighbouring ranges.
+    ranges = [partitions, *order] if partitions else order
     ranged = (
-        df.repartitionByRange(wanted, *order)
+        df.repartitionByRange(*ranges)
         .sortWithinPartitions(*order)
         .drop("_arrival")
         .withColumn("_id", F.monotonically_increasing_id())
@@ -44,8 +44,8 @@ def with_row_number(
     before = F.coalesce(
         F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    # One row per range partition: at most ``wanted`` rows, so the ordered window and the
-    # broadcast stay small whatever the size of the data.
+    # One row per range partition, so the ordered window and the broadcast stay small whatever
+    # the size of the data.
     offsets = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")).select("_part", before.alias("_before"))
     return (
         ranged.join(F.broadcast(offsets), "_part")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,18 +27,27 @@ def run_available(query: StreamingQuery) -> None:
 AVAILABLE_NOW = {"availableNow": True}
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """A query keeps the number of state partitions it starts with. On a local master more of
+    them than cores only means more small state files; a cluster's own setting is left alone."""
+    name, context = "spark.sql.shuffle.partitions", spark.sparkContext
+    configured = spark.conf.get(name)
+    if context.master.startswith("local"):
+        spark.conf.set(name, str(min(int(configured), context.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, configured)
+
+
 def append_to_files(
     stream: DataFrame, path: str, checkpoint: str, file_format: str = "parquet", trigger: dict = AVAILABLE_NOW
 ) -> StreamingQuery:
     """Finished rows go to files, each exactly once."""
-    return (
-        stream.writeStream.format(file_format)
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    writer = stream.writeStream.format(file_format).outputMode("append").option("path", path)
+    with _state_partitions(stream.sparkSession):
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def for_each_batch(
@@ -47,13 +57,9 @@ def for_each_batch(
     output_mode: str = "update",
     trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(write)
-        .outputMode(output_mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    writer = stream.writeStream.foreachBatch(write).outputMode(output_mode)
+    with _state_partitions(stream.sparkSession):
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def upsert_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
