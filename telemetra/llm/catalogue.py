@@ -7,7 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telemetra.llm import packing, sharding, token_counts
+from telemetra.llm import (
+    decontamination,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from telemetra.llm.common import table
 
 #: Folder of the tokenizer files; every worker has it at the same place.
@@ -18,10 +26,27 @@ def tokenizer_file(name: str) -> str:
     return f"{TOKENIZERS}/{name}"
 
 
+def op1_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.learned_and_judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), keep_ids=False)
 
 
+def op7_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.drop("passages")
+
+
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
