@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from telemetra.llm import (
     decontamination,
+    near_duplicates,
     packing,
     quality_classifier,
     quality_rules,
@@ -47,6 +48,10 @@ def op7_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.drop("passages")
 
 
+def op8_multi_index_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
