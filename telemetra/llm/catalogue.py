@@ -14,6 +14,7 @@ from telemetra.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    suffix_dedup,
     token_counts,
     toxicity,
 )
@@ -43,6 +44,10 @@ def op4_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), keep_ids=False)
 
 
+def op5_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op7_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scores.drop("passages")
