@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from telemetra.llm import (
     decontamination,
+    language_model,
     near_duplicates,
     packing,
     quality_classifier,
@@ -48,6 +49,10 @@ def op5_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op6_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scores.drop("passages")
