@@ -80,6 +80,54 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
+def rows_where(df: DataFrame, test: Callable[[], Callable[..., bool]], *columns: Column) -> DataFrame:
+    """The rows of ``df`` for which ``test()(*columns)`` holds; all their columns pass through as they are."""
+    n, n_tested = len(df.columns), len(columns)
+    names = [f"_{i}" for i in range(n + n_tested)]
+    frame = df.select("*", *columns).toDF(*names)
+    schema = frame.select(*names[:n]).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds = test()
+        for batch in batches:
+            tested = zip(*(batch.column(n + i).to_pylist() for i in range(n_tested)), strict=True)
+            mask = pa.array([holds(*values) for values in tested], type=pa.bool_())
+            yield batch.select(names[:n]).filter(mask)
+
+    return frame.mapInArrow(run, schema).toDF(*df.columns)
+
+
+#: Words of 64 bits in a fixed filter.
+FILTER_WORDS = 1 << 17
+
+
+def fixed_filter(keys: DataFrame) -> np.ndarray:
+    """A bit set of fixed size that has the bit of every value of the column ``hash``.
+
+    It spares rows without a partner the shuffle of a join. The more keys, the more rows pass that
+    have none; the join still decides.
+    """
+    word = F.pmod("hash", F.lit(FILTER_WORDS)).alias("word")
+    bit = F.expr("shiftleft(1L, cast(pmod(shiftrightunsigned(hash, 40), 64) as int))").alias("bit")
+    by_word = keys.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    bits = np.zeros(FILTER_WORDS, dtype=np.uint64)
+    for line in by_word.collect():
+        bits[line["word"]] = np.uint64(line["bits"] & 0xFFFFFFFFFFFFFFFF)
+    return bits
+
+
+def in_filter(bits: np.ndarray, value: int) -> bool:
+    return bool(int(bits[value % FILTER_WORDS]) >> (value >> 40 & 63) & 1)
+
+
+def split_by_filter(df: DataFrame, keys: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: the rows whose ``key`` may be in ``keys (hash)``, and those that are surely not."""
+    shared = df.sparkSession.sparkContext.broadcast(fixed_filter(keys))
+    inside = rows_where(df, lambda: lambda value: in_filter(shared.value, value), key)
+    outside = rows_where(df, lambda: lambda value: not in_filter(shared.value, value), key)
+    return inside, outside
+
+
 def arrow_schema(df: DataFrame) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from telemetra.llm.common import arrow_schema, map_rows, written
+from telemetra.llm.common import arrow_schema, map_rows, rows_where, written
 from telemetra.llm.words import WordHashes, plain_words, shingle_hashes
 
 #: Words a match has at least.
@@ -171,3 +171,23 @@ def contamination(
         F.col("best").alias("coverage"),
         (F.size("item_ids") > 0).alias("contaminated"),
     )
+
+
+def decontaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    coverage: float = COVERAGE,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that cover no benchmark item to ``coverage`` or more; all columns pass through."""
+    for block in benchmark_blocks(benchmark, item_col, item_text_col):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def test(shared=shared):
+            items = Items(shared.value, LEAST_MATCH)
+            return lambda text: all(n < coverage * len(items.words[i]) for i, n in items.covered(text)[1].items())
+
+        docs = rows_where(docs, test, F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    return docs

@@ -22,14 +22,23 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from telemetra.llm.common import Emitter, arrow_schema, exchange_partitions, map_rows, mix, rows, written
+from telemetra.llm.common import (
+    Emitter,
+    arrow_schema,
+    exchange_partitions,
+    fixed_filter,
+    in_filter,
+    map_rows,
+    mix,
+    rows,
+    split_by_filter,
+    written,
+)
 from telemetra.llm.components import components
 from telemetra.llm.words import WordHashes, lower_words, shingle_hashes
 
 #: Nodes of a key that are compared with each other in one block.
 BLOCK_NODES = 1000
-#: Words of 64 bits in the filter that spares texts without candidates the shuffle; its size is fixed.
-FILTER_WORDS = 1 << 17
 #: Shingles whose signatures are computed together.
 TOGETHER = 1 << 17
 
@@ -218,17 +227,6 @@ def crossing_pairs(members: DataFrame, signature: Signature, partitions: int, ne
     return grouped.mapInArrow(run, "a bigint, b bigint, apart int").groupBy("a", "b").agg(F.min("apart").alias("apart"))
 
 
-def fixed_filter(keys: DataFrame) -> np.ndarray:
-    """A bit set of fixed size that has the bit of every value of the column ``hash``."""
-    word = F.pmod("hash", F.lit(FILTER_WORDS)).alias("word")
-    bit = F.expr("shiftleft(1L, cast(pmod(shiftrightunsigned(hash, 40), 64) as int))").alias("bit")
-    by_word = keys.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    bits = np.zeros(FILTER_WORDS, dtype=np.uint64)
-    for line in by_word.collect():
-        bits[line["word"]] = np.uint64(line["bits"] & 0xFFFFFFFFFFFFFFFF)
-    return bits
-
-
 def node_texts(
     docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str
 ) -> DataFrame:
@@ -246,8 +244,7 @@ def node_texts(
         bits, hashes = shared.value, WordHashes()
         packer = zstandard.ZstdCompressor(level=3)
         for value, text in lines:
-            word, bit = value % FILTER_WORDS, (value >> 40) & 63
-            if int(bits[word]) >> bit & 1:
+            if in_filter(bits, value):
                 shingles = shingle_set(text, hashes, size)
                 if len(shingles):
                     yield node_of(shingles), packer.compress(text)
@@ -347,3 +344,19 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col(id_col) == component, F.col("component_id").isNull()).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each group of near duplicates is kept.
+
+    All columns pass through. Rows that are repeated with id and text stay once. An id that stands
+    for several texts stays if any of them does, and rows without an id stay.
+    """
+    judged = written(near_duplicates(docs, words, percent, None, id_col, text_col).select(id_col, "kept"), "judged")
+    ids = judged.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
+    named = ids.where("not stays or n > 1").select(F.col(id_col).alias("_named"), "stays")
+    inside, outside = split_by_filter(docs, named.select(F.xxhash64("_named").alias("hash")), F.xxhash64(F.col(id_col)))
+    checked = inside.join(named, F.col(id_col) == F.col("_named"), "left").where("stays is null or stays")
+    # Only ids that were named can be repeated; others keep a key of their own.
+    once = checked.where("stays").dropDuplicates([id_col, text_col]).select(*docs.columns)
+    return outside.unionByName(checked.where("stays is null").select(*docs.columns)).unionByName(once)

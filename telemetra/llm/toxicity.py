@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemetra.llm.common import arrow_schema, map_rows, remainder_of_id
+from telemetra.llm.common import arrow_schema, map_rows, remainder_of_id, rows_where
 from telemetra.llm.labelled import labelled_sample, logistic, logistic_fit
 from telemetra.llm.words import plain_words
 
@@ -245,3 +245,19 @@ def held_out_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """Scores of all documents by a model that has not seen labels of ids with remainder 1 of 3."""
     model = fit(docs, labels, remainder_of_id(id_col, 3) != 1, id_col, text_col)
     return scored(docs, model, id_col, text_col).withColumn("held_out", remainder_of_id(id_col, 3) == 1)
+
+
+def clean_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text", cut: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that score below ``cut``; all columns pass through."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def test():
+        model = shared.value
+
+        def clean(text: bytes) -> bool:
+            found = evidence(model, *toxic_passages(model, text))
+            return float(logistic(np.array([model.weights[0] + model.weights[1] * found]))[0]) < cut
+
+        return clean
+
+    return rows_where(docs, test, F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
