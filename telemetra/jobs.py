@@ -9,24 +9,47 @@ from pyspark.sql.streaming import StreamingQuery
 
 from telemetra.operators import cells, rollup
 from telemetra.operators import sessions as session_ops
-from telemetra.schemas import GPS_METRIC_COLUMNS, LOG_CLOSE_NUM, LOG_CONNECT_NUM
+from telemetra.schemas import (
+    GPS_METRIC_COLUMNS,
+    LOG_CLOSE_NUM,
+    LOG_CONNECT_NUM,
+    LOG_CONNECTION_DURATION,
+    TEN_MINUTE_KEY,
+)
 from telemetra.sources import lines as src
 from telemetra.streaming import metrics, sessions
-from telemetra.streaming.sinks import AVAILABLE_NOW, for_each_batch
+from telemetra.streaming.sinks import AVAILABLE_NOW, append_to_files, first_order, for_each_batch
 
 LOG_COUNT_COLUMNS = {"connect_num": LOG_CONNECT_NUM, "close_num": LOG_CLOSE_NUM}
 
 
-def _into_cells(stream: DataFrame, names: dict[str, str], path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    """Changed buckets of each micro-batch become cells. The batch number is the write time, so a
-    repeated batch writes the same cells again and the store reads the same."""
+def _into_cells(
+    stream: DataFrame, names: dict[str, str], path: str, checkpoint: str, trigger: dict
+) -> StreamingQuery:
+    """Changed buckets of each micro-batch become cells.
+
+    The order of a write is the start of the run plus the batch number, both of which are stored: a
+    repeated batch writes the same cells again, and a run with a new checkpoint writes over an old one.
+    """
 
     def write(changes: DataFrame, batch_id: int) -> None:
-        cells.append_cells(cells.metric_text_cells(changes, names, F.lit(batch_id).cast("bigint")), path)
+        order = first_order(changes.sparkSession, checkpoint) + batch_id
+        cells.append_cells(cells.metric_text_cells(changes, names, F.lit(order).cast("bigint")), path)
 
     return for_each_batch(stream, write, checkpoint, trigger=trigger)
 
 
+def live_rejects(lines: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
+    """Lines and points of a stream that cannot be read, into the table at ``path``.
+
+    ``kind`` says what was tried: a GPS line (with the point text, if one point is at fault) or a log line.
+    """
+    clean = src.clean_lines(lines)
+    gps = src.gps_rejects(clean).select(F.lit("gps").alias("kind"), "value", "point")
+    log = src.log_rejects(clean).select(F.lit("log").alias("kind"), "value", F.lit(None).cast("string").alias("point"))
+    return append_to_files(gps.unionByName(log), path, checkpoint, trigger=trigger)
+
+
 def live_gps_metrics(
     lines: DataFrame, path: str, checkpoint: str, delay: str = "10 minutes", trigger: dict = AVAILABLE_NOW
 ) -> StreamingQuery:
@@ -44,21 +67,39 @@ def live_log_counts(
 
 
 def live_sessions(lines: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
-    """Raw lines of a stream to closed sessions and a carry table of open ones."""
-    return sessions.pair_with_carry(src.parse_log_lines(src.clean_lines(lines)), path, checkpoint, trigger)
+    """Raw lines of a stream to session states, closed and open ones."""
+    return sessions.gather_sessions(src.parse_log_lines(src.clean_lines(lines)), path, checkpoint, trigger)
 
 
 def connected_seconds(spark: SparkSession, path: str, as_of: datetime) -> DataFrame:
     """Connected seconds from what :func:`live_sessions` has written so far."""
-    known = sessions.read_pairs(spark, path).unionByName(sessions.read_carry(spark, path))
-    return session_ops.seconds_of_sessions(known, as_of)
+    return session_ops.seconds_of_sessions(session_ops.bounds_of(sessions.session_states(spark, path)), as_of)
+
+
+def store_connected_seconds(
+    spark: SparkSession, path: str, table: str, as_of: datetime, since: datetime | None = None
+) -> None:
+    """Connected seconds as cells in ``table``, the third log metric beside connects and closes.
+
+    ``since`` leaves out the buckets before it. A later run writes over what this one wrote, so
+    seconds of sessions that have closed meanwhile, or that arrived late, are put right.
+    """
+    seconds = connected_seconds(spark, path, as_of)
+    if since is not None:
+        seconds = seconds.where(F.col("time_id") >= since.strftime("%Y%m%d%H%M")[:TEN_MINUTE_KEY])
+    order = F.lit(cells.next_order(spark)).cast("bigint")
+    names = {"duration_seconds": LOG_CONNECTION_DURATION}
+    cells.append_cells(cells.metric_text_cells(seconds, names, order), table)
 
 
 def metrics_of_cells(stored: DataFrame) -> DataFrame:
-    """The latest cells of a metric table as long metric rows."""
-    return cells.latest_cells(stored).select(
-        F.substring_index("row_key", "_", 1).alias("terminal_id"),
-        F.substring_index("row_key", "_", -1).alias("time_id"),
+    """Current cells of a metric table as long metric rows. The time is what follows the last
+    underscore of the key, so terminals may have underscores in their names."""
+    key = F.col("row_key")
+    time_id = F.substring_index(key, "_", -1)
+    return stored.select(
+        F.substring(key, F.lit(1), F.length(key) - F.length(time_id) - 1).alias("terminal_id"),
+        time_id.alias("time_id"),
         F.col("qualifier").alias("metric"),
         F.col("value").cast("double").alias("value"),
         "day",
@@ -67,14 +108,19 @@ def metrics_of_cells(stored: DataFrame) -> DataFrame:
 
 def roll_up_previous(spark: SparkSession, source: str, target: str, as_of: datetime, key_length: int) -> bool:
     """Roll the hour (10) or day (8) before ``as_of`` up from the cells at ``source`` into the
-    cells at ``target``. Nothing is written for an empty period; returns whether there was any."""
+    cells at ``target``. Nothing is written for an empty period; returns whether there was any.
+    A second run for the same period, after a correction, writes over the first."""
     period = rollup.previous_period(as_of, key_length)
-    metrics_in_period = rollup.only_period(metrics_of_cells(cells.read_cells(spark, source)), period)
-    if metrics_in_period.isEmpty():
-        return False
-    rolled = rollup.rollup(metrics_in_period, key_length)
-    write_ts = F.lit(int(as_of.timestamp() * 1000)).cast("bigint")
-    is_ratio = F.col("metric") == GPS_METRIC_COLUMNS["gps_online_percent"]
-    as_text = F.when(is_ratio, F.col("value").cast("string")).otherwise(F.col("value").cast("bigint").cast("string"))
-    cells.append_cells(cells.cells_of_metrics(rolled.withColumn("value", as_text), write_ts), target)
-    return True
+    stored = metrics_of_cells(cells.stored_cells(spark, source))
+    rolled = rollup.rollup(rollup.only_period(stored, period), key_length).persist()
+    try:
+        if rolled.isEmpty():
+            return False
+        order = F.lit(cells.next_order(spark)).cast("bigint")
+        is_ratio = F.col("metric") == GPS_METRIC_COLUMNS["gps_online_percent"]
+        whole = F.col("value").cast("bigint").cast("string")
+        as_text = F.when(is_ratio, F.col("value").cast("string")).otherwise(whole)
+        cells.append_cells(cells.cells_of_metrics(rolled.withColumn("value", as_text), order), target)
+        return True
+    finally:
+        rolled.unpersist()

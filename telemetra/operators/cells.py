@@ -2,11 +2,15 @@
 
 Writes append; reads take the newest write of each cell with a partial aggregation. The table is
 partitioned by day and its files are sorted by key: a point read visits one folder and, through
-the row-group statistics, few pages of it.
+the row-group statistics, few pages of it. ``write_ts`` is the order of writes: every write has a
+larger one than all before it. A deleted row is a write too, of a cell that hides the row's older
+cells. Compaction leaves the newest write of each cell.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -15,7 +19,7 @@ from telemetra import schemas
 from telemetra.functions import timekeys
 from telemetra.operators.numbering import with_row_number
 from telemetra.operators.point_metrics import wide_to_long
-from telemetra.schemas import DAY_KEY, WIDE_PUT_QUALIFIERS
+from telemetra.schemas import DAY_KEY, ORDERS_PER_MILLI, WIDE_PUT_QUALIFIERS
 
 CELL = ["row_key", "qualifier"]
 
@@ -32,6 +36,11 @@ def day_of_key(key: Column) -> Column:
     return timekeys.parent_key(F.substring_index(key, "_", -1), DAY_KEY)
 
 
+def day_of_wide_key(key: Column) -> Column:
+    """The day folder of a ``time_terminal`` row key; the terminal may hold underscores."""
+    return timekeys.parent_key(F.substring_index(key, "_", 1), DAY_KEY)
+
+
 def cells_of_metrics(metrics: DataFrame, write_ts: Column) -> DataFrame:
     """Long metric rows as cells, with their day for partitioning."""
     return metrics.select(
@@ -53,7 +62,7 @@ def cells_of_wide_rows(wide: DataFrame, write_ts: Column) -> DataFrame:
     return (
         wide.select(row_key(F.col("time_id"), F.col("terminal_id")).alias("row_key"), write_ts.alias("write_ts"), *columns)
         .unpivot(["row_key", "write_ts"], list(WIDE_PUT_QUALIFIERS.values()), "qualifier", "value")
-        .select("row_key", "qualifier", "value", "write_ts")
+        .select("row_key", "qualifier", "value", "write_ts", day_of_wide_key(F.col("row_key")).alias("day"))
     )
 
 
@@ -78,14 +87,20 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CELL).parquet(path)
 
 
+def _newest_first() -> list[Column]:
+    """How writes of a cell rank. One write that has a cell twice keeps the larger number."""
+    return [F.col("write_ts"), F.col("value").try_cast("double"), F.col("value")]
+
+
 def latest_cells(cells: DataFrame) -> DataFrame:
-    """The newest write of each cell; equal times fall back to the larger value.
+    """The newest write of each cell.
 
     The day belongs to the key and is grouped by too, so a test on day or key that comes later
     still reaches the scan.
     """
     others = [c for c in cells.columns if c not in (*CELL, "value", "write_ts")]
-    newest = F.max(F.struct("write_ts", "value")).alias("newest")
+    write_ts, number, value = _newest_first()
+    newest = F.max(F.struct(write_ts, number.alias("number"), value)).alias("newest")
     return cells.groupBy(*CELL, *others).agg(newest).select(*CELL, "newest.value", "newest.write_ts", *others)
 
 
@@ -93,6 +108,52 @@ def upsert_cells(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return latest_cells(existing.unionByName(incoming))
 
 
+def next_order(spark: SparkSession) -> int:
+    """An order for a write of its own; later calls give larger ones, across applications too."""
+    return time.time_ns() // 1_000_000 * ORDERS_PER_MILLI
+
+
+#: Qualifier of the cell that deletes a row up to its own order.
+TOMBSTONE = ""
+
+
+def delete_stored_rows(keys: DataFrame, path: str, order: int, day: Callable[[Column], Column] = day_of_key) -> None:
+    """Delete rows of the table at ``path``: one tombstone per key, in the day folder of the key."""
+    key = F.col("row_key")
+    marks = keys.where(key.isNotNull()).select("row_key").distinct()
+    append_cells(
+        marks.select(
+            key,
+            F.lit(TOMBSTONE).alias("qualifier"),
+            F.lit("").alias("value"),
+            F.lit(order).cast("bigint").alias("write_ts"),
+            day(key).alias("day"),
+        ),
+        path,
+    )
+
+
+def stored_cells(spark: SparkSession, path: str) -> DataFrame:
+    """The current cells of a table: newest writes, without what a later tombstone hides.
+
+    One aggregation by row and one join on the same key; rows never deleted meet no tombstone.
+    """
+    newest = latest_cells(read_cells(spark, path))
+    gone = newest.where(F.col("qualifier") == TOMBSTONE).select("day", "row_key", F.col("write_ts").alias("gone_at"))
+    kept = newest.where(F.col("qualifier") != TOMBSTONE).join(gone, ["day", "row_key"], "left")
+    return kept.where(F.col("gone_at").isNull() | (F.col("write_ts") > F.col("gone_at"))).select(*newest.columns)
+
+
+def compact_days(spark: SparkSession, path: str, target: str, days: list[str] | None = None) -> None:
+    """Write the current cells of some days (all by default) to the table at ``target``.
+
+    A day becomes as few files as its size asks for. The job names the source and the target, and
+    switches readers to the target when it is complete; the source stays as it is.
+    """
+    current = stored_cells(spark, path)
+    append_cells(current if days is None else current.where(F.col("day").isin(days)), target)
+
+
 def delete_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
     """All cells except those of the given row keys (a frame with the column ``row_key``)."""
     return cells.join(keys.select("row_key").distinct(), "row_key", "left_anti")
@@ -149,7 +210,7 @@ def newest_versions(cells: DataFrame, max_versions: int) -> DataFrame:
     The rank limit is applied before the shuffle too, so a cell written millions of times sends
     at most ``max_versions`` rows per input task.
     """
-    newest_first = Window.partitionBy(*CELL).orderBy(F.col("write_ts").desc(), F.col("value").desc())
+    newest_first = Window.partitionBy(*CELL).orderBy(*[c.desc() for c in _newest_first()])
     return (
         cells.withColumn("version", F.row_number().over(newest_first))
         .where(F.col("version") <= max(max_versions, 1))
@@ -223,6 +284,31 @@ def next_page(
     return newest_versions(inside, max_versions), position
 
 
+def write_page_bounds(cells: DataFrame, page_size: int, path: str) -> DataFrame:
+    """Number the row keys once and store the bounds of every page; see :func:`page_info`."""
+    page_info(cells, page_size).write.parquet(path)
+    return cells.sparkSession.read.parquet(path)
+
+
+def numbered_page(
+    cells: DataFrame, bounds: DataFrame, index: int, page_size: int, max_versions: int = 1
+) -> tuple[DataFrame, Page]:
+    """Any page by its stored bounds: one look-up, then a range read of its keys."""
+    line = bounds.where(F.col("page_index") == index).first()
+    if line is None:
+        return newest_versions(cells.where(F.lit(False)), max_versions), Page(size=page_size, index=index, row_count=0)
+    page = Page(
+        size=page_size,
+        index=index,
+        first_key=line["first_key"],
+        last_key=line["last_key"],
+        rows_seen=line["rows_seen"],
+        row_count=line["row_count"],
+    )
+    inside = cells.where((F.col("row_key") >= page.first_key) & (F.col("row_key") <= page.last_key))
+    return newest_versions(inside, max_versions), page
+
+
 def page_info(keys: DataFrame, page_size: int) -> DataFrame:
     """One summary row per page of a table's distinct row keys, in key order."""
     numbered = with_row_number(keys.select("row_key").distinct(), [F.col("row_key")])

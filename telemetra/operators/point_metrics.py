@@ -117,16 +117,22 @@ def percent_by_join(totals: DataFrame, onlines: DataFrame) -> DataFrame:
     return totals.join(onlines, KEYS).select(*KEYS, percent.alias("gps_online_percent"))
 
 
-def wide_by_left_joins(points: DataFrame, points_per_bucket: int = POINTS_PER_BUCKET) -> DataFrame:
-    """The wide row assembled metric by metric; an absent metric is null.
+def left_joined(totals: DataFrame, frames: list[DataFrame]) -> DataFrame:
+    """Metric frames of different origin side by side, by terminal and bucket key; an absent metric is null.
 
-    Every side has one row per key and the same key, so the sides stay co-partitioned.
+    Frames that come from the same points need no join, see :func:`wide_with_absent`.
     """
-    frames = [frequent_metric(points, points_per_bucket)]
-    frames += [count_metric(points, name) for name in point_rules()]
-    frames.append(percent_metric(points, points_per_bucket))
-    joined = reduce(lambda left, right: left.join(right, KEYS, "left"), frames, total_metric(points, points_per_bucket))
-    return joined.select(*KEYS, *GPS_METRIC_COLUMNS)
+    return reduce(lambda left, right: left.join(right, KEYS, "left"), frames, totals)
+
+
+def wide_with_absent(points: DataFrame, points_per_bucket: int = POINTS_PER_BUCKET) -> DataFrame:
+    """The wide row as left joins of one frame per metric would give it: an absent metric is null.
+
+    All frames would come from one aggregation with the same key, so each is a column of it and the
+    joins fall away: one scan, one exchange of partial counts.
+    """
+    wide = metrics_wide(points, points_per_bucket)
+    return wide.select(*KEYS, *[_absent_as_null(name, metric).alias(name) for name, metric in GPS_METRIC_COLUMNS.items()])
 
 
 def _absent_as_null(name: str, metric: str) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from telemetra.functions import timekeys
 from telemetra.operators.point_metrics import online_percent
@@ -66,11 +66,36 @@ def percent_of_sums(metrics: DataFrame, key_length: int) -> DataFrame:
 
 
 def rollup(metrics: DataFrame, key_length: int) -> DataFrame:
-    """Frequency, percent and sums of the period in one frame."""
+    """Frequency, percent and sums of the period in one frame.
+
+    One aggregation by terminal, period and metric gives the sum and the latest child's value. The
+    percent comes from its rows for total and online counts, as one more row beside the total.
+    """
+    period = ["terminal_id", "parent_id"]
+    name = F.col("metric")
+    summed = (
+        _to_parent(metrics.where(name != GPS_ONLINE_PERCENT), key_length)
+        .groupBy(*period, "metric")
+        .agg(F.sum("value").alias("total"), F.max_by("value", "child_id").alias("latest"))
+    )
+
+    def of_period(metric: str) -> Column:
+        whole = F.sum(F.when(name == metric, F.col("total"))).over(Window.partitionBy(*period))
+        return whole.cast("bigint")
+
+    share = online_percent(of_period(GPS_TOTAL_NUM), of_period(GPS_ONLINE_TOTAL))
+    own = F.when(name == GPS_FREQUENT, F.col("latest")).otherwise(F.col("total"))
+    line = F.struct(name.alias("metric"), F.col("value"))
+    percent = F.struct(F.lit(GPS_ONLINE_PERCENT).alias("metric"), F.col("share").alias("value"))
+    with_percent = (name == GPS_TOTAL_NUM) & F.col("share").isNotNull()
     return (
-        latest_frequency(metrics, key_length)
-        .unionByName(percent_of_sums(metrics, key_length))
-        .unionByName(sum_metrics(metrics, key_length))
+        summed.select(*period, "metric", own.alias("value"), share.alias("share"))
+        .select(
+            "terminal_id",
+            F.col("parent_id").alias("time_id"),
+            F.explode(F.when(with_percent, F.array(line, percent)).otherwise(F.array(line))).alias("row"),
+        )
+        .select(*KEYS, "row.metric", "row.value")
     )
 
 
@@ -100,12 +125,12 @@ def only_period(metrics: DataFrame, period: str) -> DataFrame:
     return metrics.where(in_day & F.col("time_id").startswith(period))
 
 
-def explode_wide_rows(wide: DataFrame, names: dict[str, str], key_length: int) -> DataFrame:
-    """One row per cell of every wide row, keyed by the parent period."""
-    key = timekeys.parent_key(F.col("time_id"), key_length).alias("parent_id")
-    cells = [F.col(column).cast("string").alias(name) for column, name in names.items()]
-    return (
-        wide.select("terminal_id", key, *cells)
-        .unpivot(["terminal_id", "parent_id"], list(names.values()), "metric", "value")
-        .where(F.col("value").isNotNull())
+def explode_cells(cells: DataFrame, key_length: int) -> DataFrame:
+    """One row per stored cell of a metric table, keyed by terminal and parent period."""
+    key, time_id = F.col("row_key"), F.substring_index("row_key", "_", -1)
+    return cells.select(
+        F.substring(key, F.lit(1), F.length(key) - F.length(time_id) - 1).alias("terminal_id"),
+        timekeys.parent_key(time_id, key_length).alias("parent_id"),
+        F.col("qualifier").alias("metric"),
+        "value",
     )

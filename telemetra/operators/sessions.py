@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemetra.functions import timekeys
 from telemetra.functions.numbers import whole_div
 from telemetra.schemas import (
     BUCKET_MILLIS,
+    BUCKET_SECONDS,
+    DAY_MILLIS,
     LOG_CLOSE_NUM,
     LOG_CONNECT_NUM,
     LOG_CONNECTION_DURATION,
@@ -62,29 +64,53 @@ def status_counts(records: DataFrame) -> DataFrame:
     )
 
 
-def session_bounds(records: DataFrame) -> DataFrame:
-    """One row per session: first and last instant, number of records, whether one connected."""
+STATE = ["open_ms", "close_ms", "record_count"]
+
+
+def session_state(records: DataFrame) -> DataFrame:
+    """One row per session: first connect, last close and number of records. States can be merged."""
     ms = timekeys.millis_of(F.col("ts"))
     return records.groupBy(*SESSION).agg(
-        F.min(ms).alias("start_ms"),
-        F.max(ms).alias("end_ms"),
-        F.count(F.lit(1)).alias("record_count"),
-        F.max("online_status").alias("online_status"),
+        F.min(F.when(F.col("online_status") == 1, ms)).alias("open_ms"),
+        F.max(F.when(F.col("online_status") == 0, ms)).alias("close_ms"),
+        F.count_if(F.col("online_status").isin(0, 1)).alias("record_count"),
     )
 
 
-def pair_sessions(records: DataFrame) -> DataFrame:
-    """Sessions with both ends known: the smaller instant opens, the bigger one closes."""
-    return session_bounds(records).where(F.col("record_count") >= 2).select(
-        *SESSION, "start_ms", "end_ms", "record_count"
+def merged_states(states: DataFrame) -> DataFrame:
+    """States of parts of the records, in any order, as the state of all of them."""
+    return states.groupBy(*SESSION).agg(
+        F.min("open_ms").alias("open_ms"), F.max("close_ms").alias("close_ms"), F.sum("record_count").alias("record_count")
+    )
+
+
+def bounds_of(states: DataFrame) -> DataFrame:
+    """Start, end and whether both a connect and a close are known. Copies of a record change nothing."""
+    known = states.where(F.col("open_ms").isNotNull() | F.col("close_ms").isNotNull())
+    return known.select(
+        *SESSION,
+        F.least("open_ms", "close_ms").alias("start_ms"),
+        F.greatest("open_ms", "close_ms").alias("end_ms"),
+        "record_count",
+        F.col("open_ms").isNotNull().cast("int").alias("online_status"),
+        (F.col("open_ms").isNotNull() & F.col("close_ms").isNotNull()).alias("is_closed"),
     )
 
 
+def session_bounds(records: DataFrame) -> DataFrame:
+    return bounds_of(session_state(records))
+
+
+def pair_sessions(records: DataFrame) -> DataFrame:
+    """Sessions with a connect and a close: the smaller instant opens, the bigger one closes."""
+    return session_bounds(records).where("is_closed").select(*SESSION, "start_ms", "end_ms", "record_count")
+
+
 def unpaired_sessions(records: DataFrame) -> DataFrame:
-    """The single record of every session that has only one."""
+    """One record for every session that has only connects (the first) or only closes (the last)."""
     return (
         session_bounds(records)
-        .where(F.col("record_count") == 1)
+        .where("not is_closed")
         .select(*SESSION, F.timestamp_millis("start_ms").alias("ts"), "online_status")
     )
 
@@ -96,7 +122,10 @@ def pair_by_join(records: DataFrame) -> DataFrame:
     def side(status: int, name: str, pick) -> DataFrame:
         return records.where(F.col("online_status") == status).groupBy(*SESSION).agg(pick(ms).alias(name))
 
-    return side(1, "open_ms", F.min).join(side(0, "close_ms", F.max), SESSION)
+    joined = side(1, "connected", F.min).join(side(0, "closed", F.max), SESSION)
+    return joined.select(
+        *SESSION, F.least("connected", "closed").alias("open_ms"), F.greatest("connected", "closed").alias("close_ms")
+    )
 
 
 def requeue_lines(records: DataFrame) -> DataFrame:
@@ -107,26 +136,61 @@ def requeue_lines(records: DataFrame) -> DataFrame:
 # ---- connected seconds -------------------------------------------------------------------
 
 
-def split_into_buckets(sessions: DataFrame, start: Column, end: Column, last: Column | None = None) -> DataFrame:
-    """One row per bucket a session touches with the whole seconds spent in it.
+def seconds_by_bucket(sessions: DataFrame, start: Column, end: Column, last: Column | None = None) -> DataFrame:
+    """Connected seconds per terminal and bucket; whole seconds of each session in each bucket.
 
-    ``last`` is the start of the last bucket; it defaults to the bucket ``end`` lies in.
+    ``last`` is the start of the last bucket; it defaults to the bucket ``end`` lies in. A session
+    gives at most three rows however long it is: its seconds in the first and last bucket, and +1
+    and -1 where the buckets between them begin and end. Those are summed per terminal and bucket;
+    a running sum says how many sessions fill a bucket. It runs within a terminal and day, on top
+    of the day totals, so a busy terminal is split over its days.
     """
-    first = timekeys.bucket_start_ms(start)
-    last = timekeys.bucket_start_ms(end) if last is None else last
     step = F.lit(BUCKET_MILLIS).cast("bigint")
-    inside = F.least(F.col("end"), F.col("bucket") + BUCKET_MILLIS) - F.greatest(F.col("start"), F.col("bucket"))
-    return (
-        sessions.select("terminal_id", start.alias("start"), end.alias("end"), F.explode(F.sequence(first, last, step)).alias("bucket"))
-        .select("terminal_id", "bucket", whole_div(inside, 1000).alias("seconds"))
-    )
+    zero = F.lit(0).cast("bigint")
+    first = timekeys.bucket_start_ms(F.col("start"))
 
+    def change(bucket: Column, seconds: Column, filling: Column, touched: int) -> Column:
+        return F.struct(
+            bucket.alias("bucket"), seconds.alias("seconds"), filling.alias("filling"), F.lit(touched).cast("bigint").alias("touched")
+        )
 
-def sum_by_bucket(split: DataFrame) -> DataFrame:
-    return (
-        split.groupBy("terminal_id", "bucket")
-        .agg(F.sum("seconds").alias("duration_seconds"))
-        .select("terminal_id", timekeys.time_id_of_millis(F.col("bucket")).alias("time_id"), "duration_seconds")
+    one_bucket = F.array(change(F.col("first"), whole_div(F.col("end") - F.col("start"), 1000), zero, 1))
+    several = F.array(
+        change(F.col("first"), whole_div(F.col("first") + step - F.col("start"), 1000), zero, 1),
+        change(F.col("first") + step, zero, zero + 1, 0),
+        change(F.col("last"), whole_div(F.col("end") - F.col("last"), 1000), zero - 1, 1),
+    )
+    spans = sessions.select(
+        "terminal_id", start.alias("start"), end.alias("end"), (timekeys.bucket_start_ms(end) if last is None else last).alias("last")
+    ).withColumn("first", first)
+    changes = (
+        spans.select("terminal_id", F.explode(F.when(F.col("first") == F.col("last"), one_bucket).otherwise(several)).alias("c"))
+        .select("terminal_id", "c.*")
+        .withColumn("day", whole_div(F.col("bucket"), DAY_MILLIS))
+        .groupBy("terminal_id", "day", "bucket")
+        .agg(F.sum("seconds").alias("seconds"), F.sum("filling").alias("filling"), F.sum("touched").alias("touched"))
+    )
+    days = changes.groupBy("terminal_id", "day").agg(F.sum("filling").alias("net"), F.min("bucket").alias("first_bucket"))
+    over_days = Window.partitionBy("terminal_id").orderBy("day")
+    days = days.select(
+        "terminal_id",
+        "day",
+        (F.sum("net").over(over_days) - F.col("net")).alias("carried"),
+        F.lead("first_bucket").over(over_days).alias("later"),
+    )
+    in_day = Window.partitionBy("terminal_id", "day").orderBy("bucket")
+    full = F.col("carried") + F.sum("filling").over(in_day)
+    until = F.coalesce(F.lead("bucket").over(in_day), F.col("later"), F.col("bucket") + step)
+    filled = changes.join(days, ["terminal_id", "day"]).select(
+        "terminal_id", "bucket", "seconds", "touched", full.alias("full"), until.alias("until")
+    )
+    filled = filled.where((F.col("touched") > 0) | (F.col("full") > 0))
+    each = F.sequence("bucket", F.when(F.col("full") > 0, F.col("until") - step).otherwise(F.col("bucket")), step)
+    own = F.when(F.col("at") == F.col("bucket"), F.col("seconds")).otherwise(0)
+    return filled.select("terminal_id", "bucket", "seconds", "full", F.explode(each).alias("at")).select(
+        "terminal_id",
+        timekeys.time_id_of_millis(F.col("at")).alias("time_id"),
+        (own + F.col("full") * BUCKET_SECONDS).cast("bigint").alias("duration_seconds"),
     )
 
 
@@ -136,15 +200,12 @@ def _same_bucket() -> Column:
 
 def duration_same_bucket(records: DataFrame) -> DataFrame:
     pairs = pair_sessions(records).where(_same_bucket())
-    seconds = timekeys.seconds_between(F.col("start_ms"), F.col("end_ms"))
-    return sum_by_bucket(
-        pairs.select("terminal_id", timekeys.bucket_start_ms(F.col("start_ms")).alias("bucket"), seconds.alias("seconds"))
-    )
+    return seconds_by_bucket(pairs, F.col("start_ms"), F.col("end_ms"))
 
 
 def duration_cross_bucket(records: DataFrame) -> DataFrame:
     pairs = pair_sessions(records).where(~_same_bucket())
-    return sum_by_bucket(split_into_buckets(pairs, F.col("start_ms"), F.col("end_ms")))
+    return seconds_by_bucket(pairs, F.col("start_ms"), F.col("end_ms"))
 
 
 def _as_of_bucket(as_of: datetime) -> Column:
@@ -157,12 +218,8 @@ def _accruing(accrue_lone_close: bool) -> Column:
 
 
 def duration_open(records: DataFrame, as_of: datetime, accrue_lone_close: bool = False) -> DataFrame:
-    """Sessions with one record accrue up to the end of the bucket ``as_of`` lies in."""
-    last = _as_of_bucket(as_of)
-    opened = session_bounds(records).where(
-        (F.col("record_count") == 1) & _accruing(accrue_lone_close) & (F.col("start_ms") < last + BUCKET_MILLIS)
-    )
-    return sum_by_bucket(split_into_buckets(opened, F.col("start_ms"), last + BUCKET_MILLIS, last))
+    """Sessions without a close (or connect) accrue up to the end of the bucket ``as_of`` lies in."""
+    return seconds_of_sessions(session_bounds(records).where("not is_closed"), as_of, accrue_lone_close)
 
 
 def duration_total(records: DataFrame, as_of: datetime, accrue_lone_close: bool = False) -> DataFrame:
@@ -171,19 +228,18 @@ def duration_total(records: DataFrame, as_of: datetime, accrue_lone_close: bool
 
 
 def seconds_of_sessions(sessions: DataFrame, as_of: datetime, accrue_lone_close: bool = False) -> DataFrame:
-    """Connected seconds of reduced sessions, see :func:`session_bounds`.
+    """Connected seconds of reduced sessions, see :func:`bounds_of`.
 
-    Same bucket, several buckets and still open differ only in where the session ends, so one
-    split and one sum serve them all.
+    Same bucket, several buckets and still open differ only in where the session ends.
     """
     last = _as_of_bucket(as_of)
-    is_open = F.col("record_count") == 1
+    is_open = ~F.col("is_closed")
     counted = sessions.where(
         ~is_open | (_accruing(accrue_lone_close) & (F.col("start_ms") < last + BUCKET_MILLIS))
     )
     end = F.when(is_open, last + BUCKET_MILLIS).otherwise(F.col("end_ms"))
     last_bucket = F.when(is_open, last).otherwise(timekeys.bucket_start_ms(F.col("end_ms")))
-    return sum_by_bucket(split_into_buckets(counted, F.col("start_ms"), end, last_bucket))
+    return seconds_by_bucket(counted, F.col("start_ms"), end, last_bucket)
 
 
 def metrics_long(records: DataFrame, as_of: datetime) -> DataFrame:

@@ -83,7 +83,10 @@ SELECT time_id || '_' || terminal_id AS row_key,
 FROM wide""",
 )
 def cells_put_wide(spark, sf_dir):
-    return ops.cells_of_wide_rows(pm.metrics_wide(gps_points(spark, sf_dir)), F.lit(1).cast("bigint"))
+    """Wide rows are put into a table of their own and read back."""
+    path = new_dir(spark, "wide-cells")
+    ops.append_cells(ops.cells_of_wide_rows(pm.metrics_wide(gps_points(spark, sf_dir)), F.lit(1).cast("bigint")), path)
+    return ops.stored_cells(spark, path).drop("day")
 
 
 @query("cells_scan_full", f"WITH {CELLS_SQL} SELECT {_COLUMNS} FROM cells")
@@ -149,7 +152,12 @@ def cells_get_rows(spark, sf_dir):
 
 @query("cells_delete_keys", f"WITH {CELLS_SQL} SELECT {_COLUMNS} FROM cells WHERE row_key NOT IN ({_ERROR_KEYS_SQL})")
 def cells_delete_keys(spark, sf_dir):
-    return ops.delete_rows(cell_table(spark, sf_dir), _offline_keys(spark, sf_dir)).select(*COLUMNS)
+    """Rows are deleted in a stored table, which is compacted then and read back."""
+    path, target = new_dir(spark, "deletes"), new_dir(spark, "compacted")
+    ops.append_cells(cell_table(spark, sf_dir), path)
+    ops.delete_stored_rows(_offline_keys(spark, sf_dir), path, ops.next_order(spark))
+    ops.compact_days(spark, path, target)
+    return ops.read_cells(spark, target).select(*COLUMNS)
 
 
 @query(
@@ -171,10 +179,10 @@ SELECT {_COLUMNS}, CAST(3 AS INTEGER) AS page_index, CAST({3 * PAGE_SIZE} AS INT
 FROM ranked WHERE nth > {2 * PAGE_SIZE} AND nth <= {3 * PAGE_SIZE}""",
 )
 def cells_page(spark, sf_dir):
-    """The third page from a start key on: two pages are turned first."""
-    cells, page = cell_table(spark, sf_dir), ops.Page(size=PAGE_SIZE)
-    for _ in range(3):
-        rows, page = ops.next_page(cells, page, start_key="0_20240103")
+    """The third page from a start key on, by page bounds that are numbered once."""
+    cells = cell_table(spark, sf_dir).where(F.col("row_key") >= "0_20240103")
+    pages = ops.write_page_bounds(cells, PAGE_SIZE, new_dir(spark, "pages"))
+    rows, page = ops.numbered_page(cells, pages, 3, PAGE_SIZE)
     return rows.select(*COLUMNS, F.lit(page.index).alias("page_index"), F.lit(page.rows_seen).alias("rows_seen"))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from telemetra.operators import point_metrics as pm
-from telemetra.plans.inputs import GPS_LONG_SQL, POINTS_SQL, WIDE_SQL, gps_points
+from telemetra.plans.inputs import GPS_LONG_SQL, POINTS_SQL, WIDE_BY_USER_SQL, WIDE_SQL, gps_points, gps_points_by_user
 from telemetra.plans.registry import query
 
 
@@ -66,6 +66,12 @@ def gps_metrics_wide(spark, sf_dir):
     return pm.metrics_wide(gps_points(spark, sf_dir))
 
 
+@query("gps_metrics_wide_by_user", f"WITH {WIDE_BY_USER_SQL} SELECT * FROM wide")
+def gps_metrics_wide_by_user(spark, sf_dir):
+    """One terminal per user, so that the number of keys grows with the events."""
+    return pm.metrics_wide(gps_points_by_user(spark, sf_dir))
+
+
 @query("gps_metrics_long", f"WITH {GPS_LONG_SQL} SELECT * FROM gps_long")
 def gps_metrics_long(spark, sf_dir):
     return pm.metrics_long(gps_points(spark, sf_dir))
@@ -88,4 +94,4 @@ SELECT terminal_id, time_id, gps_frequent, gps_total_num,
 FROM wide""",
 )
 def metrics_left_join_wide(spark, sf_dir):
-    return pm.wide_by_left_joins(gps_points(spark, sf_dir))
+    return pm.wide_with_absent(gps_points(spark, sf_dir))

@@ -41,6 +41,12 @@ def gps_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points_of(table(spark, sf_dir, "events"))
 
 
+def gps_points_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same points with one terminal per user."""
+    user = F.col("user_id").cast("string").alias("user")
+    return points_of(table(spark, sf_dir, "events"), user).drop("terminal_id").withColumnRenamed("user", "terminal_id")
+
+
 POINTS_SQL = """
 points AS (
   SELECT CAST(user_id % 2 AS VARCHAR) AS terminal_id, ts,
@@ -105,6 +111,8 @@ def long_sql(ids: str, kind: str, name: str, source: str = "wide") -> str:
 )"""
 
 
+WIDE_BY_USER_SQL = WIDE_SQL.replace("CAST(user_id % 2 AS VARCHAR)", "CAST(user_id AS VARCHAR)")
+
 GPS_LONG_SQL = WIDE_SQL + "," + long_sql("terminal_id, time_id", "DOUBLE", "gps_long")
 
 
@@ -155,10 +163,18 @@ records AS (
 )"""
 
 SESSIONS_SQL = LOG_SQL + """,
-bounds AS (
-  SELECT serial_num, terminal_id, min(ms) AS start_ms, max(ms) AS end_ms,
-         count(*) AS record_count, max(online_status) AS online_status
+states AS (
+  SELECT serial_num, terminal_id, count(*) AS record_count,
+         min(ms) FILTER (WHERE online_status = 1) AS open_ms, max(ms) FILTER (WHERE online_status = 0) AS close_ms
   FROM records GROUP BY serial_num, terminal_id
+),
+bounds AS (
+  SELECT serial_num, terminal_id, record_count,
+         coalesce(least(open_ms, close_ms), open_ms, close_ms) AS start_ms,
+         coalesce(greatest(open_ms, close_ms), open_ms, close_ms) AS end_ms,
+         CASE WHEN open_ms IS NULL THEN 0 ELSE 1 END AS online_status,
+         open_ms IS NOT NULL AND close_ms IS NOT NULL AS is_closed
+  FROM states
 )"""
 
 # The bucket AS_OF lies in starts at 2024-01-31 00:00:00.

@@ -7,11 +7,12 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from telemetra.operators import point_metrics, rollup, sessions
-from telemetra.plans.inputs import AS_OF, GPS_LONG_SQL, WIDE_SQL, gps_points, log_records
+from telemetra.plans.cell_store import CELLS_SQL, cell_table
+from telemetra.plans.inputs import AS_OF, GPS_LONG_SQL, gps_points, log_records
 from telemetra.plans.registry import query
 from telemetra.plans.sessions import LOG_LONG_SQL
 from telemetra.plans.staging import staged
-from telemetra.schemas import DAY_KEY, GPS_METRIC_COLUMNS, HOUR_KEY
+from telemetra.schemas import DAY_KEY, HOUR_KEY
 
 ALL_LONG_SQL = f"""{GPS_LONG_SQL}, {LOG_LONG_SQL},
 cells AS (SELECT * FROM gps_long UNION ALL SELECT * FROM log_long)"""
@@ -120,19 +121,10 @@ def union_all_metrics(spark, sf_dir):
 
 @query(
     "cells_explode_rows",
-    f"""WITH {WIDE_SQL},
-present AS (
-  SELECT terminal_id, substr(time_id, 1, 10) AS parent_id,
-         unnest(['gpsFrequent','gpsTotalNum','gpsOnlineTotal','gpsWeakNum','gpsNotOpenNum','zeroSpeedNum',
-                 'gpsOfflineTotal','gpsNormalNum','gpsOnlinePercent']) AS metric,
-         unnest([CAST(gps_frequent AS VARCHAR), CAST(gps_total_num AS VARCHAR), CAST(gps_online_total AS VARCHAR),
-                 CAST(gps_weak_num AS VARCHAR), CAST(gps_not_open_num AS VARCHAR), CAST(gps_zero_speed_num AS VARCHAR),
-                 CAST(gps_offline_total AS VARCHAR), CAST(gps_normal_num AS VARCHAR),
-                 CAST(gps_online_percent AS VARCHAR)]) AS value
-  FROM wide
-)
-SELECT * FROM present WHERE value IS NOT NULL""",
+    f"""WITH {CELLS_SQL}
+SELECT split_part(row_key, '_', 1) AS terminal_id, substr(split_part(row_key, '_', 2), 1, 10) AS parent_id,
+       qualifier AS metric, value
+FROM cells""",
 )
 def cells_explode_rows(spark, sf_dir):
-    wide = point_metrics.metrics_wide(gps_points(spark, sf_dir))
-    return rollup.explode_wide_rows(wide, GPS_METRIC_COLUMNS, HOUR_KEY)
+    return rollup.explode_cells(cell_table(spark, sf_dir), HOUR_KEY)

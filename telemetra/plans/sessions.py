@@ -26,9 +26,9 @@ durations AS (
   FROM split GROUP BY terminal_id, b
 )"""
 
-_PAIR_SPANS = "SELECT terminal_id, start_ms AS s, end_ms AS e, end_ms - end_ms % 600000 AS last_bucket FROM bounds WHERE record_count >= 2"
+_PAIR_SPANS = "SELECT terminal_id, start_ms AS s, end_ms AS e, end_ms - end_ms % 600000 AS last_bucket FROM bounds WHERE is_closed"
 _OPEN_SPANS = f"""SELECT terminal_id, start_ms AS s, {AS_OF_BUCKET_SQL} + 600000 AS e, {AS_OF_BUCKET_SQL} AS last_bucket
-  FROM bounds WHERE record_count = 1 AND online_status = 1 AND start_ms < {AS_OF_BUCKET_SQL} + 600000"""
+  FROM bounds WHERE NOT is_closed AND online_status = 1 AND start_ms < {AS_OF_BUCKET_SQL} + 600000"""
 
 
 def _duration_sql(spans: str) -> str:
@@ -61,7 +61,7 @@ def log_close_num(spark, sf_dir):
 
 @query(
     "session_pair",
-    f"WITH {SESSIONS_SQL} SELECT serial_num, terminal_id, start_ms, end_ms, record_count FROM bounds WHERE record_count >= 2",
+    f"WITH {SESSIONS_SQL} SELECT serial_num, terminal_id, start_ms, end_ms, record_count FROM bounds WHERE is_closed",
 )
 def session_pair(spark, sf_dir):
     return ops.pair_sessions(log_records(spark, sf_dir))
@@ -98,7 +98,7 @@ def log_metrics_long(spark, sf_dir):
 SELECT serial_num, substr(strftime(make_timestamp(b * 1000), '%Y%m%d%H%M'), 1, 11) AS time_id
 FROM (
   SELECT serial_num, unnest(generate_series(start_ms - start_ms % 600000, end_ms - end_ms % 600000, 600000)) AS b
-  FROM bounds WHERE record_count >= 2
+  FROM bounds WHERE is_closed
 )""",
 )
 def bucket_series(spark, sf_dir):
@@ -107,7 +107,7 @@ def bucket_series(spark, sf_dir):
 
 
 UNPAIRED_SQL = f"""WITH {SESSIONS_SQL}
-SELECT serial_num, terminal_id, start_ms AS ms, online_status FROM bounds WHERE record_count = 1"""
+SELECT serial_num, terminal_id, start_ms AS ms, online_status FROM bounds WHERE NOT is_closed"""
 
 
 @query("session_unpaired", UNPAIRED_SQL)
@@ -121,19 +121,19 @@ def session_unpaired(spark, sf_dir):
     f"""WITH {SESSIONS_SQL}
 SELECT 'serialNum:' || serial_num || ',terminalId:' || terminal_id || ',time:' || CAST(start_ms AS VARCHAR)
        || ',online:' || CAST(online_status AS VARCHAR) || ',serverIp:111.111.111.111' AS value
-FROM bounds WHERE record_count = 1""",
+FROM bounds WHERE NOT is_closed""",
 )
 def log_requeue_unpaired(spark, sf_dir):
     return ops.requeue_lines(log_records(spark, sf_dir))
 
 
-@query(
-    "session_self_join",
-    f"""WITH {LOG_SQL}
-SELECT o.serial_num, o.terminal_id, o.open_ms, c.close_ms
+SELF_JOIN_SQL = f"""WITH {LOG_SQL}
+SELECT o.serial_num, o.terminal_id, least(o.open_ms, c.close_ms) AS open_ms, greatest(o.open_ms, c.close_ms) AS close_ms
 FROM (SELECT serial_num, terminal_id, min(ms) AS open_ms FROM records WHERE online_status = 1 GROUP BY ALL) o
 JOIN (SELECT serial_num, terminal_id, max(ms) AS close_ms FROM records WHERE online_status = 0 GROUP BY ALL) c
-  ON o.serial_num = c.serial_num AND o.terminal_id = c.terminal_id""",
-)
+  ON o.serial_num = c.serial_num AND o.terminal_id = c.terminal_id"""
+
+
+@query("session_self_join", SELF_JOIN_SQL)
 def session_self_join(spark, sf_dir):
     return ops.pair_by_join(log_records(spark, sf_dir))

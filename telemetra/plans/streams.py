@@ -22,6 +22,7 @@ from telemetra.plans.inputs import (
 )
 from telemetra.plans.registry import query
 from telemetra.plans.routes import EXPORT_SQL, KEY_SQL
+from telemetra.plans.sessions import SELF_JOIN_SQL
 from telemetra.plans.staging import staged
 from telemetra.sources import lines as src
 from telemetra.streaming import metrics, sessions, sinks
@@ -121,11 +122,11 @@ def stream_tumbling_window(spark, sf_dir):
     return _collect_appends(spark, metrics.tumbling_counts(points_of(table_stream(spark, sf_dir, "events"))))
 
 
-def _arrivals(spark, sf_dir, slices, start_query):
+def _arrivals(spark, sf_dir, slices, start_query, inbox=None):
     """Let slices of the events arrive one after the other; the query restarts from its
     checkpoint for each, so every slice is at least one micro-batch of its own."""
     events = table(spark, sf_dir, "events")
-    inbox = new_dir(spark, "inbox")
+    inbox = inbox or new_dir(spark, "inbox")
     for part in slices:
         events.where(part).write.mode("append").parquet(inbox)
         sinks.run_available(start_query(sinks.parquet_stream(spark, events.schema, inbox)))
@@ -155,35 +156,35 @@ def stream_late_drop(spark, sf_dir):
 # ---- sessions ----------------------------------------------------------------------------
 
 
-@query(
-    "stream_session_pairs",
-    f"""WITH {LOG_SQL}
-SELECT o.serial_num, o.terminal_id, o.ms AS open_ms, c.ms AS close_ms
-FROM records o JOIN records c ON o.serial_num = c.serial_num AND o.terminal_id = c.terminal_id
- AND o.online_status = 1 AND c.online_status = 0 AND c.ts BETWEEN o.ts AND o.ts + INTERVAL 10 DAY""",
-)
+@query("stream_session_pairs", SELF_JOIN_SQL)
 def stream_session_pairs(spark, sf_dir):
-    connects = records_of(table_stream(spark, sf_dir, "events"))
-    closes = records_of(table_stream(spark, sf_dir, "events"))
-    return sessions.closed_pairs(_collect_appends(spark, sessions.join_pairs(connects, closes)))
+    """Connects and closes of one stream, each session reduced to its two ends."""
+    work = new_dir(spark, "sessions")
+    records = records_of(table_stream(spark, sf_dir, "events"))
+    sinks.run_available(sessions.gather_sessions(records, work, f"{work}/checkpoint"))
+    pairs = sessions.read_pairs(spark, work)
+    return pairs.select("serial_num", "terminal_id", F.col("start_ms").alias("open_ms"), F.col("end_ms").alias("close_ms"))
 
 
 @query(
     "stream_open_carryover",
     f"""WITH {SESSIONS_SQL}
-SELECT serial_num, terminal_id, start_ms, end_ms, CASE WHEN record_count >= 2 THEN 'closed' ELSE 'open' END AS state
+SELECT serial_num, terminal_id, start_ms, end_ms, CASE WHEN is_closed THEN 'closed' ELSE 'open' END AS state
 FROM bounds""",
 )
 def stream_open_carryover(spark, sf_dir):
-    """Five periods of log records arrive in turn."""
+    """Five periods of log records arrive in turn, with a compaction on the way."""
     work = new_dir(spark, "carry")
     period = F.floor((F.dayofmonth("ts") - 1) / 6)
     slices = [period == i for i in range(4)] + [period >= 4]
 
     def start(events):
-        return sessions.pair_with_carry(records_of(events), work, f"{work}/checkpoint")
+        return sessions.gather_sessions(records_of(events), work, f"{work}/checkpoint")
 
-    _arrivals(spark, sf_dir, slices, start)
+    inbox = new_dir(spark, "inbox")
+    _arrivals(spark, sf_dir, slices[:3], start, inbox)
+    sessions.compact_sessions(spark, work)
+    _arrivals(spark, sf_dir, slices[3:], start, inbox)
     columns = ["serial_num", "terminal_id", "start_ms", "end_ms"]
     closed = sessions.read_pairs(spark, work).select(*columns, F.lit("closed").alias("state"))
     return closed.unionByName(sessions.read_carry(spark, work).select(*columns, F.lit("open").alias("state")))

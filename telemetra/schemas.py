@@ -57,6 +57,13 @@ ROUTE_STATUS_VEHICLE_CREDIBLE = 4
 
 BUCKET_SECONDS = 600
 BUCKET_MILLIS = BUCKET_SECONDS * 1000
+DAY_MILLIS = 86_400_000
+
+# Orders of writes that lie between two starts a millisecond apart.
+ORDERS_PER_MILLI = 1 << 20
+
+# Device times from this instant on are rejected: 2100-01-01 UTC.
+DEVICE_MILLIS_END = 4_102_444_800_000
 
 # Length of the wall-clock key text for each period.
 TEN_MINUTE_KEY = 11
@@ -110,15 +117,14 @@ METRIC = T.StructType(
     ]
 )
 
-# A session reduced to one row; an open one has a single record.
-SESSION = T.StructType(
+# A session reduced to one row: first connect, last close, number of records.
+SESSION_STATE = T.StructType(
     [
         T.StructField("serial_num", T.StringType()),
         T.StructField("terminal_id", T.StringType()),
-        T.StructField("start_ms", T.LongType()),
-        T.StructField("end_ms", T.LongType()),
+        T.StructField("open_ms", T.LongType()),
+        T.StructField("close_ms", T.LongType()),
         T.StructField("record_count", T.LongType()),
-        T.StructField("online_status", T.IntegerType()),
     ]
 )
 

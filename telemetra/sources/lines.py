@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from telemetra.functions import text, timekeys
 from telemetra.schemas import (
+    DEVICE_MILLIS_END,
     ENVELOPE,
     ENVELOPE_SEPARATOR,
     FIELD_SEPARATOR,
@@ -115,7 +116,7 @@ def _is_whole() -> Column:
     whole = F.col("p").isNotNull()
     for name in ("terminal_id", "ts", "speed", "satellite_num", "online_status"):
         whole = whole & F.col(f"p.{name}").isNotNull()
-    return whole
+    return whole & is_device_time(F.col("p.ts"))
 
 
 POINT_COLUMNS = ["terminal_id", "raw_time", "ts", "speed", "satellite_num", "online_status"]
@@ -145,13 +146,24 @@ def gps_rejects(lines: DataFrame) -> DataFrame:
 
 
 _NAMED_TEXT = "[^,:]*:[^,:]+(?::[^,]*)?"
-_NAMED_MILLIS = "[^,:]*: *[0-9]{1,15} *(?::[^,]*)?"
+_NAMED_MILLIS = "[^,:]*: *[0-9]{1,13} *(?::[^,]*)?"
 _NAMED_STATUS = "[^,:]*: *[0-9]{1,9} *(?::[^,]*)?"
 LOG_LINE = rf"\A{_NAMED_TEXT},{_NAMED_TEXT},{_NAMED_MILLIS},{_NAMED_STATUS},[^,]+,*\z"
 
 
+def is_device_time(ts: Column) -> Column:
+    """Device times reach from 1970 to before 2100; anything else is a fault of the device."""
+    return (ts >= F.timestamp_millis(F.lit(0))) & (ts < F.timestamp_millis(F.lit(DEVICE_MILLIS_END)))
+
+
+def _log_field(value: Column, i: int) -> Column:
+    return F.split_part(F.get(F.split(value, FIELD_SEPARATOR), F.lit(i)), F.lit(":"), F.lit(2))
+
+
 def is_log_line(value: Column) -> Column:
-    return value.rlike(LOG_LINE)
+    """Whether a line has the five fields and a time a device can report."""
+    ts = F.timestamp_millis(F.trim(_log_field(value, 2)).try_cast("bigint"))
+    return value.rlike(LOG_LINE) & F.coalesce(is_device_time(ts), F.lit(False))
 
 
 def log_rejects(lines: DataFrame) -> DataFrame:
@@ -166,10 +178,9 @@ def parse_log_lines(lines: DataFrame) -> DataFrame:
     A line counts only with exactly five comma fields, trailing empty ones ignored. The whole
     line is tested once, as text; after that every field is known to be there.
     """
-    fields = F.split(F.col("value"), FIELD_SEPARATOR)
 
     def value(i: int) -> Column:
-        return F.split_part(F.get(fields, F.lit(i)), F.lit(":"), F.lit(2))
+        return _log_field(F.col("value"), i)
 
     return lines.where(is_log_line(F.col("value"))).select(
         value(0).alias("serial_num"),

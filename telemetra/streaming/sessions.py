@@ -1,129 +1,77 @@
-"""Live session pairing, as a stream-stream join or with a carry table of open sessions."""
+"""Live session pairing: every micro-batch adds what it knows of its sessions, reads merge it.
 
-from __future__ import annotations
+The state of a session (first connect, last close) can be merged in any order, so a batch is reduced
+by itself and written to a folder of its own. Nothing is held in memory between batches, no record
+is too late, and copies change nothing: what is read is what a batch job finds over all records.
+:func:`compact_sessions` merges the folders into a base from time to time.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from telemetra import schemas
-from telemetra.functions import timekeys
-from telemetra.streaming.sinks import AVAILABLE_NOW, for_each_batch
+from telemetra.operators.sessions import bounds_of, merged_states, session_state
+from telemetra.streaming.sinks import AVAILABLE_NOW, first_order, for_each_batch
 
-SESSION = ["serial_num", "terminal_id"]
+PART = StructType([*schemas.SESSION_STATE.fields, StructField("run", LongType()), StructField("batch", LongType())])
 
 
-RECORD = [*SESSION, "ts"]
+def gather_sessions(records: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
+    """One row per session of each micro-batch. A batch that runs again overwrites its folder."""
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run = first_order(batch.sparkSession, checkpoint)
+        session_state(batch).write.mode("overwrite").parquet(f"{path}/parts/run={run}/batch={batch_id}")
 
-def _without_copies(records: DataFrame, delay: str) -> DataFrame:
-    """Each record once. Streaming deduplication has no map-side step, so copies are collapsed
-    within the Arrow batches of the input task first; a record that is sent over and over reaches
-    the shuffle once per batch instead of once per copy."""
-    record = list(RECORD)
+    return for_each_batch(records, write, checkpoint, "append", trigger)
 
-    # A local function travels to the workers by value, so they need not have this package.
-    def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from pa.Table.from_batches([batch]).group_by(record).aggregate([]).select(record).to_batches()
 
-    collapsed = records.select(*record).mapInArrow(
-        collapse, "serial_num string, terminal_id string, ts timestamp"
-    )
-    return collapsed.withWatermark("ts", delay).dropDuplicates(RECORD)
+def _base(spark: SparkSession, path: str) -> tuple[int, list]:
+    """The newest base and up to which batch of each run it goes."""
+    try:
+        upto = spark.read.parquet(f"{path}/upto")
+    except AnalysisException:
+        return 0, []
+    newest = upto.agg(F.max("version")).first()[0]
+    return newest, upto.where(F.col("version") == newest).collect()
 
 
-def join_pairs(connects: DataFrame, closes: DataFrame, max_session: str = "10 days", delay: str = "10 minutes") -> DataFrame:
-    """Every connect with its close, or alone once no close can come any more.
+def _newer(included: list) -> Column:
+    newer = F.lit(True)
+    for line in included:
+        newer &= (F.col("run") != line["run"]) | (F.col("batch") > line["batch"])
+    return newer
 
-    Both sides drop repeated copies of a record first. State is bounded by ``max_session`` plus
-    the delay: a longer session counts as never closed.
-    """
-    opened = _without_copies(connects.where(F.col("online_status") == 1), delay)
-    closed = _without_copies(closes.where(F.col("online_status") == 0), delay)
-    opened = opened.select(*[F.col(c).alias(f"open_{c}") for c in opened.columns])
-    matches = (
-        (F.col("open_serial_num") == F.col("serial_num"))
-        & (F.col("open_terminal_id") == F.col("terminal_id"))
-        & (F.col("ts") >= F.col("open_ts"))
-        & (F.col("ts") <= F.col("open_ts") + F.expr(f"INTERVAL {max_session}"))
-    )
-    return opened.join(closed, matches, "left_outer").select(
-        F.col("open_serial_num").alias("serial_num"),
-        F.col("open_terminal_id").alias("terminal_id"),
-        F.unix_millis("open_ts").alias("open_ms"),
-        F.unix_millis("ts").alias("close_ms"),
-    )
-
-
-def closed_pairs(joined: DataFrame) -> DataFrame:
-    """One row per closed session; repeated records narrow down to first open and last close."""
-    return (
-        joined.where(F.col("close_ms").isNotNull())
-        .groupBy(*SESSION)
-        .agg(F.min("open_ms").alias("open_ms"), F.max("close_ms").alias("close_ms"))
-    )
-
-
-# ---- carry table -------------------------------------------------------------------------
-
-def _reduce(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*SESSION).agg(
-        F.min("start_ms").alias("start_ms"),
-        F.max("end_ms").alias("end_ms"),
-        F.sum("record_count").alias("record_count"),
-        F.max("online_status").alias("online_status"),
-    )
-
-
-def _one_row_each(records: DataFrame) -> DataFrame:
-    ms = timekeys.millis_of(F.col("ts"))
-    return records.select(
-        *SESSION, ms.alias("start_ms"), ms.alias("end_ms"), F.lit(1).cast("bigint").alias("record_count"), "online_status"
-    )
-
-
-def _carry_path(path: str, version: int) -> str:
-    return f"{path}/carry/version={version}"
-
-
-def pair_with_carry(records: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
-    """Pair each micro-batch with the sessions still open; what stays open is carried on.
-
-    Batch n reads carry version n and writes the closed sessions of the batch and version n + 1.
-    A batch that runs again reads the same version and overwrites the same folders.
-    """
 
-    def pair(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = _one_row_each(batch)
-        if batch_id > 0:
-            carried = spark.read.schema(schemas.SESSION).parquet(_carry_path(path, batch_id))
-            rows = rows.unionByName(carried)
-        sessions = _reduce(rows).persist()
-        try:
-            is_closed = F.col("record_count") >= 2
-            sessions.where(is_closed).write.mode("overwrite").parquet(f"{path}/pairs/batch={batch_id}")
-            sessions.where(~is_closed).write.mode("overwrite").parquet(_carry_path(path, batch_id + 1))
-        finally:
-            sessions.unpersist()
+def session_states(spark: SparkSession, path: str) -> DataFrame:
+    """The state of every session so far: the newest base and the batches after it."""
+    version, included = _base(spark, path)
+    parts = spark.read.schema(PART).parquet(f"{path}/parts").where(_newer(included)).drop("run", "batch")
+    if version:
+        parts = parts.unionByName(spark.read.schema(schemas.SESSION_STATE).parquet(f"{path}/base/version={version}"))
+    return merged_states(parts)
 
-    return for_each_batch(records, pair, checkpoint, "append", trigger)
 
+def compact_sessions(spark: SparkSession, path: str) -> None:
+    """Merge all batches into a new base. Run it between batches; earlier folders may then be removed.
 
-def _with(schema: StructType, partition: str) -> StructType:
-    return StructType([*schema.fields, StructField(partition, LongType())])
+    The base counts from the moment its entry in ``upto`` is there, which is written last.
+    """
+    version, _ = _base(spark, path)
+    batches = spark.read.schema(PART).parquet(f"{path}/parts").groupBy("run").agg(F.max("batch").alias("batch"))
+    session_states(spark, path).write.mode("overwrite").parquet(f"{path}/base/version={version + 1}")
+    batches.coalesce(1).write.mode("overwrite").parquet(f"{path}/upto/version={version + 1}")
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_with(schemas.SESSION, "batch")).parquet(f"{path}/pairs").drop("batch")
+    """Sessions with both ends known."""
+    return bounds_of(session_states(spark, path)).where("is_closed")
 
 
 def read_carry(spark: SparkSession, path: str) -> DataFrame:
-    """Sessions still open after the last batch."""
-    versions = spark.read.schema(_with(schemas.SESSION, "version")).parquet(f"{path}/carry")
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == newest).drop("version")
+    """Sessions still open."""
+    return bounds_of(session_states(spark, path)).where("not is_closed")

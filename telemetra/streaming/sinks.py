@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+import time
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from telemetra.schemas import ORDERS_PER_MILLI
+
 
 def parquet_stream(spark: SparkSession, schema: StructType, path: str, max_files: int | None = None) -> DataFrame:
     """A folder that parquet files arrive in, as a stream."""
@@ -27,18 +30,19 @@ def run_available(query: StreamingQuery) -> None:
 AVAILABLE_NOW = {"availableNow": True}
 
 
-@contextmanager
-def _state_partitions(spark: SparkSession) -> Iterator[None]:
-    """A query keeps the number of state partitions it starts with. On a local master more of
-    them than cores only means more small state files; a cluster's own setting is left alone."""
-    name, context = "spark.sql.shuffle.partitions", spark.sparkContext
-    configured = spark.conf.get(name)
-    if context.master.startswith("local"):
-        spark.conf.set(name, str(min(int(configured), context.defaultParallelism)))
+def first_order(spark: SparkSession, checkpoint: str) -> int:
+    """The number of a streaming run, larger for runs that start later.
+
+    It is kept beside the checkpoint: a restart from the same checkpoint goes on with its number, a
+    new checkpoint starts a run of its own. Batch n of the run writes in order ``first_order + n``.
+    """
+    path = f"{checkpoint}/run"
     try:
-        yield
-    finally:
-        spark.conf.set(name, configured)
+        return spark.read.parquet(path).first()["first_order"]
+    except AnalysisException:
+        order = time.time_ns() // 1_000_000 * ORDERS_PER_MILLI
+        spark.range(1).select(F.lit(order).alias("first_order")).write.parquet(path)
+        return order
 
 
 def append_to_files(
@@ -46,8 +50,7 @@ def append_to_files(
 ) -> StreamingQuery:
     """Finished rows go to files, each exactly once."""
     writer = stream.writeStream.format(file_format).outputMode("append").option("path", path)
-    with _state_partitions(stream.sparkSession):
-        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def for_each_batch(
@@ -58,8 +61,7 @@ def for_each_batch(
     trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(write).outputMode(output_mode)
-    with _state_partitions(stream.sparkSession):
-        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def upsert_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:

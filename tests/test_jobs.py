@@ -10,6 +10,7 @@ from telemetra.schemas import DAY_KEY, HOUR_KEY
 from telemetra.sources.lines import text_file_stream
 from telemetra.streaming.sinks import run_available
 from telemetra.workspace import new_dir
+from tests.conftest import rows
 from tests.test_messages import TWO_ENVELOPES, envelope, point
 from tests.test_sessions import AS_OF, OLD_LOG, seconds_of
 
@@ -61,3 +62,71 @@ def test_log_lines_to_counts_and_seconds(spark_utc8):
     assert seconds_of(seconds, "7") == {"20180328011": 50}
     assert sum(seconds_of(seconds, "8").values()) == 3110
     assert sum(seconds_of(seconds, "5").values()) == 2091
+
+
+def cell(spark, key, value, order):
+    day = key.rsplit("_", 1)[1][:8]
+    return spark.createDataFrame([(key, "m", value, order, day)], "row_key string, qualifier string, value string, write_ts long, day string")
+
+
+def test_equal_orders_go_by_number_and_a_second_roll_up_wins(spark_utc8):
+    spark, table, hours = spark_utc8, new_dir(spark_utc8, "cells"), new_dir(spark_utc8, "hours")
+    both = cell(spark, "t_1_20180417120", "9", 1).unionByName(cell(spark, "t_1_20180417120", "10", 1))
+    assert [r.value for r in cells.latest_cells(both).collect()] == ["10"]
+    as_of = datetime(2018, 4, 17, 13, 5)
+    for value, order in (("9", 1), ("10", 2), ("8", 3)):
+        cells.append_cells(cell(spark, "t_1_20180417120", value, order), table)
+        assert jobs.roll_up_previous(spark, table, hours, as_of, HOUR_KEY)
+        assert value_of(spark, hours, "t_1_2018041712", "m") == [value]
+
+
+def test_a_new_checkpoint_writes_over_the_old_run(spark_utc8):
+    spark, table, work = spark_utc8, new_dir(spark_utc8, "cells"), new_dir(spark_utc8, "work")
+    first, second = new_dir(spark, "in"), new_dir(spark, "in")
+
+    def message(n, second=0):
+        return envelope("7", [point(f"2018-04-17 12:0{i % 10}:{second + i // 10:02d}.0", "3.00", "6", "1") for i in range(n)])
+
+    for i in range(3):
+        write_lines(spark, [message(1, i)], first)
+        run_available(jobs.live_gps_metrics(text_file_stream(spark, first), table, f"{work}/one", delay="2 hours"))
+    assert value_of(spark, table, "7_20180417120", "gpsOnlineTotal") == ["3"]
+    write_lines(spark, [message(12)], second)
+    run_available(jobs.live_gps_metrics(text_file_stream(spark, second), table, f"{work}/two", delay="2 hours"))
+    assert value_of(spark, table, "7_20180417120", "gpsOnlineTotal") == ["12"]
+
+
+def test_stored_deletes_and_compaction(spark_utc8):
+    spark, table, target = spark_utc8, new_dir(spark_utc8, "cells"), new_dir(spark_utc8, "target")
+    for order in (1, 2, 3):
+        for key in ("a_20180417120", "b_20180417120", "c_20180418120"):
+            cells.append_cells(cell(spark, key, str(order), order), table)
+    keys = spark.createDataFrame([("a_20180417120",), ("c_20180418120",), ("c_20180418120",)], "row_key string")
+    cells.delete_stored_rows(keys, table, 4)
+    cells.append_cells(cell(spark, "c_20180418120", "9", 5), table)
+    expected = [("b_20180417120", "3"), ("c_20180418120", "9")]
+    assert rows(cells.stored_cells(spark, table).select("row_key", "value")) == expected
+    cells.compact_days(spark, table, target)
+    assert rows(cells.read_cells(spark, target).select("row_key", "value")) == expected
+    assert len(cells.read_cells(spark, target).inputFiles()) == 2
+
+
+def test_all_log_metrics_reach_the_day(spark_utc8):
+    spark = spark_utc8
+    inbox, table, hours, days, sessions, rejects, work = (new_dir(spark, n) for n in "in cells hours days sessions rejects work".split())
+    lines = [f"serialNum:{s},terminalId:{t},time:{ms},online:{on},serverIp:1.1.1.1" for s, t, ms, on in OLD_LOG]
+    bad = "serialNum:9,terminalId:9,time:999999999999999,online:1,serverIp:1.1.1.1"
+    write_lines(spark, [*lines, bad, lines[1]], inbox)
+    stream = lambda: text_file_stream(spark, inbox)
+    run_available(jobs.live_log_counts(stream(), table, f"{work}/counts", delay="1 day"))
+    run_available(jobs.live_sessions(stream(), sessions, f"{work}/sessions"))
+    run_available(jobs.live_rejects(stream(), rejects, f"{work}/rejects"))
+    assert [tuple(r) for r in spark.read.parquet(rejects).collect()] == [("log", bad, None)]
+    for _ in range(2):
+        jobs.store_connected_seconds(spark, sessions, table, AS_OF)
+    assert value_of(spark, table, "7_20180328011", "gpsLogConnectionDuration") == ["50"]
+    for hour in range(24):
+        jobs.roll_up_previous(spark, table, hours, datetime(2018, 3, 28, hour, 5), HOUR_KEY)
+    assert jobs.roll_up_previous(spark, hours, days, datetime(2018, 3, 29, 0, 1), DAY_KEY)
+    for metric, value in (("gpsLogConnectionDuration", "3110"), ("gpsLogConnectNum", "1"), ("gpsLogCloseNum", "1")):
+        assert value_of(spark, days, "8_20180328", metric) == [value]

@@ -114,16 +114,16 @@ def test_session_opened_after_as_of_has_no_seconds_yet(spark_utc8):
     assert seconds_of(ops.duration_total(frame, AS_OF), "t") == {"20180328150": 1}
 
 
-def test_split_loses_less_than_a_second_per_bucket(spark):
+def test_seconds_lose_less_than_a_second_per_bucket(spark):
     data = []
     for i in range(40):
         start = 1704067200000 + i * 777_777
-        data += [(str(i), "t", start, 1), (str(i), "t", start + i * i * 12_345, 0)]
-    frame = records(spark, data)
-    split = ops.split_into_buckets(
-        ops.pair_sessions(frame).withColumn("terminal_id", F.col("serial_num")), F.col("start_ms"), F.col("end_ms")
-    )
-    sums = {r.terminal_id: r for r in split.groupBy("terminal_id").agg(F.sum("seconds").alias("s"), F.count("*").alias("n")).collect()}
+        data += [(str(i), str(i), start, 1), (str(i), str(i), start + i * i * 12_345, 0)]
+    split = ops.seconds_by_bucket(ops.pair_sessions(records(spark, data)), F.col("start_ms"), F.col("end_ms"))
+    sums = {
+        r.terminal_id: r
+        for r in split.groupBy("terminal_id").agg(F.sum("duration_seconds").alias("s"), F.count("*").alias("n")).collect()
+    }
     for i in range(40):
         whole = i * i * 12_345 / 1000
         assert whole - sums[str(i)].n <= sums[str(i)].s <= whole
@@ -158,3 +158,35 @@ def test_repeated_copies_of_one_record_stay_small(spark):
     hot = spark.range(20_000).selectExpr("'1' AS serial_num", "'t' AS terminal_id", "timestamp_millis(1704067200000 + id % 2) AS ts", "cast(id % 2 as int) AS online_status")
     assert rows(ops.pair_sessions(hot)) == [("1", "t", 1704067200000, 1704067200001, 20_000)]
     assert ops.pair_by_join(hot).count() == 1
+
+
+CONNECT, CLOSE = ("1", "t", 1522170909000, 1), ("1", "t", 1522170969000, 0)
+
+
+@pytest.mark.parametrize(
+    "data, pairs, single",
+    [
+        ([CONNECT, CONNECT], [], [("1", "t", 1)]),
+        ([CLOSE, CLOSE, CLOSE], [], [("1", "t", 0)]),
+        ([CONNECT, CLOSE, CONNECT], [("1", "t", 1522170909000, 1522170969000)], []),
+        ([CLOSE, CONNECT, CLOSE, CONNECT], [("1", "t", 1522170909000, 1522170969000)], []),
+        ([("1", "t", 1522170909000, 0), ("1", "t", 1522170969000, 1)], [("1", "t", 1522170909000, 1522170969000)], []),
+        ([("1", "t", 1522170909000, 7), ("1", "t", None, 1)], [], []),
+    ],
+    ids=["copied connect", "copied close", "copy after the close", "copies of both", "close before connect", "no record"],
+)
+def test_pairing_goes_by_status(spark, data, pairs, single):
+    frame = records(spark, data)
+    assert rows(ops.pair_sessions(frame).drop("record_count")) == pairs
+    assert rows(ops.pair_by_join(frame)) == pairs
+    assert rows(ops.unpaired_sessions(frame).select("serial_num", "terminal_id", "online_status")) == single
+    assert ops.requeue_lines(frame).count() == len(single)
+
+
+def test_a_session_of_years_makes_three_rows_before_the_sum(spark):
+    long = records(spark, [("1", "t", 1, 1), ("1", "t", 4_000_000_000_000, 0)])
+    plan = ops.duration_total(long, AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sequence(") == 1 and plan.index("sequence(") < plan.index("Window")
+    short = records(spark, [("1", "t", 1522170909000, 1), ("1", "t", 1522170909000 + 400 * 86_400_000, 0)])
+    total = ops.duration_total(short, AS_OF).agg(F.sum("duration_seconds"), F.count("*")).first()
+    assert tuple(total) == (400 * 86_400, 400 * 144 + 1)

@@ -1,9 +1,7 @@
-from datetime import date, datetime
-
-import pytest
+from pyspark.sql import functions as F
 
 from telemetra import schemas
-from telemetra.plans import inputs
+from telemetra.plans import inputs, sql_jobs
 from telemetra.sources import jdbc, tables
 from telemetra.workspace import new_dir
 from tests.conftest import rows
@@ -21,14 +19,18 @@ def test_derived_frames_have_the_declared_schemas(spark):
     assert types(inputs.route_records(spark, SF_DIR).schema) == types(schemas.ROUTE_RECORD)
 
 
-def test_parameters_are_bound_as_literals():
-    assert jdbc.bind("a = ? AND b < ? OR c = ?", ["it's", 3, None]) == "a = 'it''s' AND b < 3 OR c = NULL"
-    assert jdbc.bind("?", [date(2024, 1, 2)]) == "DATE '2024-01-02'"
-    assert jdbc.bind("?", [datetime(2024, 1, 2, 3, 4, 5)]) == "TIMESTAMP '2024-01-02 03:04:05'"
-    with pytest.raises(ValueError):
-        jdbc.bind("a = ?", [])
-    with pytest.raises(TypeError):
-        jdbc.bind("?", [object()])
+def test_jdbc_conditions_are_pushed_down_as_typed_filters(spark):
+    url, login = sql_jobs._database(spark)
+    data = [(i, f"n\\'{i}?") for i in range(40)]
+    jdbc.write_batch(spark.createDataFrame(data, "ID long, NAME string"), url, "PUSHED", login, mode="overwrite", column_types="NAME VARCHAR(40)")
+    read = jdbc.read_table(spark, url, "PUSHED", login, partition_column="ID", partitions=4)
+    assert read.rdd.getNumPartitions() == 4 and read.count() == 40
+    found = read.where((F.col("NAME") == "n\\'7?") & (F.col("ID") < 30))
+    assert "PushedFilters: [*IsNotNull(NAME), *IsNotNull(ID), *EqualTo(NAME" in found._jdf.queryExecution().toString()
+    assert rows(found) == [(7, "n\\'7?")]
+    empty = spark.createDataFrame([], "ID long, NAME string")
+    jdbc.write_batch(empty, url, "EMPTIED", login, mode="overwrite")
+    assert jdbc.read_table(spark, url, "EMPTIED", login, partition_column="ID").count() == 0
 
 
 def test_students_with_good_scores(spark):

@@ -24,46 +24,66 @@ BATCHES = [
 ]
 
 
-def test_carry_survives_restarts_and_equals_batch(spark):
-    work, inbox = new_dir(spark, "t"), new_dir(spark, "in")
-    for data in BATCHES:
-        arrive(records(spark, data), inbox)
-        stream = sinks.parquet_stream(spark, records(spark, data).schema, inbox)
-        sinks.run_available(sessions.pair_with_carry(stream, work, f"{work}/checkpoint"))
-    everything = records(spark, [r for b in BATCHES for r in b])
+def gathered(spark, batches, work, inbox, checkpoint):
+    for data in batches:
+        frame = records(spark, data)
+        arrive(frame, inbox)
+        sinks.run_available(sessions.gather_sessions(sinks.parquet_stream(spark, frame.schema, inbox), work, checkpoint))
+
+
+def assert_equals_batch(spark, work, batches):
+    everything = records(spark, [r for b in batches for r in b])
     closed = sessions.read_pairs(spark, work).select("serial_num", "terminal_id", "start_ms", "end_ms", "record_count")
     assert rows(closed) == rows(batch_sessions.pair_sessions(everything))
-    still_open = sessions.read_carry(spark, work).select("serial_num", "terminal_id", "online_status")
-    assert rows(still_open) == [("3", "u", 1), ("4", "u", 0)]
+    still_open = sessions.read_carry(spark, work).select("serial_num", "terminal_id", F.timestamp_millis("start_ms"), "online_status")
+    assert rows(still_open) == rows(batch_sessions.unpaired_sessions(everything))
 
 
-def test_join_gives_unmatched_connects_after_the_horizon(spark):
+def test_live_sessions_survive_restarts_and_equal_batch(spark):
     work, inbox = new_dir(spark, "t"), new_dir(spark, "in")
-    schema = records(spark, BATCHES[0]).schema
-    copies = [("1", "t", "2024-01-01 00:30:00", 0), ("1", "t", "2024-01-01 00:00:00", 1)]
-    later = [("5", "u", "2024-01-04 00:00:00", 1), ("5", "u", "2024-01-04 00:10:00", 0)]
-    for data in [*BATCHES, copies, later]:
-        arrive(records(spark, data), inbox)
-        connects, closes = (sinks.parquet_stream(spark, schema, inbox) for _ in range(2))
-        joined = sessions.join_pairs(connects, closes, max_session="1 day")
-        sinks.run_available(sinks.append_to_files(joined, f"{work}/out", f"{work}/checkpoint"))
-    out = spark.read.parquet(f"{work}/out")
-    assert rows(sessions.closed_pairs(out).select("serial_num", "terminal_id")) == [("1", "t"), ("2", "t"), ("5", "u")]
-    assert rows(out.where("close_ms IS NULL").select("serial_num")) == [("3",)]
-    assert out.count() == 4
+    gathered(spark, BATCHES, work, inbox, f"{work}/checkpoint")
+    assert_equals_batch(spark, work, BATCHES)
+    assert rows(sessions.read_carry(spark, work).select("serial_num", "online_status")) == [("3", 1), ("4", 0)]
 
 
-def test_a_mass_of_copies_joins_once(spark):
+LATE = [
+    [("1", "t", "2024-01-01 00:30:00", 0), ("1", "t", "2024-01-01 00:00:00", 1)],  # copies after the close
+    [("3", "u", "2024-02-20 00:31:00", 0), ("3", "u", "2024-01-01 00:31:00", 1)],  # 50 days later
+    [("4", "u", "2023-12-01 00:00:00", 1)],  # the connect comes last
+]
+
+
+def test_copies_long_sessions_and_late_records_equal_batch(spark):
+    work, inbox = new_dir(spark, "t"), new_dir(spark, "in")
+    gathered(spark, BATCHES, work, inbox, f"{work}/checkpoint")
+    sessions.compact_sessions(spark, work)
+    assert_equals_batch(spark, work, BATCHES)
+    gathered(spark, LATE, work, inbox, f"{work}/checkpoint")
+    assert_equals_batch(spark, work, BATCHES + LATE)
+    sessions.compact_sessions(spark, work)
+    assert_equals_batch(spark, work, BATCHES + LATE)
+    assert sessions.read_carry(spark, work).count() == 0
+
+
+def test_a_new_checkpoint_adds_to_the_old_one(spark):
+    work, first, second = new_dir(spark, "t"), new_dir(spark, "in"), new_dir(spark, "in")
+    gathered(spark, BATCHES[:1], work, first, f"{work}/one")
+    gathered(spark, BATCHES[1:], work, second, f"{work}/two")
+    assert_equals_batch(spark, work, BATCHES)
+
+
+def test_a_mass_of_copies_is_one_row(spark):
     work, inbox = new_dir(spark, "t"), new_dir(spark, "in")
     hot = spark.range(0, 30_000, 1, 3).selectExpr(
         "'1' AS serial_num", "'t' AS terminal_id", "timestamp_millis(1704067200000 + (id % 2) * 60000) AS ts",
         "cast(1 - id % 2 AS int) AS online_status",
     )
     arrive(hot, inbox)
-    connects, closes = (sinks.parquet_stream(spark, hot.schema, inbox) for _ in range(2))
-    run = sinks.append_to_files(sessions.join_pairs(connects, closes), f"{work}/out", f"{work}/checkpoint")
-    sinks.run_available(run)
-    assert rows(spark.read.parquet(f"{work}/out")) == [("1", "t", 1704067200000, 1704067260000)]
+    sinks.run_available(
+        sessions.gather_sessions(sinks.parquet_stream(spark, hot.schema, inbox), work, f"{work}/checkpoint")
+    )
+    assert spark.read.parquet(f"{work}/parts").count() == 1
+    assert rows(sessions.read_pairs(spark, work).select("start_ms", "end_ms")) == [(1704067200000, 1704067260000)]
 
 
 def test_late_points_are_dropped_and_windows_come_once(spark):
