@@ -78,8 +78,8 @@ def first_map(sizes: list[int], shards: int) -> SlotMap:
 def rebalanced(current: SlotMap, sizes: list[int], shards: int) -> SlotMap:
     """The next version of a map for ``shards`` shards, moving slots only while that evens the bytes out.
 
-    With more shards than before, the new ones take slots from the fullest shards. With fewer, the
-    slots of the shards that go are dealt to the emptiest ones. Every other slot stays.
+    With more shards than before, only the new ones take slots, from the fullest shards. With fewer,
+    the slots of the shards that go are dealt to the emptiest ones.
     """
     shard_of = list(current.shard_of)
     held = [0] * max(shards, current.shards)
@@ -98,9 +98,10 @@ def rebalanced(current: SlotMap, sizes: list[int], shards: int) -> SlotMap:
     for gone in range(shards, current.shards):
         for slot in sorted(slots_in[gone], key=lambda s: (-sizes[s], s)):
             move(slot, min(range(shards), key=lambda s: (held[s], s)))
+    takers = range(current.shards, shards) if shards > current.shards else range(shards)
     while True:
         full = max(range(shards), key=lambda s: (held[s], -s))
-        empty = min(range(shards), key=lambda s: (held[s], s))
+        empty = min(takers, key=lambda s: (held[s], s))
         gap = held[full] - held[empty]
         # A slot smaller than the gap narrows it; the one nearest to half of it narrows it most.
         useful = [s for s in slots_in[full] if 0 < sizes[s] < gap]
