@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -141,10 +139,6 @@ def task_number() -> int:
     return context.partitionId() if context else 0
 
 
-def fresh_name(prefix: str) -> str:
-    return f"{prefix}_{os.getpid()}_{uuid.uuid4().hex[:8]}"
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """Bijective finaliser of 64-bit values; spreads them over all bits."""
     values = values.astype(np.uint64, copy=True)

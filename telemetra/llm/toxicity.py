@@ -119,8 +119,13 @@ def log_odds(toxic: Counter, clean: Counter) -> dict[bytes, float]:
     return {word: score for _, word, score in scored[:MODEL_TOKENS]}
 
 
-def extreme_value_law(clean_texts: list[tuple[int, list[float]]], scores: dict[bytes, float], clean: Counter) -> tuple[float, float]:
-    """``lambda`` solves E[e^(lambda s)] = 1 over clean tokens; ``K`` matches their segments."""
+def extreme_value_law(
+    clean_texts: list[tuple[int, list[float]]], scores: dict[bytes, float], clean: Counter
+) -> tuple[float, float]:
+    """``lambda`` solves E[e^(lambda s)] = 1 over clean tokens.
+
+    ``K`` is such that as many segments as seen in clean texts reach the median of their scores.
+    """
     total = max(1, sum(clean.values()))
     positive = [(scores[w], clean[w] / total) for w in scores if w in clean]
     rest = 1.0 - sum(p for _, p in positive)
@@ -136,9 +141,9 @@ def extreme_value_law(clean_texts: list[tuple[int, list[float]]], scores: dict[b
         low, high = (middle, high) if excess(middle) < 0 else (low, middle)
     decay = (low + high) / 2
     words = max(1, sum(n for n, _ in clean_texts))
-    weight = sum(math.exp(decay * min(s, 50 / decay)) > 0 for _, found in clean_texts for s in found)
-    typical = float(np.mean([s for _, found in clean_texts for s in found])) if weight else 0.0
-    return decay, max(weight, 1) / words * math.exp(decay * typical * 0.5)
+    found = sorted(s for _, segments in clean_texts for s in segments)
+    middle = found[len(found) // 2] if found else 0.0
+    return decay, max(len(found), 1) / 2 / words * math.exp(min(decay * middle, 50.0))
 
 
 def fit(
