@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from telemetra.operators import cells, rollup
 from telemetra.operators import sessions as session_ops
+from telemetra.operators.point_metrics import metrics_wide
 from telemetra.schemas import (
     GPS_METRIC_COLUMNS,
     LOG_CLOSE_NUM,
@@ -66,6 +67,24 @@ def live_log_counts(
     return _into_cells(metrics.log_counts(records, delay), LOG_COUNT_COLUMNS, path, checkpoint, trigger)
 
 
+def correct_gps_metrics(lines: DataFrame, path: str) -> None:
+    """Recompute the buckets of kept raw lines and write them over what the stream has written.
+
+    The watermark drops points that come too late; this batch job counts them. ``lines`` has all
+    lines of the buckets in question, a day's folder for instance.
+    """
+    points = src.parse_gps_lines(src.clean_lines(lines)).drop("raw_time")
+    order = F.lit(cells.next_order(lines.sparkSession)).cast("bigint")
+    cells.append_cells(cells.metric_text_cells(metrics_wide(points), GPS_METRIC_COLUMNS, order), path)
+
+
+def correct_log_counts(lines: DataFrame, path: str) -> None:
+    """The same for connects and closes."""
+    counted = session_ops.status_counts(src.parse_log_lines(src.clean_lines(lines)))
+    order = F.lit(cells.next_order(lines.sparkSession)).cast("bigint")
+    cells.append_cells(cells.metric_text_cells(counted, LOG_COUNT_COLUMNS, order), path)
+
+
 def live_sessions(lines: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
     """Raw lines of a stream to session states, closed and open ones."""
     return sessions.gather_sessions(src.parse_log_lines(src.clean_lines(lines)), path, checkpoint, trigger)

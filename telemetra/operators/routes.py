@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.functions.text import java_text
 from telemetra.operators.numbering import with_row_number
-from telemetra.schemas import ROUTE_KEY_PREFIX, ROUTE_STATUS_VEHICLE_CREDIBLE
+from telemetra.schemas import ROUTE_KEY_PREFIX, ROUTE_SHORT_TEXT, ROUTE_STATUS_VEHICLE_CREDIBLE
 
 DATE_TEXT = "EEE MMM dd HH:mm:ss z yyyy"
 
@@ -61,6 +61,20 @@ def export_lines(routes: DataFrame) -> DataFrame:
     return routes.select(line.alias("line"))
 
 
+def short_texts(routes: DataFrame) -> DataFrame:
+    """The short text form of a record: its base fields by name."""
+    fields = {
+        "barRecordId": "bar_record_id",
+        "waybillNo": "waybill_no",
+        "zoneCode": "zone_code",
+        "opCode": "op_code",
+        "destzonecode": "dest_zone_code",
+    }
+    named = [F.concat(F.lit(f"{name}="), java_text(F.col(column))) for name, column in fields.items()]
+    line = F.concat(F.lit(ROUTE_SHORT_TEXT[0]), F.concat_ws(", ", *named), F.lit(ROUTE_SHORT_TEXT[1]))
+    return routes.select(line.alias("line"))
+
+
 def order_by_ordinal(routes: DataFrame, tie_breakers: list[str]) -> DataFrame:
     """Records in ordinal order with their position; the tie breakers make it reproducible."""
     return with_row_number(routes, [F.col("ordinal"), *[F.col(c) for c in tie_breakers]], "position", may_tie=True)

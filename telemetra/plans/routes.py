@@ -44,6 +44,17 @@ def route_text_export(spark, sf_dir):
     return ops.export_lines(route_records(spark, sf_dir))
 
 
+@query(
+    "route_short_text",
+    f"""WITH {ROUTES_SQL}
+SELECT 'BarRecordBaseDto [barRecordId=' || bar_record_id || ', waybillNo=' || waybill_no || ', zoneCode=' || zone_code
+       || ', opCode=' || op_code || ', destzonecode=' || dest_zone_code || '+]' AS line
+FROM routes""",
+)
+def route_short_text(spark, sf_dir):
+    return ops.short_texts(route_records(spark, sf_dir))
+
+
 @query(
     "route_order_by_ordinal",
     f"""WITH {ROUTES_SQL}

@@ -55,6 +55,9 @@ REQUEUE_SERVER_IP = "111.111.111.111"
 ROUTE_KEY_PREFIX = "68"
 ROUTE_STATUS_VEHICLE_CREDIBLE = 4
 
+# What stands around the fields of a record's short text form.
+ROUTE_SHORT_TEXT = ("BarRecordBaseDto [", "+]")
+
 BUCKET_SECONDS = 600
 BUCKET_MILLIS = BUCKET_SECONDS * 1000
 DAY_MILLIS = 86_400_000

@@ -130,3 +130,16 @@ def test_all_log_metrics_reach_the_day(spark_utc8):
     assert jobs.roll_up_previous(spark, hours, days, datetime(2018, 3, 29, 0, 1), DAY_KEY)
     for metric, value in (("gpsLogConnectionDuration", "3110"), ("gpsLogConnectNum", "1"), ("gpsLogCloseNum", "1")):
         assert value_of(spark, days, "8_20180328", metric) == [value]
+
+
+def test_late_lines_are_counted_by_the_correction(spark_utc8):
+    spark, inbox, table, work = spark_utc8, *[new_dir(spark_utc8, n) for n in ("in", "cells", "work")]
+    for time in ("2018-04-17 12:01:00.0", "2018-04-17 15:00:00.0", "2018-04-17 12:02:00.0"):
+        write_lines(spark, [envelope("7", [point(time, "3.00", "6", "1")])], inbox)
+        run_available(jobs.live_gps_metrics(text_file_stream(spark, inbox), table, work, delay="10 minutes"))
+    assert value_of(spark, table, "7_20180417120", "gpsOnlineTotal") == ["1"]
+    jobs.correct_gps_metrics(spark.read.text(inbox), table)
+    assert value_of(spark, table, "7_20180417120", "gpsOnlineTotal") == ["2"]
+    closes = "serialNum:1,terminalId:7,time:1523937660000,online:0,serverIp:1.1.1.1"
+    jobs.correct_log_counts(spark.createDataFrame([(closes,)], "value string"), table)
+    assert value_of(spark, table, "7_20180417120", "gpsLogCloseNum") == ["1"]
