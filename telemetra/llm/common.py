@@ -62,10 +62,34 @@ class Emitter:
         )
 
 
+#: Rows of an Arrow batch: documents are large rows, and a worker holds a batch several times over.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batch size to ``BATCH_ROWS`` if it is larger."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """Column names that are not ``taken``, whatever other columns a frame brings along."""
+    used, found = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name in used:
+            name = f"_{name}"
+        used.add(name)
+        found.append(name)
+    return found
+
+
 def map_rows(
     df: DataFrame, schema: str, arrow_schema: pa.Schema, convert: Callable[[Iterator[tuple]], Iterator[tuple]]
 ) -> DataFrame:
     """``convert`` over the rows of each partition, batched through Arrow."""
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Emitter(arrow_schema)
@@ -80,6 +104,7 @@ def map_rows(
 
 def rows_where(df: DataFrame, test: Callable[[], Callable[..., bool]], *columns: Column) -> DataFrame:
     """The rows of ``df`` for which ``test()(*columns)`` holds; all their columns pass through as they are."""
+    bounded_batches(df.sparkSession)
     n, n_tested = len(df.columns), len(columns)
     names = [f"_{i}" for i in range(n + n_tested)]
     frame = df.select("*", *columns).toDF(*names)
