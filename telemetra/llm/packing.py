@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 from array import array
 from collections import deque
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from telemetra.llm.common import arrow_schema, map_rows, task_number
 
 #: Words remembered by a worker.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 600_000
 #: Bytes of text whose words are looked up together.
 TOGETHER = 1 << 20
 #: Parts in open windows that a partition keeps before it refills the open windows.
@@ -36,9 +37,13 @@ class WordIds:
     """Token ids of a text as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and never joins over it, so a text is cut at ASCII white space
-    and each word is given to the library once.
+    and each word is given to the library once. It lower-cases, and a full stop or comma that ends a
+    word is a token of its own, so words are looked up in lower case and without it. A text that may
+    hold a special token, which is matched as it stands, is only cut at white space.
     """
 
+    word_end = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
+
     def __init__(self, tokenizer_file: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
@@ -49,7 +54,9 @@ class WordIds:
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Ids of each text; words not yet known are encoded together."""
         memo = self.memo
-        words = [text.split() for text in texts]
+        words = [
+            (text if b"<|" in text else self.word_end.sub(rb" \1 ", text.lower())).split() for text in texts
+        ]
         unknown = list({w for line in words for w in line if w not in memo})
         if len(memo) + len(unknown) > MEMO_WORDS:
             memo.clear()
@@ -154,6 +161,7 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep_ids: bool = True,
+    open_parts: int = OPEN_PARTS,
 ) -> DataFrame:
     """Pieces ``(id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids)`` of all documents.
 
@@ -202,7 +210,7 @@ def pack(
                 window = packer.place((document, start, ids[start * ID_BYTES :]), total - start)
                 if window:
                     yield from pieces(window)
-                if packer.parts > OPEN_PARTS:
+                if packer.parts > open_parts:
                     yield from close(final=False)
         yield from close(final=True)
 
