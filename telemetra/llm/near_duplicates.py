@@ -49,28 +49,40 @@ class Signature:
 
     All pairs that differ in at most ``distance`` symbols are found. With the defaults, documents with
     a similarity of exactly 0.8 differ in more with probability 7e-6, more similar ones more seldom.
+    A sketch of ``sketch`` more minima of 8 bits each tells found pairs that are near the threshold
+    from those that are not, before any text is read; it lets go of as few (3e-7).
     """
 
     symbols: int = 32
     bits: int = 32
     chunks: int = 9
     errors: int = 1
+    sketch: int = 512
 
     @property
     def distance(self) -> int:
         return self.chunks * (self.errors + 1) - 1
 
-    def factors(self) -> tuple[np.ndarray, np.ndarray]:
-        draw = mix(np.arange(1, 2 * self.symbols + 1, dtype=np.uint64))
-        return draw[: self.symbols] | np.uint64(1), draw[self.symbols :]
-
-    def of(self, shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Signatures of the non-empty sets that start at ``starts`` in ``shingles``."""
-        out = np.empty((len(starts), self.symbols), dtype=np.uint32)
-        for i, (a, b) in enumerate(zip(*self.factors(), strict=True)):
-            least = np.minimum.reduceat(mix(shingles * a + b) if self.bits > 32 else shingles * a + b, starts)
-            out[:, i] = (least >> np.uint64(32)).astype(np.uint32)
-        return out >> np.uint32(32 - self.bits) if self.bits < 32 else out
+    def sketch_distance(self, percent: int) -> int:
+        """Differing sketch symbols at a similarity of ``percent``, and five standard deviations more."""
+        p = (1 - percent / 100) * 255 / 256
+        return int(self.sketch * p + 5 * (self.sketch * p * (1 - p)) ** 0.5)
+
+    def of(self, shingles: np.ndarray, starts: np.ndarray) -> list[bytes]:
+        """Signatures and sketches of the non-empty sets that start at ``starts`` in ``shingles``."""
+        n = self.symbols + self.sketch
+        draw = mix(np.arange(1, 2 * n + 1, dtype=np.uint64))
+        least = np.empty((len(starts), n), dtype=np.uint64)
+        for i, (a, b) in enumerate(zip(draw[:n] | np.uint64(1), draw[n:], strict=True)):
+            least[:, i] = np.minimum.reduceat(shingles * a + b, starts)
+        table = (least[:, : self.symbols] >> np.uint64(64 - self.bits)).astype("<u4")
+        sketch = (mix(least[:, self.symbols :]) >> np.uint64(56)).astype(np.uint8)
+        return [t.tobytes() + s.tobytes() for t, s in zip(table, sketch, strict=True)]
+
+    def tables(self, signatures: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols and the sketches of some signatures."""
+        raw = np.frombuffer(b"".join(signatures), dtype=np.uint8).reshape(len(signatures), -1)
+        return np.ascontiguousarray(raw[:, : 4 * self.symbols]).view("<u4"), raw[:, 4 * self.symbols :]
 
     def keys(self, signatures: np.ndarray) -> np.ndarray:
         """For each signature, a key per chunk and choice of symbols left out."""
@@ -120,7 +132,7 @@ def profiles(docs: DataFrame, signature: Signature, size: int, id_col: str, text
             found = iter(signature.of(np.concatenate(sets), starts) if sets else ())
             for key, shingles in held:
                 if len(shingles):
-                    yield key, len(shingles), node_of(shingles), next(found).tobytes()
+                    yield key, len(shingles), node_of(shingles), next(found)
                 else:
                     yield key, 0, None, None
 
@@ -129,7 +141,7 @@ def profiles(docs: DataFrame, signature: Signature, size: int, id_col: str, text
             shingles = shingle_set(text, hashes, size)
             held.append((key, shingles))
             total += len(shingles)
-            if total >= TOGETHER:
+            if total >= TOGETHER or len(held) >= 1000:
                 yield from finish(held)
                 held, total = [], 0
         yield from finish(held)
@@ -143,8 +155,7 @@ def chunk_keys(nodes: DataFrame, signature: Signature) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                table = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint32)
-                keys = signature.keys(table.reshape(batch.num_rows, signature.symbols))
+                keys = signature.keys(signature.tables(batch.column(1).to_pylist())[0])
                 owners = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), keys.shape[1])
                 for at in range(0, len(owners), 1 << 16):
                     part = slice(at, at + (1 << 16))
@@ -153,26 +164,30 @@ def chunk_keys(nodes: DataFrame, signature: Signature) -> DataFrame:
     return nodes.select("node", "signature").mapInArrow(run, "key bigint, node bigint")
 
 
-def close_pairs(pairs: DataFrame, nodes: DataFrame, signature: Signature) -> DataFrame:
-    """``(a, b, apart)``: the pairs whose signatures differ in at most ``distance`` symbols."""
+def close_pairs(pairs: DataFrame, nodes: DataFrame, signature: Signature, percent: int) -> DataFrame:
+    """``(a, b, apart)``: the pairs whose signatures and sketches are near enough."""
     side_a = nodes.select(F.col("node").alias("a"), F.col("signature").alias("signature_a"))
     side_b = nodes.select(F.col("node").alias("b"), F.col("signature").alias("signature_b"))
     joined = pairs.join(side_a, "a").join(side_b, "b").select("a", "b", "signature_a", "signature_b")
-    most = signature.distance
+    most, most_apart = signature.distance, signature.sketch_distance(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint32) for i in (2, 3))
-            apart = (left != right).reshape(batch.num_rows, signature.symbols).sum(axis=1, dtype=np.int32)
-            near = pa.array(apart <= most)
+            if not batch.num_rows:
+                continue
+            (left, left_sketch), (right, right_sketch) = (signature.tables(batch.column(i).to_pylist()) for i in (2, 3))
+            apart = (left_sketch != right_sketch).sum(axis=1, dtype=np.int32)
+            near = pa.array(((left != right).sum(axis=1) <= most) & (apart <= most_apart))
             kept = [batch.column(i).filter(near) for i in (0, 1)]
             yield pa.record_batch([*kept, pa.array(apart).filter(near)], names=["a", "b", "apart"])
 
     return joined.mapInArrow(run, "a bigint, b bigint, apart int")
 
 
-def crossing_pairs(members: DataFrame, signature: Signature, partitions: int, nearest: bool) -> DataFrame:
-    """``(a, b, apart)`` within ``distance`` among members ``(key, node, component, signature)`` of a key.
+def crossing_pairs(
+    members: DataFrame, signature: Signature, percent: int, partitions: int, nearest: bool
+) -> DataFrame:
+    """``(a, b, apart)`` that are near enough among members ``(key, node, component, signature)`` of a key.
 
     Only pairs of different components count; with ``nearest`` only the closest one of each node in a
     block. A key with many members is cut into blocks by a hash of the node, and each pair of blocks
@@ -193,22 +208,23 @@ def crossing_pairs(members: DataFrame, signature: Signature, partitions: int, ne
     )
     grouped = placed.repartition(partitions, "key", "low", "high").sortWithinPartitions("key", "low", "high")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("apart", pa.int32())])
-    most = signature.distance
+    most, most_apart = signature.distance, signature.sketch_distance(percent)
 
     def compare(group: list[tuple]) -> Iterator[tuple]:
         low, high = group[0][1:3]
         node = np.array([g[3] for g in group])
         component = np.array([g[4] for g in group])
         own = np.array([g[5] for g in group])
-        table = np.frombuffer(b"".join(g[6] for g in group), dtype=np.uint32).reshape(len(group), -1)
         if (component == component[0]).all():
             return
+        table, sketch = signature.tables([g[6] for g in group])
         for i in range(len(group)):
             other = np.flatnonzero((component != component[i]) & (own != own[i] if low != high else node > node[i]))
             if low != high and own[i] != low:
                 continue
-            apart = (table[other] != table[i]).sum(axis=1)
-            near = np.flatnonzero(apart <= most)
+            other = other[(table[other] != table[i]).sum(axis=1) <= most]
+            apart = (sketch[other] != sketch[i]).sum(axis=1)
+            near = np.flatnonzero(apart <= most_apart)
             if nearest and len(near):
                 near = near[[np.argmin(apart[near])]]
             for j in near.tolist():
@@ -304,7 +320,7 @@ def near_duplicates(
     members = written(keys.join(leaders.select("key", "leader"), "key"), "members")
 
     stars = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    near = written(close_pairs(stars, nodes, signature), "near")
+    near = written(close_pairs(stars, nodes, signature, percent), "near")
     closest = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best")).select("a", "best.b")
     wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
     texts = written(node_texts(docs, wanted.join(nodes.select("node", "id"), "node"), words, id_col, text_col), "texts")
@@ -316,7 +332,9 @@ def near_duplicates(
         placed = placed.withColumn("component", F.coalesce("component", "node"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
         held = placed.join(mixed.select("key"), "key", "left_semi").join(nodes.select("node", "signature"), "node")
-        pairs = crossing_pairs(held.select("key", "node", "component", "signature"), signature, partitions, nearest)
+        pairs = crossing_pairs(
+            held.select("key", "node", "component", "signature"), signature, percent, partitions, nearest
+        )
         seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = written(pairs.select("a", "b").join(seen, ["a", "b"], "left_anti"), "crossing")
         if pairs.isEmpty():
