@@ -27,6 +27,7 @@ from telemetra.llm.common import (
     arrow_schema,
     exchange_partitions,
     fixed_filter,
+    free_names,
     in_filter,
     map_rows,
     mix,
@@ -371,10 +372,11 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     for several texts stays if any of them does, and rows without an id stay.
     """
     judged = written(near_duplicates(docs, words, percent, None, id_col, text_col).select(id_col, "kept"), "judged")
-    ids = judged.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
-    named = ids.where("not stays or n > 1").select(F.col(id_col).alias("_named"), "stays")
-    inside, outside = split_by_filter(docs, named.select(F.xxhash64("_named").alias("hash")), F.xxhash64(F.col(id_col)))
-    checked = inside.join(named, F.col(id_col) == F.col("_named"), "left").where("stays is null or stays")
-    # Only ids that were named can be repeated; others keep a key of their own.
-    once = checked.where("stays").dropDuplicates([id_col, text_col]).select(*docs.columns)
-    return outside.unionByName(checked.where("stays is null").select(*docs.columns)).unionByName(once)
+    named, stays, n = free_names(docs.columns, "named", "stays", "n")
+    ids = judged.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(named))
+    ids = ids.agg(F.max("kept").alias(stays), F.count("*").alias(n)).where(~F.col(stays) | (F.col(n) > 1)).drop(n)
+    inside, outside = split_by_filter(docs, ids.select(F.xxhash64(named).alias("hash")), F.xxhash64(F.col(id_col)))
+    checked = inside.join(ids, F.col(id_col) == F.col(named), "left")
+    # Only ids that were named can be repeated.
+    once = checked.where(F.col(stays)).dropDuplicates([id_col, text_col]).select(*docs.columns)
+    return outside.unionByName(checked.where(F.col(stays).isNull()).select(*docs.columns)).unionByName(once)

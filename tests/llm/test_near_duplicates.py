@@ -112,8 +112,9 @@ def test_edges(edges, documents):
 def test_one_of_each_group_stays(documents):
     base = " ".join(f"w{i}" for i in range(50))
     data = [(7, base), (3, base + " end"), (3, base + " end"), (9, "other text"), (None, base), (5, None), (8, "OTHER  text")]
-    kept = ops.one_of_each(documents(data))
-    assert kept.columns == ["doc_id", "text", "node"]
+    frame = documents(data).selectExpr("*", "1 AS named", "false AS stays", "2 AS n", "3 AS hash", "4 AS kept")
+    kept = ops.one_of_each(frame)
+    assert kept.columns == frame.columns
     assert Counter(r["doc_id"] for r in kept.collect()) == {3: 1, 8: 1, 5: 1, None: 1}
 
 
