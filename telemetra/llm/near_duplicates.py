@@ -186,13 +186,14 @@ def close_pairs(pairs: DataFrame, nodes: DataFrame, signature: Signature, percen
 
 
 def crossing_pairs(
-    members: DataFrame, signature: Signature, percent: int, partitions: int, nearest: bool
+    members: DataFrame, nodes: DataFrame, signature: Signature, percent: int, partitions: int, nearest: bool
 ) -> DataFrame:
-    """``(a, b, apart)`` that are near enough among members ``(key, node, component, signature)`` of a key.
+    """``(a, b, apart)`` that are near enough among members ``(key, node, component)`` of a key.
 
     Only pairs of different components count; with ``nearest`` only the closest one of each node in a
     block. A key with many members is cut into blocks by a hash of the node, and each pair of blocks
-    is a group of its own, so no task ever holds more than two blocks of a key.
+    is a group of its own, so no task ever holds more than two blocks of a key. A pair that shares
+    several keys is given under the first of them.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -205,25 +206,30 @@ def crossing_pairs(
         "node",
         "component",
         "own",
-        "signature",
     )
+    # Signatures join last: they are much larger than the rows they go to.
+    placed = placed.join(nodes.select("node", "signature"), "node")
+    placed = placed.select("key", "low", "high", "node", "component", "own", "signature")
     grouped = placed.repartition(partitions, "key", "low", "high").sortWithinPartitions("key", "low", "high")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("apart", pa.int32())])
     most, most_apart = signature.distance, signature.sketch_distance(percent)
 
     def compare(group: list[tuple]) -> Iterator[tuple]:
-        low, high = group[0][1:3]
+        key, low, high = group[0][:3]
         node = np.array([g[3] for g in group])
         component = np.array([g[4] for g in group])
         own = np.array([g[5] for g in group])
         if (component == component[0]).all():
             return
         table, sketch = signature.tables([g[6] for g in group])
+        keys = signature.keys(table)
         for i in range(len(group)):
             other = np.flatnonzero((component != component[i]) & (own != own[i] if low != high else node > node[i]))
             if low != high and own[i] != low:
                 continue
             other = other[(table[other] != table[i]).sum(axis=1) <= most]
+            first = (keys[other] == keys[i]).argmax(axis=1)
+            other = other[keys[i][first] == key]
             apart = (sketch[other] != sketch[i]).sum(axis=1)
             near = np.flatnonzero(apart <= most_apart)
             if nearest and len(near):
@@ -332,10 +338,8 @@ def near_duplicates(
         placed = members.select("key", "node").join(labels, "node", "left")
         placed = placed.withColumn("component", F.coalesce("component", "node"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        held = placed.join(mixed.select("key"), "key", "left_semi").join(nodes.select("node", "signature"), "node")
-        pairs = crossing_pairs(
-            held.select("key", "node", "component", "signature"), signature, percent, partitions, nearest
-        )
+        held = placed.join(mixed.select("key"), "key", "left_semi").select("key", "node", "component")
+        pairs = crossing_pairs(held, nodes, signature, percent, partitions, nearest)
         seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = written(pairs.select("a", "b").join(seen, ["a", "b"], "left_anti"), "crossing")
         if pairs.isEmpty():
