@@ -4,10 +4,13 @@ Word bigram, word unigram and uniform estimates are mixed with weights that depe
 context was seen. The weights are learned by expectation-maximisation on counts from which each
 occurrence is deleted in turn, so every training token is held out once.
 
-The most frequent words (a number that is fixed) are classes of their own, the others and all unseen
-ones share one class. Inside that class a word has its own unigram estimate mixed with a uniform one,
-again with a weight learned on deleted counts. So probabilities sum to one over all words seen in
-training and one unseen word.
+Every word has estimates of its own, however rare it is: words are told apart by 64-bit hashes,
+bigrams by hashes of the pair. Probabilities sum to one over all words seen in training and one unseen
+word. Only totals, histograms and weights come to the driver.
+
+A caller may limit the ``classes`` instead. Then the most frequent words are classes of their own, the
+others and all unseen ones share one class, and inside that class a word has its own unigram estimate
+mixed with a uniform one, again with a weight learned on deleted counts.
 
 Texts are turned into blocks of tokens once and kept in the shared folder. Counts are gathered by
 exchanges: a block sends its distinct words or bigrams with their counts to ranges of them, the sums
@@ -17,7 +20,7 @@ come back to the block. No table of words or bigrams is ever in one place.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,13 +28,11 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemetra.llm.common import arrow_schema, exchange_partitions, map_rows, remainder_of_id, task_number, written
+from telemetra.llm.common import arrow_schema, exchange_partitions, map_rows, mix, remainder_of_id, task_number, written
 from telemetra.llm.words import WordHashes, lower_words
 
-#: Words that are classes of their own, at most.
-CLASSES = 1 << 16
 #: Tokens of a block, about.
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 500_000
 #: Fineness of the histograms that weights are learned from: bins per doubling of a count or probability.
 COUNT_BINS, SHARE_BINS = 16, 2
 SHARES = 80
@@ -51,6 +52,36 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(raw[1:]), dtype=f"<u{raw[0]}").astype(np.int64)
 
 
+def planes(values: np.ndarray, width: int) -> bytes:
+    """Whole numbers of so many bytes, the lowest byte of all of them first, then the next one, compressed."""
+    return zstandard.compress(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes(), 1)
+
+
+def from_planes(raw: bytes, width: int) -> np.ndarray:
+    bytes_of = np.frombuffer(zstandard.decompress(raw), dtype=np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(bytes_of.T).view(f"<u{width}").ravel()
+
+
+def packed_hashes(values: np.ndarray) -> bytes:
+    """Sorted hashes by their differences."""
+    return planes(np.diff(values, prepend=np.uint64(0)), 8)
+
+
+def unpacked_hashes(raw: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(raw, 8), dtype=np.uint64)
+
+
+def packed_tokens(tokens: np.ndarray, counts: np.ndarray) -> bytes:
+    """Local numbers of words by the rank of their ``counts``, so that most are small."""
+    rank = np.empty(len(counts), dtype=np.int64)
+    rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
+    return planes(rank[tokens], 4)
+
+
+def unpacked_tokens(raw: bytes, counts: bytes) -> np.ndarray:
+    return np.argsort(-unpacked(counts), kind="stable")[from_planes(raw, 4)]
+
+
 # ---- blocks ------------------------------------------------------------------------------
 
 
@@ -91,9 +122,9 @@ def token_blocks(docs: DataFrame, training: Column, id_col: str, text_col: str)
                 [key for key, _, _ in held],
                 packed(training),
                 packed(lengths),
-                words.tobytes(),
+                packed_hashes(words),
                 packed(counts),
-                packed(local),
+                packed_tokens(local, counts),
             )
 
         held, size = [], 0
@@ -167,22 +198,27 @@ def count_bin(counts: np.ndarray) -> np.ndarray:
     return np.floor(COUNT_BINS * np.log2(np.maximum(counts, 1)) + 1e-9).astype(np.int64)
 
 
-def unigram_exchange(blocks: DataFrame, partitions: int) -> DataFrame:
-    """Training counts of the words of each block, the vocabulary seen twice or more, and bins of counts."""
-    bounds = np.array([(k << 64) // partitions for k in range(1, partitions)], dtype=np.uint64)
+def hash_bounds(buckets: int) -> np.ndarray:
+    return np.array([(k << 64) // buckets for k in range(1, buckets)], dtype=np.uint64)
+
+
+def unigram_exchange(blocks: DataFrame, partitions: int, vocabulary: bool = True) -> DataFrame:
+    """Training counts of the words of each block, the ``vocabulary`` seen twice or more, and bins of counts."""
+    bounds = hash_bounds(partitions)
 
     def send(lines: Iterator[tuple]) -> Iterator[tuple]:
         for block, words, counts in lines:
-            words, counts = np.frombuffer(words, dtype=np.uint64), unpacked(counts)
+            words, counts = unpacked_hashes(words), unpacked(counts)
             for bucket, part in slices(words, bounds):
-                yield bucket, TOTALS, block, part.start, words[part].tobytes(), packed(counts[part])
+                yield bucket, TOTALS, block, part.start, packed_hashes(words[part]), packed(counts[part])
 
     def sum_up(group: list[tuple]) -> Iterator[tuple]:
-        parts = [(block, start, np.frombuffer(k, dtype=np.uint64), unpacked(c)) for _, block, start, k, c in group]
+        parts = [(block, start, unpacked_hashes(k), unpacked(c)) for _, block, start, k, c in group]
         keys, totals, back = summed(parts)
         yield from back
-        often = np.flatnonzero(totals > 1)
-        yield VOCABULARY, -1, 0, len(often), keys[often].tobytes() + totals[often].astype("<i8").tobytes()
+        if vocabulary:
+            often = np.flatnonzero(totals > 1)
+            yield VOCABULARY, -1, 0, len(often), keys[often].tobytes() + totals[often].astype("<i8").tobytes()
         seen = totals[totals > 0]
         bins = count_bin(seen)
         for b in np.unique(bins).tolist():
@@ -307,10 +343,10 @@ def bigram_exchange(blocks: DataFrame, shared, partitions: int) -> DataFrame:
 
     def send(lines: Iterator[tuple]) -> Iterator[tuple]:
         model, bounds = shared.value
-        for block, training, lengths, words, tokens in lines:
-            classes = model.classes(np.frombuffer(words, dtype=np.uint64))
+        for block, training, lengths, words, counts, tokens in lines:
+            classes = model.classes(unpacked_hashes(words))
             lengths = unpacked(lengths)
-            _, keys = model.keys(classes[unpacked(tokens)], lengths)
+            _, keys = model.keys(classes[unpacked_tokens(tokens, counts)], lengths)
             distinct, inverse = np.unique(keys, return_inverse=True)
             trained = np.repeat(unpacked(training).astype(bool), lengths)
             counts = np.bincount(inverse[trained], minlength=len(distinct))
@@ -342,7 +378,7 @@ def bigram_exchange(blocks: DataFrame, shared, partitions: int) -> DataFrame:
         for c, n in zip(codes.tolist(), weights.tolist(), strict=True):
             yield BINS, c, 0, int(n), None
 
-    sent = map_rows(blocks.select("block", "training", "lengths", "words", "tokens"), SENT, SENT_SCHEMA, send)
+    sent = map_rows(blocks.select("block", "training", "lengths", "words", "counts", "tokens"), SENT, SENT_SCHEMA, send)
     return exchanged(sent, partitions, sum_up)
 
 
@@ -359,91 +395,213 @@ def mixture_weights(bins: list[tuple[int, int]], classes: int) -> np.ndarray:
     for bucket, found in by_bucket.items():
         after, single, n = (np.array(x) for x in zip(*found, strict=True))
         parts = np.stack([share_of_bin(after), share_of_bin(single), np.full(len(n), 1 / classes)])
-        mix = np.full(3, 1 / 3)
+        shares = np.full(3, 1 / 3)
         for _ in range(STEPS):
-            joint = mix[:, None] * parts
-            mix = ((joint / joint.sum(axis=0)) * n).sum(axis=1) / n.sum()
-        mix = np.maximum(mix, [0.0, 1e-6, 1e-6])
-        weights[bucket] = mix / mix.sum()
+            joint = shares[:, None] * parts
+            shares = ((joint / joint.sum(axis=0)) * n).sum(axis=1) / n.sum()
+        shares = np.maximum(shares, [0.0, 1e-6, 1e-6])
+        weights[bucket] = shares / shares.sum()
     return weights
 
 
-# ---- the operator ------------------------------------------------------------------------
+# ---- every word by itself ----------------------------------------------------------------
 
 
-def scores(
-    docs: DataFrame,
-    training: Column,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    classes: int = CLASSES,
-) -> DataFrame:
-    """``(id, training, n_tokens, n_known, train_tokens, base_score, score)`` per row of ``docs``.
+def pairs_of(words: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct bigrams of a block by their sorted hashes, which one each token ends, and their two words.
 
-    A text's tokens are its words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, and one end.
-    ``base_score`` is the add-0.1 unigram score, ``score`` the log10 probability by the mixture, both
-    from the rows for which ``training`` holds. A null text is empty: the end alone. Null ids stay
-    null and repeated rows are texts of their own; without training rows every token is unseen.
+    The empty word ends a text, so it is also the context in which the next one begins; it is seen in
+    training as often as texts begin. Words are local numbers.
     """
-    spark = docs.sparkSession
-    partitions = exchange_partitions(spark)
-    frame = token_blocks(docs, training, id_col, text_col)
-    kind = frame.schema["ids"].dataType.elementType.simpleString()
-    id_type = arrow_schema(frame).field("ids").type.value_type
-    blocks = written(frame, "token-blocks")
-    counted = written(unigram_exchange(blocks, partitions), "unigrams")
-    beginnings = docs.where(training).count()
+    context = np.roll(tokens, 1)  # the last token of a block is an end
+    hashes = mix(mix(words)[context] + words[tokens])
+    distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    return distinct, inverse, context[at], tokens[at]
+
+
+def pair_exchange(blocks: DataFrame, partitions: int) -> DataFrame:
+    """Training counts of the bigrams of each block."""
+    bounds = hash_bounds(partitions)
+
+    def send(lines: Iterator[tuple]) -> Iterator[tuple]:
+        for block, training, lengths, words, counts, tokens in lines:
+            distinct, inverse, _, _ = pairs_of(unpacked_hashes(words), unpacked_tokens(tokens, counts))
+            trained = np.repeat(unpacked(training).astype(bool), unpacked(lengths))
+            counts = np.bincount(inverse[trained], minlength=len(distinct))
+            for bucket, part in slices(distinct, bounds):
+                yield bucket, TOTALS, block, part.start, packed_hashes(distinct[part]), packed(counts[part])
+
+    def sum_up(group: list[tuple]) -> Iterator[tuple]:
+        parts = [(block, start, unpacked_hashes(k), unpacked(c)) for _, block, start, k, c in group]
+        yield from summed(parts)[2]
+
+    sent = map_rows(blocks.select("block", "training", "lengths", "words", "counts", "tokens"), SENT, SENT_SCHEMA, send)
+    return exchanged(sent, partitions, sum_up)
+
+
+def share_codes(together: np.ndarray, in_context: np.ndarray, alone: np.ndarray, tokens: int) -> np.ndarray:
+    """Bins of bigrams: how often the context is seen, and both shares, an occurrence deleted from each count."""
+    after = share_bin((together - 1) / np.maximum(in_context - 1, 1))
+    single = share_bin((alone - 1) / max(tokens - 1, 1))
+    return (context_bucket(in_context - 1) * SHARES + after) * SHARES + single
+
+
+def share_bins(joined: DataFrame, tokens: int) -> list[tuple[int, int]]:
+    """Training tokens by bin. Each block knows its bigrams' counts and gives the tokens it holds itself."""
+
+    def convert(lines: Iterator[tuple]) -> Iterator[tuple]:
+        for training, lengths, words, counts, local, totals, pairs in lines:
+            seen, together = assembled(totals), assembled(pairs)
+            _, inverse, context, word = pairs_of(unpacked_hashes(words), unpacked_tokens(local, counts))
+            trained = np.repeat(unpacked(training).astype(bool), unpacked(lengths))
+            own = np.bincount(inverse[trained], minlength=len(together))
+            held = np.flatnonzero(own)
+            code = share_codes(together[held], seen[context[held]], seen[word[held]], tokens)
+            codes, at = np.unique(code, return_inverse=True)
+            yield from zip(codes.tolist(), np.bincount(at, weights=own[held]).astype(np.int64).tolist(), strict=True)
+
+    schema = pa.schema([("code", pa.int64()), ("n", pa.int64())])
+    columns = joined.select("training", "lengths", "words", "counts", "tokens", "totals", "pairs")
+    found = map_rows(columns, "code bigint, n bigint", schema, convert)
+    return [tuple(line) for line in found.groupBy("code").agg(F.sum("n")).collect()]
+
+
+def context_weights(bins: list[tuple[int, int]], words: int) -> np.ndarray:
+    """Mixture weights per bucket of contexts; a bucket without any has those of the one below."""
+    weights = mixture_weights(bins, words)
+    learned = {code // SHARES // SHARES for code, _ in bins}
+    for bucket in range(1, len(weights)):
+        if bucket not in learned:
+            weights[bucket] = weights[bucket - 1]
+    return weights
+
+
+# ---- the operator ------------------------------------------------------------------------
+
+
+def by_block(returned: DataFrame, kind: int, name: str) -> DataFrame:
+    parts = F.collect_list(F.struct("start", "data")).alias(name)
+    return returned.where(F.col("kind") == kind).groupBy("block").agg(parts)
+
+
+def assembled(parts: list[dict]) -> np.ndarray:
+    return np.concatenate([unpacked(p["data"]) for p in sorted(parts, key=lambda p: p["start"])])
+
+
+def summaries(
+    ids: list, training: np.ndarray, lengths: np.ndarray, seen: np.ndarray, n: int, v: int, score: np.ndarray
+) -> Iterator[tuple]:
+    """A row per text of a block from its tokens' counts and scores."""
+    base = np.log10((seen + 0.1) / (n + 0.1 * (v + 1)))
+    starts = np.cumsum(lengths) - lengths
+    known = np.add.reduceat((seen > 0).astype(np.int64), starts)
+    columns = (np.add.reduceat(base, starts), np.add.reduceat(score, starts))
+    yield from zip(
+        ids, training.astype(bool).tolist(), lengths.tolist(), known.tolist(), [n] * len(ids),
+        *(c.tolist() for c in columns), strict=True,
+    )
+
+
+Converted = tuple[DataFrame, Callable[[Iterator[tuple]], Iterator[tuple]]]
+
+
+def by_words(blocks: DataFrame, counted: DataFrame, partitions: int) -> Converted:
+    """The blocks with their counts, and what makes scores of them."""
+    paired = written(pair_exchange(blocks, partitions), "bigrams")
+    joined = written(
+        blocks.select("block", "ids", "training", "lengths", "words", "counts", "tokens")
+        .join(by_block(counted, TOTALS, "totals"), "block")
+        .join(by_block(paired, TOTALS, "pairs"), "block")
+        .drop("block"),
+        "counted-blocks",
+    )
+    sums = counted.where(F.col("kind") == BINS).agg(F.sum("start"), F.sum("n")).first()
+    v, n = sums[0] or 0, sums[1] or 0
+    weights = context_weights(share_bins(joined, n), v + 1)
+
+    def convert(lines: Iterator[tuple]) -> Iterator[tuple]:
+        for ids, training, lengths, words, counts, tokens, totals, pairs in lines:
+            seen, tokens = assembled(totals), unpacked_tokens(tokens, counts)
+            _, inverse, context, word = pairs_of(unpacked_hashes(words), tokens)
+            in_context = seen[context]
+            share = weights[context_bucket(in_context)]
+            p = share[:, 0] * assembled(pairs) / np.maximum(in_context, 1)
+            p += share[:, 1] * seen[word] / n if n else share[:, 1] / (v + 1)
+            p += share[:, 2] / (v + 1)
+            yield from summaries(ids, unpacked(training), unpacked(lengths), seen[tokens], n, v, np.log10(p)[inverse])
+
+    return joined, convert
+
+
+def by_classes(blocks: DataFrame, counted: DataFrame, partitions: int, beginnings: int, classes: int) -> Converted:
+    """The same with at most so many ``classes``."""
+    spark = blocks.sparkSession
     model = unigrams(counted, beginnings, classes)
     bounds = model.bounds(partitions)
     paired = written(bigram_exchange(blocks, spark.sparkContext.broadcast((model, bounds)), partitions), "bigrams")
     bins = paired.where(F.col("kind") == BINS).groupBy("block").agg(F.sum("n").alias("n")).collect()
     weights = mixture_weights([(line["block"], line["n"]) for line in bins], model.rare + 1)
     shared = spark.sparkContext.broadcast((model, weights))
-
-    def by_block(returned: DataFrame, kind: int, name: str) -> DataFrame:
-        parts = F.collect_list(F.struct("start", "data")).alias(name)
-        return returned.where(F.col("kind") == kind).groupBy("block").agg(parts)
-
     joined = (
-        blocks.select("block", "ids", "training", "lengths", "tokens")
+        blocks.select("block", "ids", "training", "lengths", "counts", "tokens")
         .join(by_block(counted, TOTALS, "words"), "block")
         .join(by_block(paired, CLASS_OF, "classes"), "block")
         .join(by_block(paired, TOTALS, "pairs"), "block")
         .drop("block")
     )
 
-    def assembled(parts: list[dict]) -> np.ndarray:
-        return np.concatenate([unpacked(p["data"]) for p in sorted(parts, key=lambda p: p["start"])])
-
     def convert(lines: Iterator[tuple]) -> Iterator[tuple]:
         model, weights = shared.value
         n, v = model.tokens, model.types
-        for ids, training, lengths, tokens, words, classes, pairs in lines:
-            lengths, tokens = unpacked(lengths), unpacked(tokens)
+        for ids, training, lengths, counts, tokens, words, classes, pairs in lines:
+            lengths, tokens = unpacked(lengths), unpacked_tokens(tokens, counts)
             seen = assembled(words)[tokens]
             word = assembled(classes)[tokens]
             context, keys = model.keys(word, lengths)
             together = assembled(pairs)[np.unique(keys, return_inverse=True)[1]]
             in_context = model.counts[context]
-            mix = weights[context_bucket(in_context)]
-            p = mix[:, 0] * together / np.maximum(in_context, 1)
-            p += mix[:, 1] * model.counts[word] / max(n, 1) if n else mix[:, 1] / (model.rare + 1)
-            p += mix[:, 2] / (model.rare + 1)
+            share = weights[context_bucket(in_context)]
+            p = share[:, 0] * together / np.maximum(in_context, 1)
+            p += share[:, 1] * model.counts[word] / max(n, 1) if n else share[:, 1] / (model.rare + 1)
+            p += share[:, 2] / (model.rare + 1)
             score = np.log10(p)
             rare = word == model.rare
             own = model.own_weight if model.counts[model.rare] else 0.0
             inside = own * seen[rare] / max(1, model.counts[model.rare]) + (1 - own) / (model.rare_types + 1)
             score[rare] += np.log10(inside)
-            base = np.log10((seen + 0.1) / (n + 0.1 * (v + 1)))
-            starts = np.cumsum(lengths) - lengths
-            known = np.add.reduceat((seen > 0).astype(np.int64), starts)
-            columns = (np.add.reduceat(base, starts), np.add.reduceat(score, starts))
-            trained = unpacked(training).astype(bool)
-            yield from zip(
-                ids, trained.tolist(), lengths.tolist(), known.tolist(), [n] * len(ids), *(c.tolist() for c in columns),
-                strict=True,
-            )
+            yield from summaries(ids, unpacked(training), lengths, seen, n, v, score)
+
+    return joined, convert
+
+
+def scores(
+    docs: DataFrame,
+    training: Column,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    classes: int | None = None,
+) -> DataFrame:
+    """``(id, training, n_tokens, n_known, train_tokens, base_score, score)`` per row of ``docs``.
 
+    A text's tokens are its words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, and one end.
+    ``base_score`` is the add-0.1 unigram score, ``score`` the log10 probability by the mixture, both
+    from the rows for which ``training`` holds. A null text is empty: the end alone. Null ids stay
+    null and repeated rows are texts of their own; without training rows every token is unseen.
+
+    Bigrams are told apart by 64-bit hashes: among n distinct ones, two are taken for the same with
+    probability n^2 / 2^65. ``classes`` limits the words that have estimates of their own.
+    """
+    spark = docs.sparkSession
+    partitions = exchange_partitions(spark)
+    frame = token_blocks(docs, training, id_col, text_col)
+    kind = frame.schema["ids"].dataType.elementType.simpleString()
+    id_type = arrow_schema(frame).field("ids").type.value_type
+    blocks = written(frame, "token-blocks")
+    counted = written(unigram_exchange(blocks, partitions, classes is not None), "unigrams")
+    if classes is None:
+        joined, convert = by_words(blocks, counted, partitions)
+    else:
+        joined, convert = by_classes(blocks, counted, partitions, docs.where(training).count(), classes)
     out = pa.schema(
         [
             (id_col, id_type),

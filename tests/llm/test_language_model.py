@@ -85,6 +85,34 @@ def ops_table(documents, texts, words, classes):
     return total
 
 
+def test_every_word_has_its_own_estimates(documents):
+    source = random.Random(16)
+    texts = [(i, " ".join(source.choices([f"w{k}" for k in range(60)], weights=[1 / (k + 1) ** 2 for k in range(60)], k=12))) for i in range(60)]
+    texts += [(100, "once only"), (101, "once never"), (102, "never once only"), (103, "")]
+    lines = [(i, tokens(text), i % 4 != 1) for i, text in texts]
+    words, pairs = Counter(), Counter()
+    for _, own, yes in lines:
+        if yes:
+            words.update(own)
+            pairs.update(zip([b"", *own], own, strict=False))
+    n, v = sum(words.values()), len(words)
+    assert min(words.values()) == 1
+    bins = Counter()
+    for (a, b), times in pairs.items():
+        bins[int(ops.share_codes(*(np.array([x]) for x in (times, words[a], words[b])), n)[0])] += times
+    weights = ops.context_weights(list(bins.items()), v + 1)
+
+    def probability(a, b):
+        together, single, uniform = weights[ops.context_bucket(np.array([words[a]]))[0]]
+        return together * pairs[a, b] / max(words[a], 1) + single * words[b] / n + uniform / (v + 1)
+
+    for a in [*words, b"unseen"]:
+        assert words[a] == 0 or sum(probability(a, b) for b in [*words, b"unseen"]) == pytest.approx(1.0)
+    found = {r["doc_id"]: r["score"] for r in ops.scores(documents(texts), F.col("doc_id") % 4 != 1).collect()}
+    for i, own, _ in lines:
+        assert found[i] == pytest.approx(sum(math.log10(probability(a, b)) for a, b in zip([b"", *own], own, strict=False)))
+
+
 def test_small_blocks_and_many_buckets_change_nothing(documents):
     source = random.Random(15)
     texts = [(i, " ".join(source.choices(["a", "b", "c", "d e f"], k=30))) for i in range(40)]
