@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +30,9 @@ FILTER_BITS = 20
 
 
 class Items:
-    """The words and seeds of some benchmark items."""
+    """The words and seeds of some benchmark texts, each under a number of its own."""
 
-    def __init__(self, items: list[tuple[int, bytes]], least: int) -> None:
+    def __init__(self, items: Iterable[tuple[int, bytes]], least: int) -> None:
         self.hashes = WordHashes()
         self.words: dict[int, np.ndarray] = {}
         self.seeds: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
@@ -98,14 +98,14 @@ def tiled(words: np.ndarray, item: np.ndarray, by_shift: dict[int, list[int]], l
 
 
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, bytes]]]:
-    """The items in blocks of about ``BLOCK_BYTES``; each is collected by itself."""
+    """The distinct ids and texts in blocks of about ``BLOCK_BYTES``; each is collected by itself."""
     items = benchmark.where(F.col(item_col).isNotNull()).select(
         F.col(item_col).alias("item"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
-    )
+    ).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES)
     for k in range(blocks):
-        block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
+        block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         yield [(line["item"], bytes(line["text"])) for line in block.collect()]
 
 
@@ -123,8 +123,9 @@ def contamination(
     ``item_ids`` lists the items covered to ``coverage`` or more, ``item_id`` is the one covered best
     (the smallest id among equals; null if no item shares a run of words). Words are compared
     without case and ASCII punctuation. Items of fewer than five words must occur whole; items
-    without words match nothing; of items with the same id the last one counts. A null text has no words, a null id stays
-    null, repeated rows are judged each, empty tables give no rows or no matches.
+    without words match nothing; an item with several texts is covered as well as the best of them, and
+    repeated benchmark rows count once. A null text has no words, a null id stays null, repeated rows
+    are judged each, empty tables give no rows or no matches.
     """
     state = "best_item bigint, best double, item_ids array<bigint>, n_words bigint"
     frame = docs.select(
@@ -143,12 +144,13 @@ def contamination(
         shared = frame.sparkSession.sparkContext.broadcast(block)
 
         def convert(lines: Iterator[tuple]) -> Iterator[tuple]:
-            items = Items(shared.value, LEAST_MATCH)
+            block = shared.value
+            items = Items(enumerate(text for _, text in block), LEAST_MATCH)
             for key, text, best_item, best, item_ids, _ in lines:
                 n, marked = items.covered(text)
-                for item, count in marked.items():
-                    share = count / len(items.words[item])
-                    if share >= coverage:
+                for number, count in marked.items():
+                    item, share = block[number][0], count / len(items.words[number])
+                    if share >= coverage and item not in item_ids:
                         item_ids.append(item)
                     if share > best or share == best > 0 and item < best_item:
                         best_item, best = item, share
@@ -186,7 +188,7 @@ def decontaminated(
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def test(shared=shared):
-            items = Items(shared.value, LEAST_MATCH)
+            items = Items(enumerate(text for _, text in shared.value), LEAST_MATCH)
             return lambda text: all(n < coverage * len(items.words[i]) for i, n in items.covered(text)[1].items())
 
         docs = rows_where(docs, test, F.coalesce(F.col(text_col), F.lit("")).cast("binary"))

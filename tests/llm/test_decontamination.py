@@ -96,3 +96,18 @@ def test_a_repeated_passage_costs_its_length():
     n, marked = items.covered((ITEM + " ") .encode() * 300)
     assert n == 12_000 and marked == {1: 40}
     assert np.isfinite(n)
+
+
+@pytest.mark.parametrize("block_bytes", [8 << 20, 60])
+def test_repeated_rows_and_several_texts_of_an_id(spark, documents, monkeypatch, block_bytes):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block_bytes)
+    other = " ".join(f"v{i}" for i in range(12))
+    data = [(1, ITEM), (1, ITEM), (1, other), (1, ITEM.upper()), (2, " ".join(WORDS[:18])), (2, " ".join(WORDS[:18]))]
+    benchmark = spark.createDataFrame(data, "item_id long, text string")
+    texts = [(1, ITEM), (2, other), (3, "x " + " ".join(WORDS[:9]) + " y"), (4, " ".join(f"v{i}" for i in range(5))), (5, "none")]
+    found = {r["doc_id"]: r for r in contamination(documents(texts), benchmark).collect()}
+    assert found[1]["item_ids"] == [1, 2] and found[1]["item_id"] == 1 and found[1]["n_items"] == 2
+    assert found[2]["item_ids"] == [1] and found[2]["coverage"] == 1.0
+    assert found[3]["item_ids"] == [2] and found[3]["coverage"] == 9 / 18
+    assert found[4]["item_ids"] == [] and found[4]["coverage"] == 5 / 12
+    assert {r["doc_id"] for r in decontaminated(documents(texts), benchmark).collect()} == {4, 5}
