@@ -97,16 +97,19 @@ def tiled(words: np.ndarray, item: np.ndarray, by_shift: dict[int, list[int]], l
     return int(in_item.sum())
 
 
-def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, bytes]]]:
-    """The distinct ids and texts in blocks of about ``BLOCK_BYTES``; each is collected by itself."""
+def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[tuple[list[tuple[int, bytes]], bool]]:
+    """The distinct ids and texts in blocks of about ``BLOCK_BYTES``, and whether a block is the last.
+
+    Each is collected by itself; there is one at least.
+    """
     items = benchmark.where(F.col(item_col).isNotNull()).select(
         F.col(item_col).alias("item"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     ).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // BLOCK_BYTES)
+    blocks = max(1, -(-size // BLOCK_BYTES))
     for k in range(blocks):
         block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        yield [(line["item"], bytes(line["text"])) for line in block.collect()]
+        yield [(line["item"], bytes(line["text"])) for line in block.collect()], k == blocks - 1
 
 
 def contamination(
@@ -161,9 +164,9 @@ def contamination(
         names = f"`{id_col}` {kind}, {'' if last else 'text binary, '}{state}"
         return map_rows(frame, names, pa.schema([id_field, *between, *fields]), convert)
 
-    blocks = list(benchmark_blocks(benchmark, item_col, item_text_col)) or [[]]
-    for k, block in enumerate(blocks):
-        frame = judged(frame if k == 0 else written(frame, "decontamination"), block, k == len(blocks) - 1)
+    for k, (block, last) in enumerate(benchmark_blocks(benchmark, item_col, item_text_col)):
+        frame = judged(frame if k == 0 else written(frame, "decontamination"), block, last)
+        del block  # before the next one is collected
     return frame.select(
         F.col(id_col),
         "n_words",
@@ -184,8 +187,9 @@ def decontaminated(
     item_text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` that cover no benchmark item to ``coverage`` or more; all columns pass through."""
-    for block in benchmark_blocks(benchmark, item_col, item_text_col):
+    for block, _ in benchmark_blocks(benchmark, item_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(block)
+        del block  # before the next one is collected
 
         def test(shared=shared):
             items = Items(enumerate(text for _, text in shared.value), LEAST_MATCH)

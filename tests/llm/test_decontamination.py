@@ -111,3 +111,23 @@ def test_repeated_rows_and_several_texts_of_an_id(spark, documents, monkeypatch,
     assert found[3]["item_ids"] == [2] and found[3]["coverage"] == 9 / 18
     assert found[4]["item_ids"] == [] and found[4]["coverage"] == 5 / 12
     assert {r["doc_id"] for r in decontaminated(documents(texts), benchmark).collect()} == {4, 5}
+
+
+def test_blocks_are_collected_one_by_one(documents, benchmark, monkeypatch):
+    drawn, seen = [], []
+    blocks, write = decontamination.benchmark_blocks, decontamination.written
+
+    def counted(*args):
+        for block in blocks(*args):
+            drawn.append(block)
+            yield block
+
+    def noted(frame, label):
+        seen.append(len(drawn))
+        return write(frame, label)
+
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 60)
+    monkeypatch.setattr(decontamination, "benchmark_blocks", counted)
+    monkeypatch.setattr(decontamination, "written", noted)
+    contamination(documents([(1, ITEM)]), benchmark).collect()
+    assert len(drawn) > 2 and seen == list(range(2, len(drawn) + 1))
