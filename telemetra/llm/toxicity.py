@@ -5,7 +5,7 @@ the token's overall frequency. A token counts once per labelled document, so tha
 cannot make it toxic. Less a margin, so that an average token scores below zero, the scores
 of a text form a walk whose maximal segments are all found in one linear scan. Extreme-value theory
 says how often a clean text of that length has a segment of that score (K m e^(-lambda s)); the
-strongest evidence over the best one, two, three... segments is calibrated to a probability.
+strongest evidence over the best one, two, three... up to all segments is calibrated to a probability.
 """
 
 from __future__ import annotations
@@ -34,8 +34,6 @@ PRIOR_TOKENS = 500.0
 LEAST_Z = 3.0
 #: What every token loses, so that an average one scores below zero.
 MARGIN = 1.0
-#: Segments whose joint evidence is looked at.
-SEGMENTS = 8
 
 
 @dataclass(frozen=True)
@@ -92,9 +90,9 @@ def toxic_passages(model: ToxicityModel, text: bytes) -> tuple[int, list[tuple[i
 
 
 def evidence(model: ToxicityModel, n_words: int, segments: list[tuple[int, int, float]]) -> float:
-    """Largest -log10 p over the best r segments, p from a Poisson law of chance segments."""
+    """Largest -log10 p over the best r segments of any number, p from a Poisson law of chance segments."""
     best = 0.0
-    ranked = sorted((s for _, _, s in segments), reverse=True)[:SEGMENTS]
+    ranked = sorted((s for _, _, s in segments), reverse=True)
     for r, score in enumerate(ranked, 1):
         expected = model.rate * max(n_words, 1) * math.exp(-model.decay * score)
         # P(at least r chance segments) is at most expected^r / r!
@@ -194,7 +192,7 @@ def fit(
     def segmented(lines: Iterator[tuple]) -> Iterator[tuple]:
         for _, label, text in lines:
             n, segments = toxic_passages(shared.value, text)
-            yield label, n, [s for _, _, s in sorted(segments, key=lambda x: -x[2])[: 4 * SEGMENTS]]
+            yield label, n, [s for _, _, s in segments]
 
     schema = pa.schema([("label", pa.int32()), ("n", pa.int64()), ("found", pa.list_(pa.float64()))])
     held = map_rows(frame.where(~fold), "label int, n bigint, found array<double>", schema, segmented).collect()

@@ -58,6 +58,13 @@ def test_passages_have_their_words():
     assert toxicity.toxic_passages(model, b"")[1] == [] and toxicity.evidence(model, 0, []) == 0
 
 
+def test_all_passages_count():
+    model = toxicity.ToxicityModel({b"bad": 5.0}, 1.0, 0.01, (-3.0, 1.0))
+    n, segments = toxicity.toxic_passages(model, b" ".join([b"bad", *[b"word"] * 999] * 80))
+    assert n == 80_000 and len(segments) == 80
+    assert toxicity.evidence(model, n, segments[:8]) == 0 and toxicity.evidence(model, n, segments) > 10
+
+
 @pytest.mark.parametrize("labelled", [[], [(1, 1)], [(6, 0)], [(4, 1), (4, 0), (6, 0), (None, 1), (5, None)]])
 def test_edges(spark, edges, documents, labelled):
     labels = spark.createDataFrame(labelled, "doc_id long, toxic int")
