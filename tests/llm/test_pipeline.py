@@ -1,8 +1,14 @@
+import hashlib
 import zlib
+from collections import Counter
+
+import numpy as np
 
 import corpus_pipeline
 from telemetra.llm import catalogue, toxicity
 from telemetra.llm.common import remainder_of_id, table, written
+from telemetra.llm.words import plain_words
+from tests.llm.test_decontamination import tiled_by_definition
 from tests.llm.test_near_duplicates import brute as linked
 from tests.llm.test_packing import ids_of
 
@@ -41,6 +47,50 @@ def test_stages_take_effect(spark):
     assert sorted(map(tuple, whole)) == sorted(tuple(p[c] for c in columns) for p in pieces)
 
 
+def without_repeats_by_definition(texts, length=400):
+    """What is left of each text when all strings that stand twice are cut, window by window."""
+    windows = {
+        i: [hashlib.blake2b(raw[k : k + length], digest_size=16).digest() for k in range(len(raw) - length + 1)]
+        for i, raw in texts.items()
+    }
+    times = Counter(w for own in windows.values() for w in own)
+    left = {}
+    for i, raw in texts.items():
+        gone = np.zeros(len(raw), dtype=bool)
+        for k, window in enumerate(windows[i]):
+            if times[window] > 1:
+                gone[k : k + length] = True
+        kept = np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes().decode(errors="ignore")
+        if kept or not gone.any():
+            left[i] = kept
+    return left
+
+
+def covers_by_definition(text, item):
+    """Whether half of the item's words are marked; without a common run of the least length none is."""
+    least = min(5, len(item))
+    if not least:
+        return False
+    runs = {tuple(item[k : k + least]) for k in range(len(item) - least + 1)}
+    if not any(tuple(text[k : k + least]) in runs for k in range(len(text) - least + 1)):
+        return False
+    return tiled_by_definition(text, item, least) >= len(item) / 2
+
+
+def test_repeats_and_benchmark_against_brute_force(spark):
+    docs, held = table(spark, SF_DIR, "documents"), []
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = written(stage(spark, docs, SF_DIR), f"brute-{name}")
+        held.append({r["doc_id"]: r["text"] for r in docs.collect()})
+    whole = without_repeats_by_definition({i: (t or "").encode() for i, t in held[1].items()})
+    assert {i: t or "" for i, t in held[2].items()} == whole
+    items = [plain_words(r["text"].encode()) for r in table(spark, SF_DIR, "benchmark").collect()]
+    words = {i: plain_words((t or "").encode()) for i, t in held[2].items()}
+    leaked = {i for i, own in words.items() if any(covers_by_definition(own, item) for item in items)}
+    assert leaked and held[3].keys() == held[2].keys() - leaked
+    assert all(t == held[2][i] for i, t in held[3].items())
+
+
 def test_the_catalogue_names_each_operator_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in catalogue.queries())
     assert numbers == list(range(1, 11))
