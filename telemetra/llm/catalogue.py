@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
 
 from telemetra.llm import (
+    alignment,
     decontamination,
     language_model,
     near_duplicates,
@@ -21,12 +23,10 @@ from telemetra.llm import (
 )
 from telemetra.llm.common import table
 
-#: Folder of the tokenizer files; every worker has it at the same place.
-TOKENIZERS = os.environ.get("TELEMETRA_TOKENIZERS", "/opt/tokenizers")
-
 
 def tokenizer_file(name: str) -> str:
-    return f"{TOKENIZERS}/{name}"
+    """Every worker has the tokenizer files at the same place."""
+    return public_tokenizers.path(name)
 
 
 def op1_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +70,11 @@ def op10_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op11_identity_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, files = table(spark, sf_dir, "documents"), map(tokenizer_file, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.Alignment(docs, *files).documents()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: run for name, run in globals().items() if name.startswith("op") and callable(run)}
 
