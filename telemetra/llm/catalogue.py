@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from telemetra.llm import (
     alignment,
+    cross_polytope,
     decontamination,
     language_model,
     near_duplicates,
@@ -75,6 +76,10 @@ def op11_identity_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.Alignment(docs, *files).documents()
 
 
+def op13_cross_polytope_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: run for name, run in globals().items() if name.startswith("op") and callable(run)}
 
