@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from telemetra.llm.common import arrow_schema, task_number, written
 
 #: Text of a block, in bytes; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 MARK = "▁"
 #: Fixed value: how byte-level vocabularies of this kind split a text before they merge.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -117,7 +117,7 @@ class Aligner:
         ]
         self.at = (0, n_a, 2 * n_a, 2 * n_a + n_b)
 
-    def encode(self, text: str | None) -> tuple[list[int], list[int], int] | None:
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, int] | None:
         """Ids of both sides and the number of bytes; None unless both sides spell a space and the text."""
         if not text:
             return None
@@ -126,7 +126,7 @@ class Aligner:
         a, b = self.a.encode(spaced), self.b.encode(text)
         if b"".join(map(self.a.bytes.__getitem__, a)) != raw or b"".join(map(self.b.bytes.__getitem__, b)) != raw:
             return None
-        return a, b, len(raw)
+        return np.array(a, dtype=np.int32), np.array(b, dtype=np.int32), len(raw)
 
     def block(self, texts: list[str | None]) -> Block:
         encoded = [self.encode(text) for text in texts]
@@ -135,8 +135,7 @@ class Aligner:
         if not found:
             return out
         docs = np.array([f[0] for f in found])
-        a = np.fromiter((x for f in found for x in f[1]), dtype=np.int64)
-        b = np.fromiter((x for f in found for x in f[2]), dtype=np.int64)
+        a, b = (np.concatenate([f[k] for f in found]).astype(np.int64) for k in (1, 2))
         doc_end = np.cumsum([f[3] for f in found])
         a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
         is_a, is_b = np.zeros(doc_end[-1] + 1, dtype=bool), np.zeros(doc_end[-1] + 1, dtype=bool)
@@ -246,7 +245,7 @@ def blocks_of(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
             return pa.record_batch(values, names=names)
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, text in map(lambda i, b=batch: (b.column(0)[i].as_py(), b.column(1)[i].as_py()), range(batch.num_rows)):
                 if texts and size + len(text or "") > BLOCK_BYTES:
                     yield line()
                     ids, texts, size, number = [], [], 0, number + 1
