@@ -19,23 +19,27 @@ from telemetra.schemas import (
 )
 from telemetra.sources import lines as src
 from telemetra.streaming import metrics, sessions
-from telemetra.streaming.sinks import AVAILABLE_NOW, append_to_files, first_order, for_each_batch
+from telemetra.streaming.sinks import AVAILABLE_NOW, append_to_files, for_each_batch
 
 LOG_COUNT_COLUMNS = {"connect_num": LOG_CONNECT_NUM, "close_num": LOG_CLOSE_NUM}
 
 
-def _into_cells(
-    stream: DataFrame, names: dict[str, str], path: str, checkpoint: str, trigger: dict
+def _put(metrics: DataFrame, names: dict[str, str], path: str) -> None:
+    """Wide metric rows as the next write of a cell table."""
+    cells.put_cells(cells.metric_text_cells(metrics, names, F.lit(0).cast("bigint")), path)
+
+
+def live_cells(
+    stream: DataFrame, names: dict[str, str], path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW
 ) -> StreamingQuery:
     """Changed buckets of each micro-batch become cells.
 
-    The order of a write is the start of the run plus the batch number, both of which are stored: a
-    repeated batch writes the same cells again, and a run with a new checkpoint writes over an old one.
+    Each batch is the next write of the table, after corrections and deletes that came before it. A
+    repeated batch writes the same values again.
     """
 
     def write(changes: DataFrame, batch_id: int) -> None:
-        order = first_order(changes.sparkSession, checkpoint) + batch_id
-        cells.append_cells(cells.metric_text_cells(changes, names, F.lit(order).cast("bigint")), path)
+        _put(changes, names, path)
 
     return for_each_batch(stream, write, checkpoint, trigger=trigger)
 
@@ -56,7 +60,7 @@ def live_gps_metrics(
 ) -> StreamingQuery:
     """Raw lines of a stream to GPS metric cells in the table at ``path``."""
     points = src.parse_gps_lines(src.clean_lines(lines)).drop("raw_time")
-    return _into_cells(metrics.gps_metrics(points, delay), GPS_METRIC_COLUMNS, path, checkpoint, trigger)
+    return live_cells(metrics.gps_metrics(points, delay), GPS_METRIC_COLUMNS, path, checkpoint, trigger)
 
 
 def live_log_counts(
@@ -64,7 +68,7 @@ def live_log_counts(
 ) -> StreamingQuery:
     """Raw lines of a stream to connect and close cells."""
     records = src.parse_log_lines(src.clean_lines(lines))
-    return _into_cells(metrics.log_counts(records, delay), LOG_COUNT_COLUMNS, path, checkpoint, trigger)
+    return live_cells(metrics.log_counts(records, delay), LOG_COUNT_COLUMNS, path, checkpoint, trigger)
 
 
 def correct_gps_metrics(lines: DataFrame, path: str) -> None:
@@ -74,15 +78,13 @@ def correct_gps_metrics(lines: DataFrame, path: str) -> None:
     lines of the buckets in question, a day's folder for instance.
     """
     points = src.parse_gps_lines(src.clean_lines(lines)).drop("raw_time")
-    order = F.lit(cells.next_order(lines.sparkSession)).cast("bigint")
-    cells.append_cells(cells.metric_text_cells(metrics_wide(points), GPS_METRIC_COLUMNS, order), path)
+    _put(metrics_wide(points), GPS_METRIC_COLUMNS, path)
 
 
 def correct_log_counts(lines: DataFrame, path: str) -> None:
     """The same for connects and closes."""
     counted = session_ops.status_counts(src.parse_log_lines(src.clean_lines(lines)))
-    order = F.lit(cells.next_order(lines.sparkSession)).cast("bigint")
-    cells.append_cells(cells.metric_text_cells(counted, LOG_COUNT_COLUMNS, order), path)
+    _put(counted, LOG_COUNT_COLUMNS, path)
 
 
 def live_sessions(lines: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
@@ -106,9 +108,7 @@ def store_connected_seconds(
     seconds = connected_seconds(spark, path, as_of)
     if since is not None:
         seconds = seconds.where(F.col("time_id") >= since.strftime("%Y%m%d%H%M")[:TEN_MINUTE_KEY])
-    order = F.lit(cells.next_order(spark)).cast("bigint")
-    names = {"duration_seconds": LOG_CONNECTION_DURATION}
-    cells.append_cells(cells.metric_text_cells(seconds, names, order), table)
+    _put(seconds, {"duration_seconds": LOG_CONNECTION_DURATION}, table)
 
 
 def metrics_of_cells(stored: DataFrame) -> DataFrame:
@@ -135,11 +135,10 @@ def roll_up_previous(spark: SparkSession, source: str, target: str, as_of: datet
     try:
         if rolled.isEmpty():
             return False
-        order = F.lit(cells.next_order(spark)).cast("bigint")
         is_ratio = F.col("metric") == GPS_METRIC_COLUMNS["gps_online_percent"]
         whole = F.col("value").cast("bigint").cast("string")
         as_text = F.when(is_ratio, F.col("value").cast("string")).otherwise(whole)
-        cells.append_cells(cells.cells_of_metrics(rolled.withColumn("value", as_text), order), target)
+        cells.put_cells(cells.cells_of_metrics(rolled.withColumn("value", as_text), F.lit(0).cast("bigint")), target)
         return True
     finally:
         rolled.unpersist()

@@ -2,24 +2,25 @@
 
 Writes append; reads take the newest write of each cell with a partial aggregation. The table is
 partitioned by day and its files are sorted by key: a point read visits one folder and, through
-the row-group statistics, few pages of it. ``write_ts`` is the order of writes: every write has a
-larger one than all before it. A deleted row is a write too, of a cell that hides the row's older
+the row-group statistics, few pages of it. ``write_ts`` is the order of writes: every write, be it a live
+batch, a correction or a delete, takes the next number of the table (:mod:`telemetra.ordering`). A deleted row is a write too, of a cell that hides the row's older
 cells. Compaction leaves the newest write of each cell.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from telemetra import schemas
 from telemetra.functions import timekeys
 from telemetra.operators.numbering import with_row_number
 from telemetra.operators.point_metrics import wide_to_long
-from telemetra.schemas import DAY_KEY, ORDERS_PER_MILLI, WIDE_PUT_QUALIFIERS
+from telemetra.ordering import complete, take_number
+from telemetra.schemas import DAY_KEY, WIDE_PUT_QUALIFIERS
 
 CELL = ["row_key", "qualifier"]
 
@@ -108,31 +109,64 @@ def upsert_cells(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return latest_cells(existing.unionByName(incoming))
 
 
-def next_order(spark: SparkSession) -> int:
-    """An order for a write of its own; later calls give larger ones, across applications too."""
-    return time.time_ns() // 1_000_000 * ORDERS_PER_MILLI
+def next_order(spark: SparkSession, path: str) -> int:
+    """The number of the next write of a table. The first goes on from the cells that are there."""
+
+    def least() -> int:
+        try:
+            return read_cells(spark, path).agg(F.max("write_ts")).first()[0] or 0
+        except AnalysisException:
+            return 0
+
+    return take_number(spark, path, least)
+
+
+def put_cells(cells: DataFrame, path: str) -> int:
+    """Add a write that comes after all before it; returns its number.
+
+    The cells are computed first and the number is taken when they are there, so the order is that of
+    the ends of computations, however long they take. A write that is repeated after a failure takes a new number.
+    """
+    spark, known = cells.sparkSession, cells.persist()
+    try:
+        known.count()
+        order = next_order(spark, path)
+        append_cells(known.withColumn("write_ts", F.lit(order).cast("bigint")), path)
+        complete(spark, path, order)
+        return order
+    finally:
+        known.unpersist()
 
 
 #: Qualifier of the cell that deletes a row up to its own order.
 TOMBSTONE = ""
 
 
-def delete_stored_rows(keys: DataFrame, path: str, order: int, day: Callable[[Column], Column] = day_of_key) -> None:
-    """Delete rows of the table at ``path``: one tombstone per key, in the day folder of the key."""
+def tombstones(keys: DataFrame, order: int = 0, day: Callable[[Column], Column] = day_of_key) -> DataFrame:
+    """A cell per key that hides its row up to ``order``."""
     key = F.col("row_key")
-    marks = keys.where(key.isNotNull()).select("row_key").distinct()
-    append_cells(
-        marks.select(
-            key,
-            F.lit(TOMBSTONE).alias("qualifier"),
-            F.lit("").alias("value"),
-            F.lit(order).cast("bigint").alias("write_ts"),
-            day(key).alias("day"),
-        ),
-        path,
+    return keys.where(key.isNotNull()).select("row_key").distinct().select(
+        key,
+        F.lit(TOMBSTONE).alias("qualifier"),
+        F.lit("").alias("value"),
+        F.lit(order).cast("bigint").alias("write_ts"),
+        day(key).alias("day"),
     )
 
 
+def delete_stored_rows(
+    keys: DataFrame, path: str, order: int | None = None, day: Callable[[Column], Column] = day_of_key
+) -> None:
+    """Delete rows of the table at ``path``: one tombstone per key, in the day folder of the key.
+
+    It is the next write of the table, unless ``order`` says otherwise; later writes of the key show again.
+    """
+    if order is None:
+        put_cells(tombstones(keys, day=day), path)
+    else:
+        append_cells(tombstones(keys, order, day), path)
+
+
 def stored_cells(spark: SparkSession, path: str) -> DataFrame:
     """The current cells of a table: newest writes, without what a later tombstone hides.
 

@@ -77,10 +77,13 @@ def session_state(records: DataFrame) -> DataFrame:
     )
 
 
-def merged_states(states: DataFrame) -> DataFrame:
-    """States of parts of the records, in any order, as the state of all of them."""
+def merged_states(states: DataFrame, *beside: Column) -> DataFrame:
+    """States of parts of the records, in any order, as the state of all of them; ``beside`` are more aggregates."""
     return states.groupBy(*SESSION).agg(
-        F.min("open_ms").alias("open_ms"), F.max("close_ms").alias("close_ms"), F.sum("record_count").alias("record_count")
+        F.min("open_ms").alias("open_ms"),
+        F.max("close_ms").alias("close_ms"),
+        F.sum("record_count").alias("record_count"),
+        *beside,
     )
 
 

@@ -155,7 +155,7 @@ def cells_delete_keys(spark, sf_dir):
     """Rows are deleted in a stored table, which is compacted then and read back."""
     path, target = new_dir(spark, "deletes"), new_dir(spark, "compacted")
     ops.append_cells(cell_table(spark, sf_dir), path)
-    ops.delete_stored_rows(_offline_keys(spark, sf_dir), path, ops.next_order(spark))
+    ops.delete_stored_rows(_offline_keys(spark, sf_dir), path)
     ops.compact_days(spark, path, target)
     return ops.read_cells(spark, target).select(*COLUMNS)
 

@@ -62,9 +62,6 @@ BUCKET_SECONDS = 600
 BUCKET_MILLIS = BUCKET_SECONDS * 1000
 DAY_MILLIS = 86_400_000
 
-# Orders of writes that lie between two starts a millisecond apart.
-ORDERS_PER_MILLI = 1 << 20
-
 # Device times from this instant on are rejected: 2100-01-01 UTC.
 DEVICE_MILLIS_END = 4_102_444_800_000
 

@@ -3,68 +3,40 @@
 The state of a session (first connect, last close) can be merged in any order, so a batch is reduced
 by itself and written to a folder of its own. Nothing is held in memory between batches, no record
 is too late, and copies change nothing: what is read is what a batch job finds over all records.
-:func:`compact_sessions` merges the folders into a base from time to time.
+:func:`compact_sessions` merges the folders from time to time; it writes the sessions that changed of
+late, and those that have settled are not written again.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
 from telemetra import schemas
 from telemetra.operators.sessions import bounds_of, merged_states, session_state
-from telemetra.streaming.sinks import AVAILABLE_NOW, first_order, for_each_batch
-
-PART = StructType([*schemas.SESSION_STATE.fields, StructField("run", LongType()), StructField("batch", LongType())])
+from telemetra.streaming import parts
+from telemetra.streaming.sinks import AVAILABLE_NOW, for_each_batch
 
 
 def gather_sessions(records: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
     """One row per session of each micro-batch. A batch that runs again overwrites its folder."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run = first_order(batch.sparkSession, checkpoint)
-        session_state(batch).write.mode("overwrite").parquet(f"{path}/parts/run={run}/batch={batch_id}")
+        parts.write_part(session_state(batch), path, parts.run_number(batch.sparkSession, path, checkpoint), batch_id)
 
     return for_each_batch(records, write, checkpoint, "append", trigger)
 
 
-def _base(spark: SparkSession, path: str) -> tuple[int, list]:
-    """The newest base and up to which batch of each run it goes."""
-    try:
-        upto = spark.read.parquet(f"{path}/upto")
-    except AnalysisException:
-        return 0, []
-    newest = upto.agg(F.max("version")).first()[0]
-    return newest, upto.where(F.col("version") == newest).collect()
-
-
-def _newer(included: list) -> Column:
-    newer = F.lit(True)
-    for line in included:
-        newer &= (F.col("run") != line["run"]) | (F.col("batch") > line["batch"])
-    return newer
+def session_states(spark: SparkSession, path: str) -> DataFrame:
+    """The state of every session so far."""
+    return parts.read_parts(spark, path, schemas.SESSION_STATE, merged_states)
 
 
-def session_states(spark: SparkSession, path: str) -> DataFrame:
-    """The state of every session so far: the newest base and the batches after it."""
-    version, included = _base(spark, path)
-    parts = spark.read.schema(PART).parquet(f"{path}/parts").where(_newer(included)).drop("run", "batch")
-    if version:
-        parts = parts.unionByName(spark.read.schema(schemas.SESSION_STATE).parquet(f"{path}/base/version={version}"))
-    return merged_states(parts)
-
-
-def compact_sessions(spark: SparkSession, path: str) -> None:
-    """Merge all batches into a new base. Run it between batches; earlier folders may then be removed.
-
-    The base counts from the moment its entry in ``upto`` is there, which is written last.
-    """
-    version, _ = _base(spark, path)
-    batches = spark.read.schema(PART).parquet(f"{path}/parts").groupBy("run").agg(F.max("batch").alias("batch"))
-    session_states(spark, path).write.mode("overwrite").parquet(f"{path}/base/version={version + 1}")
-    batches.coalesce(1).write.mode("overwrite").parquet(f"{path}/upto/version={version + 1}")
+def compact_sessions(
+    spark: SparkSession, path: str, settles_after: int = parts.SETTLES_AFTER, everything: bool = False
+) -> None:
+    """Merge the batches so far, see :mod:`telemetra.streaming.parts`; ``everything`` includes settled sessions."""
+    parts.compact(spark, path, schemas.SESSION_STATE, merged_states, settles_after, everything)
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:

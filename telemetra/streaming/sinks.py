@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from telemetra.schemas import ORDERS_PER_MILLI
+from telemetra.streaming import parts
 
 
 def parquet_stream(spark: SparkSession, schema: StructType, path: str, max_files: int | None = None) -> DataFrame:
@@ -30,21 +28,6 @@ def run_available(query: StreamingQuery) -> None:
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def first_order(spark: SparkSession, checkpoint: str) -> int:
-    """The number of a streaming run, larger for runs that start later.
-
-    It is kept beside the checkpoint: a restart from the same checkpoint goes on with its number, a
-    new checkpoint starts a run of its own. Batch n of the run writes in order ``first_order + n``.
-    """
-    path = f"{checkpoint}/run"
-    try:
-        return spark.read.parquet(path).first()["first_order"]
-    except AnalysisException:
-        order = time.time_ns() // 1_000_000 * ORDERS_PER_MILLI
-        spark.range(1).select(F.lit(order).alias("first_order")).write.parquet(path)
-        return order
-
-
 def append_to_files(
     stream: DataFrame, path: str, checkpoint: str, file_format: str = "parquet", trigger: dict = AVAILABLE_NOW
 ) -> StreamingQuery:
@@ -65,23 +48,40 @@ def for_each_batch(
 
 
 def upsert_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
-    """Changed rows of each micro-batch go to the batch's own folder.
+    """Changed rows of each micro-batch go to the folder of the run and the batch.
 
-    A batch that runs again after a failure overwrites the same folder, so nothing counts twice.
+    A batch that runs again after a failure overwrites the same folder, so nothing counts twice. A new
+    checkpoint is a run of its own, whose rows win over those of the runs before.
     """
 
     def write(changes: DataFrame, batch_id: int) -> None:
-        changes.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        parts.write_part(changes, path, parts.run_number(changes.sparkSession, path, checkpoint), batch_id)
 
     return for_each_batch(stream, write, checkpoint, trigger=trigger)
 
 
+def _upserts(spark: SparkSession, path: str, keys: list[str]) -> tuple[StructType, parts.Merge]:
+    """The columns of an upsert sink, and how rows of a key merge: the latest batch of the latest run wins."""
+    kept = "merged" if parts.version_of(spark, path).number else "parts"
+    columns = spark.read.parquet(f"{path}/{kept}").drop("run", "batch", "changed", "version", "place").schema
+    values = [c for c in columns.names if c not in keys]
+
+    def newest(rows: DataFrame, *beside: Column) -> DataFrame:
+        last = F.max(F.struct("run", "batch", *values)).alias("newest")
+        return rows.groupBy(*keys).agg(last, *beside).select("*", *[f"newest.{c}" for c in values]).drop("newest")
+
+    return columns, newest
+
+
 def read_upserts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current rows of an upsert sink: per key the one of the latest batch."""
-    changes = spark.read.parquet(path)
-    values = [c for c in changes.columns if c not in (*keys, "batch")]
-    newest = F.max(F.struct("batch", *values)).alias("newest")
-    return changes.groupBy(*keys).agg(newest).select(*keys, *[f"newest.{c}" for c in values])
+    """Current rows of an upsert sink."""
+    columns, newest = _upserts(spark, path, keys)
+    return parts.read_parts(spark, path, columns, newest).select(*keys, *[c for c in columns.names if c not in keys])
+
+
+def compact_upserts(spark: SparkSession, path: str, keys: list[str], everything: bool = False) -> None:
+    """Merge the batches of an upsert sink, see :mod:`telemetra.streaming.parts`."""
+    parts.compact(spark, path, *_upserts(spark, path, keys), everything=everything)
 
 
 def preview(stream: DataFrame, order: list[str], path: str, checkpoint: str, rows: int = 10) -> StreamingQuery:

@@ -1,10 +1,11 @@
 """The live and roll-up jobs from raw lines to stored cells; keys in UTC+8."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from telemetra import jobs
+from telemetra import jobs, ordering
 from telemetra.operators import cells
 from telemetra.schemas import DAY_KEY, HOUR_KEY
 from telemetra.sources.lines import text_file_stream
@@ -143,3 +144,53 @@ def test_late_lines_are_counted_by_the_correction(spark_utc8):
     closes = "serialNum:1,terminalId:7,time:1523937660000,online:0,serverIp:1.1.1.1"
     jobs.correct_log_counts(spark.createDataFrame([(closes,)], "value string"), table)
     assert value_of(spark, table, "7_20180417120", "gpsLogCloseNum") == ["1"]
+
+
+def test_a_live_write_after_a_delete_or_a_correction_is_read(spark_utc8):
+    """One run before and after: what the batch writes last is what is read."""
+    spark, inbox, table, work = spark_utc8, *[new_dir(spark_utc8, n) for n in ("in", "cells", "work")]
+    key = "7_20180417120"
+
+    def live(*seconds):
+        write_lines(spark, [envelope("7", [point(f"2018-04-17 12:01:{s:02d}.0", "3.00", "6", "1") for s in seconds])], inbox)
+        run_available(jobs.live_gps_metrics(text_file_stream(spark, inbox), table, work, delay="2 hours"))
+        stored = cells.stored_cells(spark, table).where((F.col("row_key") == key) & (F.col("qualifier") == "gpsOnlineTotal"))
+        return [r.value for r in stored.collect()]
+
+    assert live(1, 2) == ["2"]
+    cells.delete_stored_rows(spark.createDataFrame([(key,)], "row_key string"), table)
+    assert cells.stored_cells(spark, table).count() == 0
+    assert live(3) == ["3"]
+    jobs.correct_gps_metrics(spark.read.text(inbox), table)
+    assert live(4, 5) == ["5"]
+
+
+def test_numbers_do_not_follow_the_clock(spark_utc8, monkeypatch):
+    spark, table = spark_utc8, new_dir(spark_utc8, "cells")
+    cells.append_cells(cell(spark, "a_20180417120", "1", 10**15), table)
+    assert cells.put_cells(cell(spark, "a_20180417120", "2", 0), table) == 10**15 + 1
+    monkeypatch.setattr(ordering.time, "time", lambda: 0.0)
+    assert cells.put_cells(cell(spark, "a_20180417120", "3", 0), table) == 10**15 + 2
+    assert value_of(spark, table, "a_20180417120", "m") == ["3"]
+
+
+def test_numbers_are_taken_once_and_old_ones_go(spark_utc8, monkeypatch):
+    spark, path = spark_utc8, new_dir(spark_utc8, "numbers")
+    monkeypatch.setattr(ordering, "KEPT", 5)
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(lambda _: ordering.take_number(spark, path), range(20)))
+    assert sorted(numbers) == list(range(1, 21))
+    assert len(ordering.taken(ordering.orders(spark, path))) <= 6
+    # A writer that has looked long ago finds the old places empty and still gets the newest number.
+    monkeypatch.setattr(ordering, "taken", lambda folder, seen=iter([{3: (0, True)}]), real=ordering.taken: next(seen, None) or real(folder))
+    assert ordering.take_number(spark, path) == 21
+
+
+def test_open_writes_hold_back_what_counts_as_complete(spark_utc8):
+    spark, path = spark_utc8, new_dir(spark_utc8, "numbers")
+    first, second = (ordering.take_number(spark, path) for _ in range(2))
+    ordering.complete(spark, path, second)
+    assert ordering.complete_up_to(spark, path) == 0
+    assert ordering.complete_up_to(spark, path, grace=0.0) == second
+    ordering.complete(spark, path, first)
+    assert ordering.complete_up_to(spark, path) == second

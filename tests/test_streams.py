@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
 from telemetra.operators import sessions as batch_sessions
-from telemetra.streaming import metrics, sessions, sinks
+from telemetra.ordering import Folder
+from telemetra.streaming import metrics, parts, sessions, sinks
 from telemetra.workspace import new_dir
 from tests.conftest import rows
 
@@ -125,3 +126,61 @@ def test_preview_shows_the_first_rows_of_each_batch(spark):
         stream = sinks.parquet_stream(spark, records(spark, data).schema, inbox)
         sinks.run_available(sinks.preview(stream, ["ts"], f"{work}/out", f"{work}/checkpoint", rows=1))
     assert rows(spark.read.parquet(f"{work}/out").select("serial_num")) == [("1",), ("1",), ("4",)]
+
+
+def test_a_new_checkpoint_of_an_upsert_sink_wins(spark):
+    """Three batches, then a new checkpoint on the same folder that has all records."""
+    work, first, second = new_dir(spark, "t"), new_dir(spark, "in"), new_dir(spark, "in")
+    data = [("1", "t", f"2024-01-01 00:0{i}:00", 1) for i in range(4)]
+
+    def run(part, inbox, checkpoint):
+        arrive(records(spark, part), inbox)
+        counted = metrics.log_counts(sinks.parquet_stream(spark, records(spark, part).schema, inbox))
+        sinks.run_available(sinks.upsert_to_files(counted, f"{work}/out", f"{work}/{checkpoint}"))
+        return rows(sinks.read_upserts(spark, f"{work}/out", ["terminal_id", "time_id"]))
+
+    for i in range(3):
+        assert run(data[i : i + 1], first, "one") == [("t", "20240101000", i + 1, 0)]
+    assert run(data, second, "two") == [("t", "20240101000", 4, 0)]
+    for everything in (False, True, False):
+        sinks.compact_upserts(spark, f"{work}/out", ["terminal_id", "time_id"], everything)
+        assert rows(sinks.read_upserts(spark, f"{work}/out", ["terminal_id", "time_id"])) == [("t", "20240101000", 4, 0)]
+    assert run([("2", "t", "2024-01-01 00:05:00", 0)], second, "two") == [("t", "20240101000", 4, 1)]
+
+
+def test_a_compaction_writes_what_has_changed(spark):
+    """Many sessions settle; a late record of one of them rewrites one row, and reads equal the batch."""
+    work, inbox = new_dir(spark, "t"), new_dir(spark, "in")
+    many = [(str(i), "t", f"2024-01-01 00:{i % 60:02d}:00", 1) for i in range(500)]
+    few = [[("x", "u", "2024-01-02 00:00:00", 1)], [("x", "u", "2024-01-02 01:00:00", 0)], [("7", "t", "2024-01-03 00:00:00", 0)]]
+
+    def written():
+        version = parts.version_of(spark, work).number
+        return spark.read.parquet(f"{work}/merged/version={version}").groupBy("place").count()
+
+    batches, sizes = [], []
+    for data in ([many], [few[0]], [few[1]], [few[2]], []):
+        batches += data
+        gathered(spark, data, work, inbox, f"{work}/checkpoint")
+        sessions.compact_sessions(spark, work)
+        assert_equals_batch(spark, work, batches)
+        sizes.append(dict(map(tuple, written().collect())))
+    assert sizes == [{"late": 500}, {"late": 501}, {"late": 1, "settled": 500}, {"late": 2}, {"late": 1, "settled": 1}]
+    sessions.compact_sessions(spark, work, everything=True)
+    assert_equals_batch(spark, work, batches)
+    assert sum(r["count"] for r in written().collect()) == 501
+    sessions.compact_sessions(spark, work)
+    assert Folder(spark, f"{work}/parts").matching("run=*/batch=*") == []
+    assert len(Folder(spark, f"{work}/upto").matching("version=*")) == 2
+    assert_equals_batch(spark, work, batches)
+
+
+def test_a_batch_being_written_is_left_for_the_next_compaction(spark):
+    work, inbox = new_dir(spark, "t"), new_dir(spark, "in")
+    gathered(spark, BATCHES, work, inbox, f"{work}/checkpoint")
+    folder = Folder(spark, f"{work}/parts")
+    last = sorted(folder.matching("run=*/batch=*"))[-1]
+    folder.remove(f"{last}/_SUCCESS")
+    sessions.compact_sessions(spark, work)
+    assert len(parts.version_of(spark, work).upto) == 1 and max(parts.version_of(spark, work).upto.values()) == len(BATCHES) - 2
+    assert_equals_batch(spark, work, BATCHES)
