@@ -7,9 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from telemetra.functions import timekeys
 from telemetra.operators import cells, rollup
 from telemetra.operators import sessions as session_ops
 from telemetra.operators.point_metrics import metrics_wide
+from telemetra.ordering import Folder
 from telemetra.schemas import (
     GPS_METRIC_COLUMNS,
     LOG_CLOSE_NUM,
@@ -18,8 +20,9 @@ from telemetra.schemas import (
     TEN_MINUTE_KEY,
 )
 from telemetra.sources import lines as src
-from telemetra.streaming import metrics, sessions
+from telemetra.streaming import late, metrics, sessions
 from telemetra.streaming.sinks import AVAILABLE_NOW, append_to_files, for_each_batch
+from telemetra.workspace import new_dir
 
 LOG_COUNT_COLUMNS = {"connect_num": LOG_CONNECT_NUM, "close_num": LOG_CLOSE_NUM}
 
@@ -87,6 +90,22 @@ def correct_log_counts(lines: DataFrame, path: str) -> None:
     _put(counted, LOG_COUNT_COLUMNS, path)
 
 
+def correct_late_points(points: DataFrame, late_path: str, table: str) -> int:
+    """Count the buckets again that :func:`telemetra.streaming.late.gather_late` has found late points for.
+
+    ``points`` are all kept points, or those of the days in question. Buckets are counted from scratch, so
+    one that was named without need gets the value it has. Returns the number of batches that were done.
+    """
+    spark = points.sparkSession
+    batches, buckets = late.waiting(spark, late_path)
+    if batches:
+        at = points.withColumn("time_id", timekeys.time_id(F.col("ts")))
+        again = at.join(buckets, ["terminal_id", "time_id"], "left_semi").drop("time_id")
+        _put(metrics_wide(again), GPS_METRIC_COLUMNS, table)
+        late.done(spark, late_path, batches)
+    return len(batches)
+
+
 def live_sessions(lines: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
     """Raw lines of a stream to session states, closed and open ones."""
     return sessions.gather_sessions(src.parse_log_lines(src.clean_lines(lines)), path, checkpoint, trigger)
@@ -125,6 +144,50 @@ def metrics_of_cells(stored: DataFrame) -> DataFrame:
     )
 
 
+def _as_cells(rolled: DataFrame) -> DataFrame:
+    """Rolled-up metrics as cells; only the share is no whole number."""
+    is_ratio = F.col("metric") == GPS_METRIC_COLUMNS["gps_online_percent"]
+    whole = F.col("value").cast("bigint").cast("string")
+    as_text = F.when(is_ratio, F.col("value").cast("string")).otherwise(whole)
+    return cells.cells_of_metrics(rolled.withColumn("value", as_text), F.lit(0).cast("bigint"))
+
+
+def roll_up_changes(spark: SparkSession, source: str, target: str, key_length: int, grace: float = 3600.0) -> int:
+    """Roll up the hours (10) or days (8) that were written to since the last call; returns their number.
+
+    The writes since then name the terminals and periods to do again: a late bucket, a correction or a
+    delete costs its own periods only, and their files are found by the statistics of their write numbers.
+    What a period no longer has is deleted in the target. The position is kept in the target, written
+    last, so a call that fails is made up for by the next. A write that has not ended keeps later ones
+    waiting for ``grace`` seconds at most.
+    """
+    place = Folder(spark, f"{target}/_rolled")
+    since = max((int(name) for name in place.names()), default=0)
+    upto = cells.newest_write(spark, source, grace)
+    if upto <= since:
+        return 0
+    new = cells.read_cells(spark, source).where((F.col("write_ts") > since) & (F.col("write_ts") <= upto))
+    new_dirty = rollup.with_period(new, key_length).select("day", "terminal_id", "parent_id").distinct()
+    path = new_dir(spark, "dirty-periods")
+    new_dirty.write.parquet(path)
+    dirty = spark.read.schema(new_dirty.schema).parquet(path)
+    written = rollup.with_period(cells.read_cells(spark, source), key_length)
+    current = cells.current_cells(written.join(dirty, ["day", "terminal_id", "parent_id"], "left_semi").drop("terminal_id", "parent_id"))
+    rolled = _as_cells(rollup.rollup(metrics_of_cells(current), key_length)).persist()
+    try:
+        own = dirty.select(cells.row_key(F.col("terminal_id"), F.col("parent_id")).alias("row_key"), "day")
+        if Folder(spark, target).names().keys() - {"_rolled", "_orders"}:
+            before = cells.current_cells(cells.read_cells(spark, target).join(own, ["day", "row_key"], "left_semi"))
+            gone = before.join(rolled, ["row_key", "qualifier"], "left_anti").select("row_key").distinct()
+            if not gone.isEmpty():
+                cells.delete_stored_rows(gone, target)
+        cells.put_cells(rolled, target)
+    finally:
+        rolled.unpersist()
+    place.create(f"{upto:019d}")
+    return dirty.count()
+
+
 def roll_up_previous(spark: SparkSession, source: str, target: str, as_of: datetime, key_length: int) -> bool:
     """Roll the hour (10) or day (8) before ``as_of`` up from the cells at ``source`` into the
     cells at ``target``. Nothing is written for an empty period; returns whether there was any.
@@ -135,10 +198,7 @@ def roll_up_previous(spark: SparkSession, source: str, target: str, as_of: datet
     try:
         if rolled.isEmpty():
             return False
-        is_ratio = F.col("metric") == GPS_METRIC_COLUMNS["gps_online_percent"]
-        whole = F.col("value").cast("bigint").cast("string")
-        as_text = F.when(is_ratio, F.col("value").cast("string")).otherwise(whole)
-        cells.put_cells(cells.cells_of_metrics(rolled.withColumn("value", as_text), F.lit(0).cast("bigint")), target)
+        cells.put_cells(_as_cells(rolled), target)
         return True
     finally:
         rolled.unpersist()

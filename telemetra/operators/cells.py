@@ -19,7 +19,7 @@ from telemetra import schemas
 from telemetra.functions import timekeys
 from telemetra.operators.numbering import with_row_number
 from telemetra.operators.point_metrics import wide_to_long
-from telemetra.ordering import complete, take_number
+from telemetra.ordering import complete, complete_up_to, orders, take_number, taken
 from telemetra.schemas import DAY_KEY, WIDE_PUT_QUALIFIERS
 
 CELL = ["row_key", "qualifier"]
@@ -167,12 +167,18 @@ def delete_stored_rows(
         append_cells(tombstones(keys, order, day), path)
 
 
-def stored_cells(spark: SparkSession, path: str) -> DataFrame:
-    """The current cells of a table: newest writes, without what a later tombstone hides.
+def stored_cells(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
+    """The current cells of a table, or those after its write number ``as_of``."""
+    written = read_cells(spark, path)
+    return current_cells(written if as_of is None else written.where(F.col("write_ts") <= as_of))
+
+
+def current_cells(written: DataFrame) -> DataFrame:
+    """Newest writes of each cell, without what a later tombstone hides.
 
     One aggregation by row and one join on the same key; rows never deleted meet no tombstone.
     """
-    newest = latest_cells(read_cells(spark, path))
+    newest = latest_cells(written)
     gone = newest.where(F.col("qualifier") == TOMBSTONE).select("day", "row_key", F.col("write_ts").alias("gone_at"))
     kept = newest.where(F.col("qualifier") != TOMBSTONE).join(gone, ["day", "row_key"], "left")
     return kept.where(F.col("gone_at").isNull() | (F.col("write_ts") > F.col("gone_at"))).select(*newest.columns)
@@ -343,6 +349,43 @@ def numbered_page(
     return newest_versions(inside, max_versions), page
 
 
+class StalePages(Exception):
+    """The table was written to after its pages had been numbered."""
+
+
+def index_pages(spark: SparkSession, table: str, page_size: int, path: str) -> int:
+    """Number the pages of a table as it is now; returns the write the index belongs to.
+
+    The numbers of later writes do not reach the pages, see :func:`indexed_page`.
+    """
+    version = newest_write(spark, table)
+    pages = page_info(stored_cells(spark, table, version), page_size)
+    pages.withColumn("version", F.lit(version).cast("bigint")).write.parquet(path)
+    return version
+
+
+def newest_write(spark: SparkSession, table: str, grace: float = 3600.0) -> int:
+    """The number up to which all writes of a table have ended; of cells without numbers, the largest order."""
+    if taken(orders(spark, table)):
+        return complete_up_to(spark, table, grace)
+    return read_cells(spark, table).agg(F.max("write_ts")).first()[0] or 0
+
+
+def indexed_page(
+    spark: SparkSession, table: str, path: str, index: int, page_size: int, only_current: bool = False
+) -> tuple[DataFrame, Page]:
+    """A page of a table as it was when :func:`index_pages` numbered it.
+
+    Writes between two pages change neither, so no key comes twice and none is left out. With
+    ``only_current`` a table that was written to meanwhile raises :class:`StalePages` instead.
+    """
+    bounds = spark.read.parquet(path)
+    line = bounds.agg(F.max("version")).first()[0]
+    if only_current and line is not None and newest_write(spark, table) != line:
+        raise StalePages(f"{table} was written to after write {line}")
+    return numbered_page(stored_cells(spark, table, line), bounds, index, page_size)
+
+
 def page_info(keys: DataFrame, page_size: int) -> DataFrame:
     """One summary row per page of a table's distinct row keys, in key order."""
     numbered = with_row_number(keys.select("row_key").distinct(), [F.col("row_key")])

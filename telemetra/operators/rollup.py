@@ -125,6 +125,13 @@ def only_period(metrics: DataFrame, period: str) -> DataFrame:
     return metrics.where(in_day & F.col("time_id").startswith(period))
 
 
+def with_period(cells: DataFrame, key_length: int) -> DataFrame:
+    """Cells with the terminal and the parent period of their key beside them."""
+    key, time_id = F.col("row_key"), F.substring_index("row_key", "_", -1)
+    terminal = F.substring(key, F.lit(1), F.length(key) - F.length(time_id) - 1)
+    return cells.withColumns({"terminal_id": terminal, "parent_id": timekeys.parent_key(time_id, key_length)})
+
+
 def explode_cells(cells: DataFrame, key_length: int) -> DataFrame:
     """One row per stored cell of a metric table, keyed by terminal and parent period."""
     key, time_id = F.col("row_key"), F.substring_index("row_key", "_", -1)

@@ -16,7 +16,6 @@ from telemetra.functions.numbers import whole_div
 from telemetra.schemas import (
     BUCKET_MILLIS,
     BUCKET_SECONDS,
-    DAY_MILLIS,
     LOG_CLOSE_NUM,
     LOG_CONNECT_NUM,
     LOG_CONNECTION_DURATION,
@@ -144,9 +143,9 @@ def seconds_by_bucket(sessions: DataFrame, start: Column, end: Column, last: Col
 
     ``last`` is the start of the last bucket; it defaults to the bucket ``end`` lies in. A session
     gives at most three rows however long it is: its seconds in the first and last bucket, and +1
-    and -1 where the buckets between them begin and end. Those are summed per terminal and bucket;
-    a running sum says how many sessions fill a bucket. It runs within a terminal and day, on top
-    of the day totals, so a busy terminal is split over its days.
+    and -1 where the buckets between them begin and end. Those are summed per terminal and bucket
+    before they move. A running sum over the sums of a terminal says how many sessions fill a bucket: it
+    has at most a row per bucket that exists, however many records a busy terminal sends.
     """
     step = F.lit(BUCKET_MILLIS).cast("bigint")
     zero = F.lit(0).cast("bigint")
@@ -169,23 +168,12 @@ def seconds_by_bucket(sessions: DataFrame, start: Column, end: Column, last: Col
     changes = (
         spans.select("terminal_id", F.explode(F.when(F.col("first") == F.col("last"), one_bucket).otherwise(several)).alias("c"))
         .select("terminal_id", "c.*")
-        .withColumn("day", whole_div(F.col("bucket"), DAY_MILLIS))
-        .groupBy("terminal_id", "day", "bucket")
+        .groupBy("terminal_id", "bucket")
         .agg(F.sum("seconds").alias("seconds"), F.sum("filling").alias("filling"), F.sum("touched").alias("touched"))
     )
-    days = changes.groupBy("terminal_id", "day").agg(F.sum("filling").alias("net"), F.min("bucket").alias("first_bucket"))
-    over_days = Window.partitionBy("terminal_id").orderBy("day")
-    days = days.select(
-        "terminal_id",
-        "day",
-        (F.sum("net").over(over_days) - F.col("net")).alias("carried"),
-        F.lead("first_bucket").over(over_days).alias("later"),
-    )
-    in_day = Window.partitionBy("terminal_id", "day").orderBy("bucket")
-    full = F.col("carried") + F.sum("filling").over(in_day)
-    until = F.coalesce(F.lead("bucket").over(in_day), F.col("later"), F.col("bucket") + step)
-    filled = changes.join(days, ["terminal_id", "day"]).select(
-        "terminal_id", "bucket", "seconds", "touched", full.alias("full"), until.alias("until")
+    in_order = Window.partitionBy("terminal_id").orderBy("bucket")
+    filled = changes.withColumn("full", F.sum("filling").over(in_order)).withColumn(
+        "until", F.coalesce(F.lead("bucket").over(in_order), F.col("bucket") + step)
     )
     filled = filled.where((F.col("touched") > 0) | (F.col("full") > 0))
     each = F.sequence("bucket", F.when(F.col("full") > 0, F.col("until") - step).otherwise(F.col("bucket")), step)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from telemetra import jobs
 from telemetra.functions import timekeys
 from telemetra.operators import cells as ops
 from telemetra.operators import point_metrics as pm
@@ -15,6 +16,7 @@ from telemetra.plans.inputs import POINTS_SQL, WIDE_SQL, gps_points, long_sql, p
 from telemetra.plans.registry import query
 from telemetra.plans.staging import staged
 from telemetra.schemas import GPS_METRIC_COLUMNS
+from telemetra.streaming import metrics, sinks
 from telemetra.workspace import new_dir
 
 PAGE_SIZE = 50
@@ -160,6 +162,29 @@ def cells_delete_keys(spark, sf_dir):
     return ops.read_cells(spark, target).select(*COLUMNS)
 
 
+@query(
+    "cells_delete_then_live_write",
+    f"""WITH {WIDE_SQL}, {long_sql("terminal_id || '_' || time_id AS row_key", "VARCHAR", "writes")}
+SELECT row_key, metric AS qualifier, value FROM writes
+WHERE split_part(row_key, '_', 2) >= '20240116' OR row_key NOT IN ({_ERROR_KEYS_SQL})""",
+)
+def cells_delete_then_live_write(spark, sf_dir):
+    """A live run writes the first half of the month, rows of both halves are deleted, the run goes on:
+    what it writes after the delete shows."""
+    path, work, inbox = (new_dir(spark, name) for name in ("live", "work", "inbox"))
+    events, second_half = table(spark, sf_dir, "events"), F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+
+    def live(part):
+        events.where(part).write.mode("append").parquet(inbox)
+        points = points_of(sinks.parquet_stream(spark, events.schema, inbox))
+        sinks.run_available(jobs.live_cells(metrics.gps_metrics(points), GPS_METRIC_COLUMNS, path, f"{work}/checkpoint"))
+
+    live(~second_half)
+    ops.delete_stored_rows(_offline_keys(spark, sf_dir), path)
+    live(second_half)
+    return ops.stored_cells(spark, path).select("row_key", "qualifier", "value")
+
+
 @query(
     "cells_latest_versions",
     f"""WITH {VERSIONS_SQL}
@@ -186,6 +211,23 @@ def cells_page(spark, sf_dir):
     return rows.select(*COLUMNS, F.lit(page.index).alias("page_index"), F.lit(page.rows_seen).alias("rows_seen"))
 
 
+@query(
+    "cells_page_of_version",
+    f"""WITH {CELLS_SQL},
+ranked AS (SELECT *, dense_rank() OVER (ORDER BY row_key) AS nth FROM cells)
+SELECT {_COLUMNS}, CAST(3 AS INTEGER) AS page_index FROM ranked WHERE nth > {2 * PAGE_SIZE} AND nth <= {3 * PAGE_SIZE}""",
+)
+def cells_page_of_version(spark, sf_dir):
+    """Pages are numbered, as many rows again are written before them, and the third page is what it was."""
+    path, pages = new_dir(spark, "paged"), new_dir(spark, "pages")
+    stored = cell_table(spark, sf_dir)
+    ops.append_cells(stored, path)
+    ops.index_pages(spark, path, PAGE_SIZE, pages)
+    ops.put_cells(stored.withColumn("row_key", F.concat(F.lit("0"), "row_key")), path)
+    rows, page = ops.indexed_page(spark, path, pages, 3, PAGE_SIZE)
+    return rows.select(*COLUMNS, F.lit(page.index).alias("page_index"))
+
+
 @query(
     "cells_page_info",
     f"""WITH {CELLS_SQL},

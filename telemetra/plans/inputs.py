@@ -193,14 +193,14 @@ def _point_text(i: Column) -> Column:
     return F.concat_ws(
         ",",
         time_text,
-        F.lit(" 0.000000"),
-        F.lit(" 0.000000"),
-        F.concat(((F.col("event_id") + i) % 3).cast("string"), F.lit(".00")),
-        F.lit("0"),
-        F.lit("0"),
+        F.lit("north"),
+        F.lit("east"),
+        F.concat(((F.col("event_id") + i) % 3).cast("string"), F.lit(".5")),
+        F.lit("a"),
+        F.lit("b"),
         ((F.col("k") + i) % 8 - 1).cast("string"),
-        F.lit(" 0.000000"),
-        F.lit("0.00"),
+        F.lit("c"),
+        F.lit("d"),
         (F.col("event_type") != "error").cast("int").cast("string"),
     )
 
@@ -211,12 +211,12 @@ def gps_lines_of(events: DataFrame) -> DataFrame:
     points = F.transform(F.sequence(F.lit(0), F.col("k") % 3), _point_text)
     command = F.when(F.col("event_type") == "signup", "410").otherwise("420")
     line = F.concat(
-        F.lit("GW_00"), (F.col("user_id") % 9).cast("string"),
-        F.lit('@@@{"appKey":"","checksum":0,"cmdId":"'), command,
-        F.lit('","length":175,"message":"'), F.translate(F.base64(F.array_join(points, ";").cast("binary")), "\r\n", ""),
-        F.lit('","resultChecksum":true,"serialNo":'), F.col("event_id").cast("string"),
-        F.lit(',"terminalId":"'), (F.col("user_id") % 2).cast("string"),
-        F.lit('","token":"","version":"4.2"}'),
+        F.lit("from-"), (F.col("user_id") % 9).cast("string"),
+        F.lit('@@@{"terminalId":"'), (F.col("user_id") % 2).cast("string"),
+        F.lit('","event":'), F.col("event_id").cast("string"),
+        F.lit(',"cmdId":"'), command,
+        F.lit('","message":"'), F.translate(F.base64(F.array_join(points, ";").cast("binary")), "\r\n", ""),
+        F.lit('"}'),
     )
     quoted = F.when(F.col("event_type") == "view", F.concat(F.lit('"'), line, F.lit('"'))).otherwise(line)
     return events.select(
@@ -233,7 +233,7 @@ line_points AS (
   SELECT event_id, event_type, user_id, i,
          CAST(user_id % 2 AS VARCHAR) AS terminal_id,
          date_trunc('milliseconds', ts) + to_seconds(i * 5) AS pts,
-         (k + i) % 2 = 0 AS as_date, CAST((event_id + i) % 3 AS DOUBLE) AS speed,
+         (k + i) % 2 = 0 AS as_date, (event_id + i) % 3 + 0.5::DOUBLE AS speed,
          CAST((k + i) % 8 - 1 AS INTEGER) AS satellite_num,
          CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END AS online_status
   FROM (
@@ -251,18 +251,17 @@ timed_points AS (
 GPS_LINES_SQL = GPS_LINE_POINTS_SQL + """,
 payloads AS (
   SELECT event_id, event_type, user_id,
-         string_agg(raw_time || ', 0.000000, 0.000000,' || CAST(CAST(speed AS INTEGER) AS VARCHAR) || '.00,0,0,'
-                    || CAST(satellite_num AS VARCHAR) || ', 0.000000,0.00,' || CAST(online_status AS VARCHAR),
+         string_agg(raw_time || ',north,east,' || CAST(speed AS VARCHAR) || ',a,b,'
+                    || CAST(satellite_num AS VARCHAR) || ',c,d,' || CAST(online_status AS VARCHAR),
                     ';' ORDER BY i) AS payload
   FROM timed_points GROUP BY event_id, event_type, user_id
 ),
 clean_lines AS (
   SELECT event_type,
-         'GW_00' || CAST(user_id % 9 AS VARCHAR) || '@@@{"appKey":"","checksum":0,"cmdId":"'
-         || CASE WHEN event_type = 'signup' THEN '410' ELSE '420' END
-         || '","length":175,"message":"' || base64(encode(payload))
-         || '","resultChecksum":true,"serialNo":' || CAST(event_id AS VARCHAR)
-         || ',"terminalId":"' || CAST(user_id % 2 AS VARCHAR) || '","token":"","version":"4.2"}' AS value
+         'from-' || CAST(user_id % 9 AS VARCHAR) || '@@@{"terminalId":"' || CAST(user_id % 2 AS VARCHAR)
+         || '","event":' || CAST(event_id AS VARCHAR)
+         || ',"cmdId":"' || CASE WHEN event_type = 'signup' THEN '410' ELSE '420' END
+         || '","message":"' || base64(encode(payload)) || '"}' AS value
   FROM payloads
 )"""
 

@@ -6,13 +6,16 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from telemetra.operators import point_metrics, rollup, sessions
+from telemetra import jobs
+from telemetra.functions import timekeys
+from telemetra.operators import cells, point_metrics, rollup, sessions
 from telemetra.plans.cell_store import CELLS_SQL, cell_table
 from telemetra.plans.inputs import AS_OF, GPS_LONG_SQL, gps_points, log_records
 from telemetra.plans.registry import query
 from telemetra.plans.sessions import LOG_LONG_SQL
 from telemetra.plans.staging import staged
-from telemetra.schemas import DAY_KEY, HOUR_KEY
+from telemetra.schemas import DAY_KEY, GPS_METRIC_COLUMNS, HOUR_KEY
+from telemetra.workspace import new_dir
 
 ALL_LONG_SQL = f"""{GPS_LONG_SQL}, {LOG_LONG_SQL},
 cells AS (SELECT * FROM gps_long UNION ALL SELECT * FROM log_long)"""
@@ -73,8 +76,8 @@ def rollup_day(spark, sf_dir):
 SELECT * FROM ({_percent(10)}) UNION ALL SELECT * FROM ({_percent(8)})""",
 )
 def rollup_online_percent(spark, sf_dir):
-    cells = metric_table(spark, sf_dir)
-    return rollup.percent_of_sums(cells, HOUR_KEY).unionByName(rollup.percent_of_sums(cells, DAY_KEY))
+    stored = metric_table(spark, sf_dir)
+    return rollup.percent_of_sums(stored, HOUR_KEY).unionByName(rollup.percent_of_sums(stored, DAY_KEY))
 
 
 @query(
@@ -114,6 +117,25 @@ def rollup_union_all(spark, sf_dir):
     return rollup.rollup(metric_table(spark, sf_dir), HOUR_KEY)
 
 
+@query(
+    "rollup_changed_periods",
+    f"""WITH {GPS_LONG_SQL}, cells AS (SELECT * FROM gps_long)
+SELECT * FROM ({_frequency(10)}) UNION ALL SELECT * FROM ({_percent(10)}) UNION ALL SELECT * FROM ({_sums(10)})""",
+)
+def rollup_changed_periods(spark, sf_dir):
+    """Hours of the online points are rolled up; the buckets with offline points are written late, and only
+    their hours are rolled up again."""
+    path, hours = new_dir(spark, "cells"), new_dir(spark, "hours")
+    points = gps_points(spark, sf_dir).withColumn("time_id", timekeys.time_id(F.col("ts")))
+    is_late = F.col("online_status") == 0
+    late = points.join(points.where(is_late).select("terminal_id", "time_id").distinct(), ["terminal_id", "time_id"], "left_semi")
+    for part in (points.where(~is_late), late):
+        wide = point_metrics.metrics_wide(part.drop("time_id"))
+        cells.put_cells(cells.metric_text_cells(wide, GPS_METRIC_COLUMNS, F.lit(0).cast("bigint")), path)
+        jobs.roll_up_changes(spark, path, hours, HOUR_KEY)
+    return jobs.metrics_of_cells(cells.stored_cells(spark, hours)).drop("day")
+
+
 @query("union_all_metrics", f"WITH {ALL_LONG_SQL} SELECT * FROM cells")
 def union_all_metrics(spark, sf_dir):
     return all_metrics(spark, sf_dir)

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from telemetra import jobs
+from telemetra.operators import cells
 from telemetra.operators import routes as route_ops
 from telemetra.plans.inputs import (
     GPS_LINES_SQL,
+    GPS_LONG_SQL,
     LOG_SQL,
     POINTS_SQL,
     ROUTES_SQL,
@@ -24,8 +27,9 @@ from telemetra.plans.registry import query
 from telemetra.plans.routes import EXPORT_SQL, KEY_SQL
 from telemetra.plans.sessions import SELF_JOIN_SQL
 from telemetra.plans.staging import staged
+from telemetra.schemas import GPS_METRIC_COLUMNS
 from telemetra.sources import lines as src
-from telemetra.streaming import metrics, sessions, sinks
+from telemetra.streaming import late, metrics, sessions, sinks
 from telemetra.workspace import new_dir
 
 KEYS = ["terminal_id", "time_id"]
@@ -153,6 +157,21 @@ def stream_late_drop(spark, sf_dir):
     return sinks.read_upserts(spark, f"{work}/out", KEYS)
 
 
+@query("stream_late_corrected", f"WITH {GPS_LONG_SQL} SELECT * FROM gps_long")
+def stream_late_corrected(spark, sf_dir):
+    """The same arrivals into cells; a second query lists the buckets of late points, which are counted again."""
+    work, inbox, path = new_dir(spark, "stream"), new_dir(spark, "inbox"), new_dir(spark, "cells")
+    is_late, second_half = F.col("event_type") == "error", F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    events = table(spark, sf_dir, "events")
+    for part in (~is_late & ~second_half, ~is_late & second_half, is_late):
+        events.where(part).write.mode("append").parquet(inbox)
+        points = points_of(sinks.parquet_stream(spark, events.schema, inbox))
+        sinks.run_available(jobs.live_cells(metrics.gps_metrics(points), GPS_METRIC_COLUMNS, path, f"{work}/metrics"))
+        sinks.run_available(late.gather_late(points, f"{work}/late", f"{work}/late-checkpoint"))
+    jobs.correct_late_points(points_of(spark.read.parquet(inbox)), f"{work}/late", path)
+    return jobs.metrics_of_cells(cells.stored_cells(spark, path)).drop("day")
+
+
 # ---- sessions ----------------------------------------------------------------------------
 
 
@@ -198,6 +217,19 @@ def stream_route_project(spark, sf_dir):
     return _collect_appends(spark, route_ops.project_key(routes_of(table_stream(spark, sf_dir, "lineitem"))))
 
 
+@query(
+    "stream_zone_half_hour_counts",
+    f"""WITH {ROUTES_SQL}
+SELECT zone_code, strftime(time_bucket(INTERVAL 30 MINUTE, bar_scan_tm), '%Y%m%d%H%M') AS half_hour, count(*) AS arrivals
+FROM routes WHERE time_bucket(INTERVAL 30 MINUTE, bar_scan_tm) + INTERVAL 30 MINUTE
+  <= (SELECT max(bar_scan_tm) - INTERVAL 10 MINUTE FROM routes) GROUP BY ALL""",
+)
+def stream_zone_half_hour_counts(spark, sf_dir):
+    """Every scan comes twice and counts once; a half hour comes out when the watermark has passed it."""
+    scans = routes_of(table_stream(spark, sf_dir, "lineitem"))
+    return _collect_appends(spark, metrics.zone_arrivals(scans.unionByName(scans)))
+
+
 @query(
     "stream_console",
     f"""WITH {ROUTES_SQL}

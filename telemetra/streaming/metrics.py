@@ -42,6 +42,19 @@ def log_counts(records: DataFrame, delay: str = "10 minutes") -> DataFrame:
     )
 
 
+def zone_arrivals(routes: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Arrivals per zone and half hour, as windows close. Copies of a scan that come while its time is live count once."""
+    scan = ["waybill_no", "bar_record_id", "zone_code", "ordinal", "bar_scan_tm"]
+    return (
+        routes.where(F.col("bar_scan_tm").isNotNull())
+        .withWatermark("bar_scan_tm", delay)
+        .dropDuplicatesWithinWatermark(scan)
+        .groupBy("zone_code", F.window("bar_scan_tm", "30 minutes"))
+        .agg(F.count(F.lit(1)).alias("arrivals"))
+        .select("zone_code", F.date_format("window.start", "yyyyMMddHHmm").alias("half_hour"), "arrivals")
+    )
+
+
 def tumbling_counts(points: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Points per terminal and tumbling ten-minute window."""
     return (

@@ -3,12 +3,15 @@
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from telemetra import jobs, ordering
 from telemetra.operators import cells
 from telemetra.schemas import DAY_KEY, HOUR_KEY
+from telemetra.sources import lines as src
 from telemetra.sources.lines import text_file_stream
+from telemetra.streaming import late
 from telemetra.streaming.sinks import run_available
 from telemetra.workspace import new_dir
 from tests.conftest import rows
@@ -194,3 +197,83 @@ def test_open_writes_hold_back_what_counts_as_complete(spark_utc8):
     assert ordering.complete_up_to(spark, path, grace=0.0) == second
     ordering.complete(spark, path, first)
     assert ordering.complete_up_to(spark, path) == second
+
+
+def put(spark, table, *values):
+    """A write of ``(key, qualifier, value)`` cells."""
+    rows_of = [(key, name, value, 0, key.rsplit("_", 1)[1][:8]) for key, name, value in values]
+    return cells.put_cells(spark.createDataFrame(rows_of, "row_key string, qualifier string, value string, write_ts long, day string"), table)
+
+
+def test_only_changed_periods_are_rolled_up_again(spark_utc8):
+    spark, table, hours, days = spark_utc8, *[new_dir(spark_utc8, n) for n in ("cells", "hours", "days")]
+    keys = [f"{t}_20180417{hour}{part}" for t in "ab" for hour in (12, 13) for part in (0, 3)]
+    put(spark, table, *[(key, name, "2") for key in keys for name in ("gpsTotalNum", "gpsOnlineTotal")])
+    assert jobs.roll_up_changes(spark, table, hours, HOUR_KEY) == 4
+    assert jobs.roll_up_changes(spark, table, hours, HOUR_KEY) == 0
+    assert jobs.roll_up_changes(spark, hours, days, DAY_KEY) == 2
+    orders = {r.row_key: r.write_ts for r in cells.stored_cells(spark, hours).collect()}
+
+    put(spark, table, ("a_20180417123", "gpsTotalNum", "7"))
+    assert jobs.roll_up_changes(spark, table, hours, HOUR_KEY) == 1
+    assert jobs.roll_up_changes(spark, hours, days, DAY_KEY) == 1
+    assert value_of(spark, hours, "a_2018041712", "gpsTotalNum") == ["9"]
+    assert value_of(spark, days, "a_20180417", "gpsTotalNum") == ["13"]
+    after = {r.row_key: r.write_ts for r in cells.stored_cells(spark, hours).collect()}
+    assert [key for key in orders if after[key] != orders[key]] == ["a_2018041712"]
+
+    # A deleted bucket, and one that was its hour's last: the hour goes too.
+    cells.delete_stored_rows(spark.createDataFrame([("b_20180417120",), ("a_20180417130",), ("a_20180417133",)], "row_key string"), table)
+    assert jobs.roll_up_changes(spark, table, hours, HOUR_KEY) == 2
+    jobs.roll_up_changes(spark, hours, days, DAY_KEY)
+    for target, length in ((hours, HOUR_KEY), (days, DAY_KEY)):
+        whole = jobs.rollup.rollup(jobs.metrics_of_cells(cells.stored_cells(spark, table)), length)
+        kept = jobs.metrics_of_cells(cells.stored_cells(spark, target)).drop("day")
+        assert rows(kept) == rows(whole)
+
+
+def test_a_write_that_has_not_ended_is_rolled_up_later(spark_utc8):
+    spark, table, hours = spark_utc8, new_dir(spark_utc8, "cells"), new_dir(spark_utc8, "hours")
+    put(spark, table, ("a_20180417120", "gpsTotalNum", "1"))
+    slow = cells.next_order(spark, table)
+    put(spark, table, ("b_20180417120", "gpsTotalNum", "1"))
+    assert jobs.roll_up_changes(spark, table, hours, HOUR_KEY) == 1
+    cells.append_cells(cell(spark, "c_20180417120", "5", slow), table)
+    ordering.complete(spark, table, slow)
+    assert jobs.roll_up_changes(spark, table, hours, HOUR_KEY) == 2
+    assert value_of(spark, hours, "c_2018041712", "m") == ["5"]
+
+
+def test_late_points_are_listed_and_counted(spark_utc8):
+    """Late ones in three batches; what the correction leaves equals a batch over all points, also after a restart."""
+    spark, inbox, table, work = spark_utc8, *[new_dir(spark_utc8, n) for n in ("in", "cells", "work")]
+    times = ["12:01:00", "15:00:00", "12:02:00", "14:55:00", "12:03:00", "16:00:00", "14:56:00"]
+    for i, time in enumerate(times):
+        write_lines(spark, [envelope(str(i % 2), [point(f"2018-04-17 {time}.0", "3.00", "6", "1")])], inbox)
+        points = lambda: src.parse_gps_lines(src.clean_lines(text_file_stream(spark, inbox)))
+        run_available(jobs.live_gps_metrics(text_file_stream(spark, inbox), table, f"{work}/cells", delay="10 minutes"))
+        run_available(late.gather_late(points(), f"{work}/late", f"{work}/late-checkpoint"))
+        if i == 4:
+            kept = src.parse_gps_lines(src.clean_lines(spark.read.text(inbox))).drop("raw_time")
+            assert jobs.correct_late_points(kept, f"{work}/late", table) > 0
+    kept = src.parse_gps_lines(src.clean_lines(spark.read.text(inbox))).drop("raw_time")
+    assert jobs.correct_late_points(kept, f"{work}/late", table) > 0
+    assert jobs.correct_late_points(kept, f"{work}/late", table) == 0
+    whole = cells.metric_text_cells(jobs.metrics_wide(kept), jobs.GPS_METRIC_COLUMNS, F.lit(0).cast("bigint"))
+    columns = ["row_key", "qualifier", "value"]
+    assert rows(cells.stored_cells(spark, table).select(*columns)) == rows(whole.select(*columns))
+
+
+def test_pages_stay_as_they_were_numbered(spark_utc8):
+    spark, table, index = spark_utc8, new_dir(spark_utc8, "cells"), new_dir(spark_utc8, "pages")
+    put(spark, table, *[(f"t{i}_20180417120", "m", "1") for i in range(6)])
+    cells.index_pages(spark, table, 2, index)
+    assert cells.indexed_page(spark, table, index, 1, 2, only_current=True)[1].has_next
+    seen = [r.row_key for r in cells.indexed_page(spark, table, index, 1, 2)[0].collect()]
+    put(spark, table, ("t00_20180417120", "m", "1"), ("t3_20180417120", "m", "9"))
+    cells.delete_stored_rows(spark.createDataFrame([("t5_20180417120",)], "row_key string"), table)
+    for page in (2, 3):
+        seen += [r.row_key for r in cells.indexed_page(spark, table, index, page, 2)[0].collect()]
+    assert sorted(seen) == [f"t{i}_20180417120" for i in range(6)]
+    with pytest.raises(cells.StalePages):
+        cells.indexed_page(spark, table, index, 2, 2, only_current=True)

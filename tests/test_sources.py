@@ -1,3 +1,5 @@
+import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from telemetra import schemas
@@ -58,3 +60,38 @@ def test_headerless_csv_reads_as_text(spark):
     path = new_dir(spark, "csv")
     spark.createDataFrame([("a,1",), ("b,",)], "value string").write.text(path)
     assert rows(tables.read_csv(spark, path)) == [("a", "1"), ("b", None)]
+
+
+def stored_rows(spark, url, login, name):
+    return rows(jdbc.read_table(spark, url, name, login))
+
+
+def test_updates_and_deletes_equal_sql_and_are_not_repeated(spark):
+    url, login = sql_jobs._database(spark)
+    data = [(i, i % 3, float(i)) for i in range(30)]
+    jdbc.write_batch(spark.createDataFrame(data, "ID long, KIND int, AMOUNT double"), url, "CHANGED", login, mode="overwrite")
+    new = spark.createDataFrame([(i, -1.0) for i in range(5)] + [(99, 7.0), (None, 8.0)], "id long, amount double")
+    assert jdbc.update_rows(new, url, "CHANGED", login, ["id"], "first") == 5
+    gone = spark.createDataFrame([(2, 6), (2, 8), (2, 8), (1, 6)], "kind int, id long")
+    assert jdbc.delete_rows(gone, url, "CHANGED", login, "second") == 1
+    expected = sorted((i, k, -1.0 if i < 5 else a) for i, k, a in data if i != 8)
+    assert stored_rows(spark, url, login, "CHANGED") == sorted(expected, key=repr)
+    # The same jobs again, as after a lost answer, and a job that failed between its steps.
+    other = spark.createDataFrame([(1, 55.0)], "id long, amount double")
+    assert jdbc.update_rows(other, url, "CHANGED", login, ["id"], "first") is None
+    twice = spark.createDataFrame([(1, 55.0), (1, 56.0)], "id long, amount double")
+    with pytest.raises(Py4JJavaError):
+        jdbc.update_rows(twice, url, "CHANGED", login, ["id"], "third")
+    assert stored_rows(spark, url, login, "CHANGED") == sorted(expected, key=repr)
+    assert jdbc.update_rows(other, url, "CHANGED", login, ["id"], "third") == 1
+    with pytest.raises(ValueError, match="letters"):
+        jdbc.update_rows(other, url, "CHANGED", login, ["id"], "a; DROP TABLE CHANGED")
+
+
+def test_skewed_keys_give_even_splits(spark):
+    url, login = sql_jobs._database(spark)
+    data = [(i,) for i in range(900)] + [(10**9 + i * 10**6,) for i in range(100)] + [(None,)] * 3
+    jdbc.write_batch(spark.createDataFrame(data, "ID long"), url, "SKEWED", login, mode="overwrite")
+    read = jdbc.read_table(spark, url, "SKEWED", login, partition_column="ID", partitions=8)
+    sizes = [r["count"] for r in read.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and sum(sizes) == 1003 and max(sizes) <= 2 * min(sizes)

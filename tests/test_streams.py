@@ -184,3 +184,20 @@ def test_a_batch_being_written_is_left_for_the_next_compaction(spark):
     sessions.compact_sessions(spark, work)
     assert len(parts.version_of(spark, work).upto) == 1 and max(parts.version_of(spark, work).upto.values()) == len(BATCHES) - 2
     assert_equals_batch(spark, work, BATCHES)
+
+
+def test_arrivals_count_copies_once_and_take_late_scans(spark):
+    work, inbox = new_dir(spark, "t"), new_dir(spark, "in")
+    schema = "waybill_no string, bar_record_id string, zone_code string, ordinal long, scan string"
+
+    def scans(*times):
+        return spark.createDataFrame([(w, "b", "z", 1, f"2024-01-01 {t}:00") for w, t in times], schema).select(
+            "waybill_no", "bar_record_id", "zone_code", "ordinal", F.to_timestamp("scan").alias("bar_scan_tm")
+        )
+
+    arrivals = [scans(("1", "00:01"), ("1", "00:01"), ("2", "00:29")), scans(("1", "00:01"), ("3", "00:20")), scans(("4", "02:00")), scans(("5", "00:03"), ("6", "05:00"))]
+    for part in arrivals:
+        arrive(part, inbox)
+        counted = metrics.zone_arrivals(sinks.parquet_stream(spark, part.schema, inbox))
+        sinks.run_available(sinks.append_to_files(counted, f"{work}/out", f"{work}/checkpoint"))
+    assert rows(spark.read.parquet(f"{work}/out")) == [("z", "202401010000", 3), ("z", "202401010200", 1)]
