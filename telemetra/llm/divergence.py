@@ -23,8 +23,10 @@ from telemetra.llm.common import rows, written
 
 #: Shares are counted in parts of this.
 UNIT = 1_000_000_000
-#: Distinct terms of all groups that a task counts before it hands them on.
-BLOCK_TERMS = 400_000
+#: Counts of terms in groups that a task holds before it hands them on.
+BLOCK_TERMS = 1_200_000
+#: Rows of a batch that leaves a task.
+BATCH_TERMS = 20_000
 #: Pairs of groups of a batch that are compared at once.
 PAIRS_AT_ONCE = 1 << 20
 
@@ -63,70 +65,80 @@ def group_digests(seed: int) -> list[Column]:
 
 
 def block_counts(frame: DataFrame) -> DataFrame:
-    """``(l, g, d, n, docs, term, first)`` per block of texts, as a table.
+    """``(l, d, docs, term, g, n)`` per term and block of texts, as a table.
 
-    ``n`` are the occurrences of the term in the texts of the group, ``docs`` the texts that have it.
-    ``first`` marks one row of each string of a language in the block.
+    ``docs`` are the texts of the block that have the term, ``n`` its occurrences in each group of ``g``.
     """
-    names = ["l", "g", "d", "n", "docs", "term", "first"]
+    names = ["l", "d", "docs", "term", "g", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[int, int], Counter] = defaultdict(Counter)
-        docs: dict[tuple[int, int], Counter] = defaultdict(Counter)
+        counts: dict[int, dict[int, Counter]] = defaultdict(lambda: defaultdict(Counter))
+        docs: dict[int, Counter] = defaultdict(Counter)
+
+        def lines(language: int, of_group: dict[int, Counter]) -> pa.RecordBatch:
+            with_term = docs.pop(language)
+            number = {term: i for i, term in enumerate(with_term)}
+            place = np.fromiter((number[t] for c in of_group.values() for t in c), dtype=np.int64)
+            n = np.fromiter((x for c in of_group.values() for x in c.values()), dtype=np.int64)
+            g = np.repeat(np.array(list(of_group), dtype=np.int64), [len(c) for c in of_group.values()])
+            order = np.argsort(place, kind="stable")
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(number)))]).astype(np.int32)
+            columns = [
+                pa.array(np.full(len(number), language)),
+                pa.array([digest(language, term) for term in number], type=pa.int64()),
+                pa.array(list(with_term.values()), type=pa.int64()),
+                pa.array(list(number), type=pa.binary()),
+                pa.ListArray.from_arrays(offsets, g[order]),
+                pa.ListArray.from_arrays(offsets, n[order]),
+            ]
+            return pa.record_batch(columns, names=names)
 
         def blocks() -> Iterator[pa.RecordBatch]:
-            known: dict[int, dict[bytes, int]] = defaultdict(dict)
             while counts:
-                key, of_term = counts.popitem()
-                with_term, own = docs.pop(key), known[key[0]]
-                terms = list(of_term)
-                first = [term not in own for term in terms]
-                own |= {term: digest(key[0], term) for term, new in zip(terms, first, strict=True) if new}
-                digests = [own[term] for term in terms]
-                numbers = [[key[0]] * len(terms), [key[1]] * len(terms), digests, list(of_term.values()), [with_term[t] for t in terms]]
-                columns = [pa.array(x, type=pa.int64()) for x in numbers]
-                yield pa.record_batch([*columns, pa.array(terms, type=pa.binary()), pa.array(first, type=pa.bool_())], names=names)
+                block = lines(*counts.popitem())
+                for start in range(0, block.num_rows, BATCH_TERMS):
+                    yield block.slice(start, BATCH_TERMS)
 
         size = 0
         for language, group, text in rows(batches):
             words = terms_of(text)
-            key = (language, group)
-            size -= len(counts[key])
-            counts[key].update(words)
-            docs[key].update(set(words))
-            size += len(counts[key])
+            own = counts[language][group]
+            size -= len(own)
+            own.update(words)
+            docs[language].update(set(words))
+            size += len(own)
             if size > BLOCK_TERMS:
                 yield from blocks()
                 size = 0
         yield from blocks()
 
-    kinds = "l bigint, g bigint, d bigint, n bigint, docs bigint, term binary, first boolean"
+    kinds = "l bigint, d bigint, docs bigint, term binary, g array<bigint>, n array<bigint>"
     return written(frame.mapInArrow(run, kinds), "term-counts")
 
 
 def spellings(counts: DataFrame) -> DataFrame:
     """``(d, l, term, other_l, other_term)``: the smallest and the largest string of each digest, as a table."""
     string = F.struct("l", "term")
-    ends = counts.where("first").groupBy("d").agg(F.min(string).alias("a"), F.max(string).alias("z"))
+    ends = counts.groupBy("d").agg(F.min(string).alias("a"), F.max(string).alias("z"))
     return written(
         ends.select("d", "a.l", "a.term", F.col("z.l").alias("other_l"), F.col("z.term").alias("other_term")), "spellings"
     )
 
 
 def told_apart(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(g, d, part, n, docs)`` and ``(d, part, term)``: a digest of one string is its part 0, the strings
+    """``(d, part, docs, g, n)`` and ``(d, part, term)``: a digest of one string is its part 0, the strings
     of any other digest are its parts from 1 on."""
     strings = spellings(counts)
     shared = strings.where((F.col("l") != F.col("other_l")) | (F.col("term") != F.col("other_term")))
     shared = written(shared.select("d"), "shared-digests")
-    plain = counts.select("g", "d", F.lit(0).alias("part"), "n", "docs")
+    plain = counts.select("d", F.lit(0).alias("part"), "docs", "g", "n")
     names = strings.select("d", F.lit(0).alias("part"), "term")
     if shared.isEmpty():
         return plain, names
     both = counts.join(shared, "d")
-    parts = both.where("first").select("d", "l", "term").distinct()
+    parts = both.select("d", "l", "term").distinct()
     parts = parts.withColumn("part", F.row_number().over(Window.partitionBy("d").orderBy("l", "term")))
-    split = both.join(parts, ["d", "l", "term"]).select("g", "d", "part", "n", "docs")
+    split = both.join(parts, ["d", "l", "term"])
     return (
         plain.join(shared, "d", "left_anti").unionByName(split.select(plain.columns)),
         names.join(shared, "d", "left_anti").unionByName(parts.select("d", "part", "term")),
@@ -136,9 +148,11 @@ def told_apart(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def kept_terms(counts: DataFrame, least_docs: int) -> DataFrame:
     """``(d, part, total, groups)``: terms in enough documents of their language, with each group's count, as a table.
 
-    One exchange, by term; a term has at most one row per block and group in it.
+    One exchange, by term; a term has at most one row per block in it.
     """
-    by_group = counts.repartition("d", "part").groupBy("d", "part", "g").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    rows = counts.repartition("d", "part").select("d", "part", "docs", F.posexplode(F.arrays_zip("g", "n")).alias("at", "x"))
+    docs = F.sum(F.when(F.col("at") == 0, F.col("docs")).otherwise(0)).alias("docs")
+    by_group = rows.groupBy("d", "part", F.col("x.g").alias("g")).agg(F.sum("x.n").alias("n"), docs)
     terms = by_group.groupBy("d", "part").agg(
         F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("g", "n")).alias("groups")
     )
