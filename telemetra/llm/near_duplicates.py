@@ -42,6 +42,9 @@ from telemetra.llm.words import WordHashes, lower_words, shingle_hashes
 BLOCK_NODES = 1000
 #: Shingles whose signatures are computed together.
 TOGETHER = 1 << 17
+#: Rows of groups, and pairs among them, that are compared at once.
+ROWS_TOGETHER = 4096
+PAIRS_TOGETHER = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -188,7 +191,7 @@ def close_pairs(pairs: DataFrame, nodes: DataFrame, signature: Signature, percen
 def crossing_pairs(
     members: DataFrame, nodes: DataFrame, signature: Signature, percent: int, partitions: int, nearest: bool
 ) -> DataFrame:
-    """``(a, b, apart)`` that are near enough among members ``(key, node, component)`` of a key.
+    """``(a, b, apart, key)`` that are near enough among members ``(key, node, component)`` of a key.
 
     Only pairs of different components count; with ``nearest`` only the closest one of each node in a
     block. A key with many members is cut into blocks by a hash of the node, and each pair of blocks
@@ -211,43 +214,56 @@ def crossing_pairs(
     placed = placed.join(nodes.select("node", "signature"), "node")
     placed = placed.select("key", "low", "high", "node", "component", "own", "signature")
     grouped = placed.repartition(partitions, "key", "low", "high").sortWithinPartitions("key", "low", "high")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("apart", pa.int32())])
     most, most_apart = signature.distance, signature.sketch_distance(percent)
 
-    def compare(group: list[tuple]) -> Iterator[tuple]:
-        key, low, high = group[0][:3]
-        node = np.array([g[3] for g in group])
-        component = np.array([g[4] for g in group])
-        own = np.array([g[5] for g in group])
-        if (component == component[0]).all():
-            return
-        table, sketch = signature.tables([g[6] for g in group])
+    def compare(held: list[list[tuple]]) -> Iterator[pa.RecordBatch]:
+        """Groups are compared together, at most ``PAIRS_TOGETHER`` pairs at a time."""
+        lines = [line for group in held for line in group]
+        key, low, high, node, component, own = (np.array([line[i] for line in lines]) for i in range(6))
+        table, sketch = signature.tables([line[6] for line in lines])
         keys = signature.keys(table)
-        for i in range(len(group)):
-            other = np.flatnonzero((component != component[i]) & (own != own[i] if low != high else node > node[i]))
-            if low != high and own[i] != low:
-                continue
-            other = other[(table[other] != table[i]).sum(axis=1) <= most]
-            first = (keys[other] == keys[i]).argmax(axis=1)
-            other = other[keys[i][first] == key]
-            apart = (sketch[other] != sketch[i]).sum(axis=1)
-            near = np.flatnonzero(apart <= most_apart)
-            if nearest and len(near):
-                near = near[[np.argmin(apart[near])]]
-            for j in near.tolist():
-                x, y = int(node[i]), int(node[other[j]])
-                yield min(x, y), max(x, y), int(apart[j])
+        sizes = np.array([len(group) for group in held])
+        ends = np.repeat(np.cumsum(sizes), sizes)
+        after = ends - np.arange(len(lines)) - 1
+        total = np.cumsum(after)
+        start = 0
+        while start < len(lines):
+            stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + PAIRS_TOGETHER)))
+            n = after[start:stop]
+            i = np.repeat(np.arange(start, stop), n)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+            start = stop
+            wanted = (component[i] != component[j]) & ((low[i] == high[i]) | (own[i] != own[j]))
+            i, j = i[wanted], j[wanted]
+            near = (table[i] != table[j]).sum(axis=1) <= most
+            i, j = i[near], j[near]
+            first = (keys[i] == keys[j]).argmax(axis=1)
+            near = keys[i, first] == key[i]
+            i, j = i[near], j[near]
+            apart = (sketch[i] != sketch[j]).sum(axis=1, dtype=np.int32)
+            near = apart <= most_apart
+            i, j, apart = i[near], j[near], apart[near]
+            if nearest and len(i):
+                order = np.lexsort((j, apart, i))
+                order = order[np.concatenate(([True], np.diff(i[order]) != 0))]
+                i, j, apart = i[order], j[order], apart[order]
+            columns = np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), apart, key[i]
+            yield pa.record_batch([pa.array(c) for c in columns], names=["a", "b", "apart", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Emitter(schema)
+        held, total = [], 0
         for _, group in itertools.groupby(rows(batches), key=lambda line: line[:3]):
-            for line in compare(list(group)):
-                if out.add(line):
-                    yield out.take()
-        if out.lines:
-            yield out.take()
+            lines = list(group)
+            if any(line[4] != lines[0][4] for line in lines):
+                held.append(lines)
+                total += len(lines)
+            if total >= ROWS_TOGETHER:
+                yield from compare(held)
+                held, total = [], 0
+        if held:
+            yield from compare(held)
 
-    return grouped.mapInArrow(run, "a bigint, b bigint, apart int").groupBy("a", "b").agg(F.min("apart").alias("apart"))
+    return grouped.mapInArrow(run, "a bigint, b bigint, apart int, key bigint")
 
 
 def node_texts(
@@ -326,26 +342,32 @@ def near_duplicates(
     )
     members = written(keys.join(leaders.select("key", "leader"), "key"), "members")
 
-    stars = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    # One leader per node, the one it shares most keys with; what that leaves apart is left to the rounds below.
+    shared = members.where("node <> leader").groupBy(F.col("node").alias("a"), "leader").agg(F.count("*").alias("n"))
+    stars = shared.groupBy("a").agg(F.max(F.struct("n", "leader")).alias("best")).select("a", F.col("best.leader").alias("b"))
     near = written(close_pairs(stars, nodes, signature, percent), "near")
-    closest = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best")).select("a", "best.b")
+    closest = near.select("a", "b")
     wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
     texts = written(node_texts(docs, wanted.join(nodes.select("node", "id"), "node"), words, id_col, text_col), "texts")
     links = written(confirmed(closest, texts, words, percent), "confirmed")
     tested = closest
+    # Components only grow: a key without a near pair between two of them has none later either.
+    mixing = members.select("key")
     for nearest in (True, False):
         labels = components(links)
         placed = members.select("key", "node").join(labels, "node", "left")
         placed = placed.withColumn("component", F.coalesce("component", "node"))
+        placed = placed if nearest else placed.join(mixing, "key", "left_semi")
         mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
         held = placed.join(mixed.select("key"), "key", "left_semi").select("key", "node", "component")
-        pairs = crossing_pairs(held, nodes, signature, percent, partitions, nearest)
+        found = written(crossing_pairs(held, nodes, signature, percent, partitions, nearest), "crossing")
+        mixing = found.select("key").distinct()
         seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = written(pairs.select("a", "b").join(seen, ["a", "b"], "left_anti"), "crossing")
-        if pairs.isEmpty():
-            if nearest:
-                continue
+        pairs = written(found.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti"), "crossing")
+        if found.isEmpty():
             break
+        if pairs.isEmpty():
+            continue
         more = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         missing = more.join(texts.select("node"), "node", "left_anti")
         if not missing.isEmpty():
