@@ -81,10 +81,40 @@ def test_level_minimises_the_sum_of_squares():
             costs[level] = int((after[1:capacity] ** 2).sum())
         chosen = packer.level_for(size)
         assert costs[chosen] == min(costs.values())
-        packer.place((0, 0, b"x" * 4 * size), size)
+        list(packer.place((0, size), 0, b"x" * 4 * size))
         assert packer.levels[capacity] == 0 and packer.levels[0] == 0
 
 
-def test_many_open_windows_are_refilled(documents):
-    texts = [(i, "cat " * (7 + i % 5)) for i in range(60)]
-    check_pieces(packing.pack(documents(texts).coalesce(1), FILE, capacity=32, open_parts=3).collect(), texts, 32)
+def test_a_part_is_cut_at_the_level_of_the_rule_while_no_window_may_be_opened():
+    packer = packing.SumOfSquares(10)
+    for size in (6, 6, 6, 7, 7, 8, 8, 9):
+        assert not list(packer.place((0, size), 0, b"x" * 4 * size))
+    assert packer.open == packing.FEWEST_OPEN and packer.level_for(5, may_open=False) == 6
+    cut, rest = packer.place((1, 5), 0, b"y" * 20)
+    assert [(p[0], p[1], len(p[2])) for p in cut] == [((0, 6), 0, 24), ((1, 5), 0, 16)]
+    assert [(p[0], p[1], len(p[2])) for p in rest] == [((0, 9), 0, 36), ((1, 5), 4, 4)]
+    assert packer.open == packing.FEWEST_OPEN - 2
+    assert [len(w) for w in packer.place((2, 30), 0, b"z" * 120)] == [1, 1, 1]
+
+
+def test_most_windows_are_filled_by_the_rule_in_small_partitions():
+    source = random.Random(5)
+    packer, filled = packing.SumOfSquares(2048), 0
+    for _ in range(2000):  # about a partition of 32 of the small tables
+        n = min(20_000, int(source.lognormvariate(5.5, 1.2)) + 1)
+        filled += len(list(packer.place((0, n), 0, b"x" * 4 * n)))
+    rest = len(list(packing.refill(packer.rest(), 2048)))
+    assert filled > 10 * rest and packer.open <= max(packing.FEWEST_OPEN, filled // packing.OPEN_SHARE)
+
+
+def test_a_text_of_megabytes(documents):
+    texts = [(1, "the cat " * 300_000), (2, "x" * 300_000), (3, None)]
+    assert len(check_pieces(packing.pack(documents(texts), FILE).collect(), texts, 2048)) > 290
+
+
+def test_the_memo_makes_room(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_WORDS", 6)
+    encoder = packing.WordIds(FILE)
+    for text in ["a b c d.", "d. e f", "a b, c", "g h i j k", "a d."] * 2:
+        (found,) = encoder.ids([text.encode()])
+        assert np.frombuffer(found, dtype="<u4").tolist() == ids_of(text)[:-1]
