@@ -25,8 +25,6 @@ from telemetra.llm.words import plain_words
 
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE_DOCUMENTS = 20_000
-#: Tokens the model keeps, those of the surest log-odds first.
-MODEL_TOKENS = 100_000
 #: The Dirichlet prior of a token: this much, and its share of so many tokens.
 PRIOR_EACH = 0.5
 PRIOR_TOKENS = 500.0
@@ -114,7 +112,7 @@ def log_odds(toxic: Counter, clean: Counter) -> dict[bytes, float]:
         if z >= LEAST_Z and odds > MARGIN:
             scored.append((-z, word, odds - MARGIN))
     scored.sort()
-    return {word: score for _, word, score in scored[:MODEL_TOKENS]}
+    return {word: score for _, word, score in scored}
 
 
 def extreme_value_law(
@@ -180,7 +178,7 @@ def fit(
     totals = by_word.agg(F.sum("toxic"), F.sum("clean")).first()
     toxic: Counter = Counter()
     clean: Counter = Counter()
-    for line in by_word.where("toxic >= 2").orderBy(F.desc("toxic"), "word").limit(4 * MODEL_TOKENS).collect():
+    for line in by_word.where("toxic >= 2").collect():
         toxic[bytes(line["word"])], clean[bytes(line["word"])] = line["toxic"], line["clean"]
     toxic[b""] = (totals[0] or 0) - sum(toxic.values())
     clean[b""] = (totals[1] or 0) - sum(clean.values())
