@@ -2,8 +2,11 @@
 
 Records hash into thousands of slots once and for all. The bytes of each slot are summed, and a map
 that sends every slot to a shard is made from those sums. Rebalancing edits the map and writes it as
-a new version; it never hashes a record again. Everything that touches records is built-in
-expressions; the driver only sees one sum per slot, and their number is fixed.
+a new version; it never hashes a record again. A map also lists the groups of equal texts that are too
+large for one shard: each record of such a group goes where the map sends the slot of its id. The list
+is made with the first map and stored in it, so records that come later change no place of earlier
+ones. Everything that touches records is built-in expressions; the driver only sees one sum per slot,
+and their number is fixed.
 """
 
 from __future__ import annotations
@@ -28,23 +31,22 @@ def fixed_array(values: Iterable[int]) -> Column:
 
 @dataclass(frozen=True)
 class SlotMap:
-    """Which shard holds each slot, as of a version."""
+    """Which shard holds each slot, and which groups of equal texts are spread, as of a version."""
 
     version: int
     shards: int
     shard_of: tuple[int, ...]
+    spread: tuple[int, ...] = ()
 
     def column(self, slot: Column) -> Column:
         return F.get(fixed_array(self.shard_of), slot)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        slots = spark.range(len(self.shard_of)).select(F.col("id").cast("int").alias("virtual_slot"))
-        return slots.select(
-            F.lit(self.version).alias("version"),
-            F.lit(self.shards).alias("shards"),
-            "virtual_slot",
-            self.column(F.col("virtual_slot")).alias("shard"),
-        )
+        """A row per slot, and a row per spread group with its hash in place of a slot."""
+        places = [(slot, shard, None) for slot, shard in enumerate(self.shard_of)]
+        groups = [(None, None, group) for group in self.spread]
+        lines = spark.createDataFrame(places + groups, "virtual_slot int, shard int, spread_group bigint")
+        return lines.select(F.lit(self.version).alias("version"), F.lit(self.shards).alias("shards"), "*")
 
 
 def slot_of(*key: Column, slots: int = VIRTUAL_SLOTS) -> Column:
@@ -57,14 +59,14 @@ def record_size(text: Column) -> Column:
 
 
 def slot_sums(records: DataFrame, slots: int = VIRTUAL_SLOTS) -> tuple[list[int], list[int]]:
-    """Bytes and rows per slot of a frame with ``virtual_slot`` and ``size``: two lists of fixed length."""
+    """Bytes and rows per slot of a frame with ``placed_by`` and ``size``: two lists of fixed length."""
     sizes, counts = [0] * slots, [0] * slots
-    for line in records.groupBy("virtual_slot").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect():
-        sizes[line["virtual_slot"]], counts[line["virtual_slot"]] = line["b"], line["n"]
+    for line in records.groupBy("placed_by").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect():
+        sizes[line["placed_by"]], counts[line["placed_by"]] = line["b"], line["n"]
     return sizes, counts
 
 
-def first_map(sizes: list[int], shards: int) -> SlotMap:
+def first_map(sizes: list[int], shards: int, spread: Iterable[int] = ()) -> SlotMap:
     """Largest slots first, each to the shard with the fewest bytes."""
     load = [(0, shard) for shard in range(shards)]
     shard_of = [0] * len(sizes)
@@ -72,7 +74,7 @@ def first_map(sizes: list[int], shards: int) -> SlotMap:
         held, shard = heapq.heappop(load)
         shard_of[slot] = shard
         heapq.heappush(load, (held + sizes[slot], shard))
-    return SlotMap(1, shards, tuple(shard_of))
+    return SlotMap(1, shards, tuple(shard_of), tuple(sorted(spread)))
 
 
 def rebalanced(current: SlotMap, sizes: list[int], shards: int) -> SlotMap:
@@ -108,7 +110,7 @@ def rebalanced(current: SlotMap, sizes: list[int], shards: int) -> SlotMap:
         if not useful:
             break
         move(min(useful, key=lambda s: (abs(2 * sizes[s] - gap), s)), empty)
-    return SlotMap(current.version + 1, shards, tuple(shard_of))
+    return SlotMap(current.version + 1, shards, tuple(shard_of), current.spread)
 
 
 def write_map(spark: SparkSession, slot_map: SlotMap, folder: str) -> None:
@@ -117,8 +119,18 @@ def write_map(spark: SparkSession, slot_map: SlotMap, folder: str) -> None:
 
 
 def read_map(spark: SparkSession, folder: str, version: int) -> SlotMap:
-    lines = spark.read.parquet(f"{folder}/version={version:06d}").orderBy("virtual_slot").collect()
-    return SlotMap(version, lines[0]["shards"], tuple(line["shard"] for line in lines))
+    lines = spark.read.parquet(f"{folder}/version={version:06d}").orderBy("virtual_slot", "spread_group").collect()
+    shard_of = tuple(line["shard"] for line in lines if line["virtual_slot"] is not None)
+    spread = tuple(line["spread_group"] for line in lines if line["virtual_slot"] is None)
+    return SlotMap(version, lines[0]["shards"], shard_of, spread)
+
+
+def groups_to_spread(base: DataFrame, shards: int) -> list[int]:
+    """Hashes of the texts whose records hold more than a quarter of a shard's bytes: at most 4 * ``shards``."""
+    total = base.agg(F.sum("size")).first()[0] or 0
+    heavy = base.groupBy("text_hash").agg(F.sum("size").alias("group_size"))
+    heavy = heavy.where(F.col("group_size") > max(1, total // (4 * shards)))
+    return [line["text_hash"] for line in heavy.select("text_hash").collect()]
 
 
 def assign(
@@ -131,12 +143,14 @@ def assign(
 ) -> DataFrame:
     """``(id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version)`` per record.
 
-    The law is ``bytes``: shards hold nearly equal sums of ``size``. Equal texts share a virtual slot
-    and so a shard, unless their copies hold more than a quarter of a shard's bytes; such a group is
-    spread over slots by id, which keeps the law. ``slot`` numbers the records of a shard from 0
-    without gaps. ``grown_shard`` is null, as only a law by key defines it. A null text has size 8 and
-    checksum 0, a null id is hashed like a value, repeated rows are placed each, an empty table gives
-    no rows, other columns are not read. With ``slot_map``, a stored map is used as it is.
+    The law is ``bytes``: shards hold nearly equal sums of ``size``. Equal texts share a virtual slot,
+    whatever else the table holds, and so a shard; the records of a group that the map spreads go to the
+    shards of the slots of their ids, which keeps the law. Without ``slot_map`` a first map is made, which
+    spreads the groups of more than a quarter of a shard's bytes; a stored map is used as it is, with
+    ``slots`` as many as it has. ``slot`` numbers the records of a shard from 0 without gaps.
+    ``grown_shard`` is null, as only a law by key defines it. A null text has size 8 and checksum 0, a null
+    id is hashed like a value, repeated rows are placed each, an empty table gives no rows, other columns
+    are not read.
     """
     text = F.col(text_col)
     base = docs.select(
@@ -145,34 +159,31 @@ def assign(
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("bigint").alias("text_crc32"),
         F.xxhash64(text).alias("text_hash"),
     )
-    total = base.agg(F.sum("size")).first()[0] or 0
-    share = max(1, total // (4 * shards))
-    heavy = base.groupBy("text_hash").agg(F.sum("size").alias("group_size")).where(F.col("group_size") > share)
-    # At most 4 * shards groups can hold more than that share, so the list is bounded.
-    spread = [line["text_hash"] for line in heavy.select("text_hash").collect()]
+    slots = len(slot_map.shard_of) if slot_map else slots
+    spread = slot_map.spread if slot_map else groups_to_spread(base, shards)
     by_text = slot_of("text_hash", slots=slots)
     by_id = slot_of(F.col("text_hash"), F.col(id_col), slots=slots)
-    placed = base.withColumn(
-        "virtual_slot", F.when(F.col("text_hash").isin(spread), by_id).otherwise(by_text) if spread else by_text
+    placed = base.withColumn("virtual_slot", by_text).withColumn(
+        "placed_by", F.when(F.col("text_hash").isin(list(spread)), by_id).otherwise(by_text) if spread else by_text
     )
     sizes, counts = slot_sums(placed, slots)
-    slot_map = slot_map or first_map(sizes, shards)
+    slot_map = slot_map or first_map(sizes, shards, spread)
 
     # Numbers: rows of a part of a slot, after all rows of earlier parts of the same shard.
     parts = [max(1, -(-n // ROWS_NUMBERED)) for n in counts]
-    of_slot = F.get(fixed_array(parts), F.col("virtual_slot"))
+    of_slot = F.get(fixed_array(parts), F.col("placed_by"))
     placed = placed.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), F.col(id_col)), of_slot).cast("int"))
-    placed = placed.withColumn("shard", slot_map.column(F.col("virtual_slot")))
-    cells = placed.groupBy("shard", "virtual_slot", "part").agg(F.count("*").alias("cell_rows"))
-    in_shard = Window.partitionBy("shard").orderBy("virtual_slot", "part")
+    placed = placed.withColumn("shard", slot_map.column(F.col("placed_by")))
+    cells = placed.groupBy("shard", "placed_by", "part").agg(F.count("*").alias("cell_rows"))
+    in_shard = Window.partitionBy("shard").orderBy("placed_by", "part")
     earlier = cells.select(
-        "virtual_slot",
+        "placed_by",
         "part",
         (F.sum("cell_rows").over(in_shard) - F.col("cell_rows")).alias("before"),
     )
-    in_cell = Window.partitionBy("virtual_slot", "part").orderBy(id_col, "text_crc32", "size")
+    in_cell = Window.partitionBy("placed_by", "part").orderBy(id_col, "text_crc32", "size")
     numbered = placed.withColumn("nth", F.row_number().over(in_cell))
-    return numbered.join(earlier, ["virtual_slot", "part"]).select(
+    return numbered.join(earlier, ["placed_by", "part"]).select(
         F.col(id_col),
         "size",
         "text_crc32",

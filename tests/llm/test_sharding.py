@@ -65,9 +65,32 @@ def test_rebalancing_edits_the_stored_map(spark):
     stayed = [s for s in range(400) if grown.shard_of[s] < 3]
     assert sum(grown.shard_of[s] != shrunk.shard_of[s] for s in stayed) < 20
     folder = new_dir(spark, "maps")
-    for slot_map in (first, grown):
+    spread = sharding.rebalanced(sharding.SlotMap(2, 6, grown.shard_of, (-5, 9)), sizes, 7)
+    for slot_map in (first, grown, spread):
         sharding.write_map(spark, slot_map, folder)
-    assert sharding.read_map(spark, folder, 1) == first and sharding.read_map(spark, folder, 2) == grown
+    assert [sharding.read_map(spark, folder, v) for v in (1, 2, 3)] == [first, grown, spread]
+    assert spread.spread == (-5, 9)
+
+
+@pytest.mark.parametrize("before", [1, 500])
+def test_later_copies_move_no_record(documents, spark, before):
+    texts = [(i, f"other {i} " * 4) for i in range(400)] + [(i, "copied text") for i in range(400, 400 + before)]
+    sizes = {"size": F.octet_length("text") + 8, "text_hash": F.xxhash64("text"), "placed_by": sharding.slot_of(F.xxhash64("text"))}
+    base = documents(texts).withColumns(sizes)
+    spread = sharding.groups_to_spread(base, 8)
+    assert len(spread) == (before > 1)
+    stored = sharding.first_map(sharding.slot_sums(base)[0], 8, spread)
+    folder = new_dir(spark, "maps")
+    sharding.write_map(spark, stored, folder)
+    stored = sharding.read_map(spark, folder, 1)
+    grown = texts + [(i, "copied text") for i in range(1000, 2500)]
+    first = {r["doc_id"]: r for r in sharding.assign(documents(texts), 8, slot_map=stored).collect()}
+    lines = sharding.assign(documents(grown), 8, slot_map=stored).collect()
+    check(lines, grown, 8)
+    then = {r["doc_id"]: r for r in lines}
+    assert all((then[i]["virtual_slot"], then[i]["shard"]) == (r["virtual_slot"], r["shard"]) for i, r in first.items())
+    unmapped = {r["doc_id"]: r["virtual_slot"] for r in sharding.assign(documents(grown), 8).collect()}
+    assert unmapped == {i: r["virtual_slot"] for i, r in then.items()}
 
 
 def test_a_stored_map_is_used_as_it_is(documents):
