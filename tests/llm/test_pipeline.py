@@ -93,4 +93,4 @@ def test_repeats_and_benchmark_against_brute_force(spark):
 
 def test_the_catalogue_names_each_operator_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in catalogue.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
