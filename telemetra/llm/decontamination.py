@@ -124,24 +124,27 @@ def contamination(
     """``(id, n_words, n_items, item_ids, item_id, coverage, contaminated)`` per row of ``docs``.
 
     ``item_ids`` lists the items covered to ``coverage`` or more, ``item_id`` is the one covered best
-    (the smallest id among equals; null if no item shares a run of words). Words are compared
+    (the smallest id among equals; null if no item shares a run of words). Item ids may be numbers or
+    texts, and keep their type. Words are compared
     without case and ASCII punctuation. Items of fewer than five words must occur whole; items
     without words match nothing; an item with several texts is covered as well as the best of them, and
     repeated benchmark rows count once. A null text has no words, a null id stays null, repeated rows
     are judged each, empty tables give no rows or no matches.
     """
-    state = "best_item bigint, best double, item_ids array<bigint>, n_words bigint"
+    item_id = benchmark.select(F.col(item_col).alias("best_item"))
+    item_kind, item_type = item_id.schema[0].dataType.simpleString(), arrow_schema(item_id).field(0).type
+    state = f"best_item {item_kind}, best double, item_ids array<{item_kind}>, n_words bigint"
     frame = docs.select(
         F.col(id_col),
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
-        F.lit(None).cast("bigint").alias("best_item"),
+        F.lit(None).cast(item_kind).alias("best_item"),
         F.lit(0.0).alias("best"),
-        F.array().cast("array<bigint>").alias("item_ids"),
+        F.array().cast(f"array<{item_kind}>").alias("item_ids"),
         F.lit(0).cast("bigint").alias("n_words"),
     )
     kind = frame.schema[0].dataType.simpleString()
     id_field = arrow_schema(frame).field(0)
-    fields = [("best_item", pa.int64()), ("best", pa.float64()), ("item_ids", pa.list_(pa.int64())), ("n_words", pa.int64())]
+    fields = [("best_item", item_type), ("best", pa.float64()), ("item_ids", pa.list_(item_type)), ("n_words", pa.int64())]
 
     def judged(frame: DataFrame, block: list[tuple[int, bytes]], last: bool) -> DataFrame:
         shared = frame.sparkSession.sparkContext.broadcast(block)

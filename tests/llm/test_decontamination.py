@@ -131,3 +131,13 @@ def test_blocks_are_collected_one_by_one(documents, benchmark, monkeypatch):
     monkeypatch.setattr(decontamination, "written", noted)
     contamination(documents([(1, ITEM)]), benchmark).collect()
     assert len(drawn) > 2 and seen == list(range(2, len(drawn) + 1))
+
+
+def test_item_ids_may_be_texts(spark, documents):
+    data = [("b", ITEM), ("a", ITEM), ("c", "just three words"), (None, ITEM)]
+    benchmark = spark.createDataFrame(data, "item_id string, text string")
+    texts = [(1, ITEM), (2, "some just three words"), (3, "nothing of it")]
+    found = {r["doc_id"]: r for r in contamination(documents(texts), benchmark).collect()}
+    assert found[1]["item_ids"] == ["a", "b"] and found[1]["item_id"] == "a"
+    assert found[2]["item_ids"] == ["c"] and found[3]["item_id"] is None and found[3]["item_ids"] == []
+    assert {r["doc_id"] for r in decontaminated(documents(texts), benchmark).collect()} == {3}
