@@ -22,11 +22,11 @@ from telemetra.llm.labelled import labelled_sample, logistic, logistic_fit
 
 #: Labelled documents the model is fitted on, at most; half build dictionaries, half calibrate.
 SAMPLE_DOCUMENTS = 8_000
-#: Bytes of a dictionary, and of the texts each is built from, at most.
-DICTIONARY_BYTES = 112 << 10
-TRAINING_BYTES = 6 << 20
-#: Longer texts are scored, but train no dictionary.
-LONGEST_TRAINED = 1 << 16
+#: Blocks of labelled text that build a dictionary, at most, and their bytes.
+TRAINING_BLOCKS = 6_000
+BLOCK_BYTES = 1 << 10
+#: A dictionary has an eighth of the bytes it is built from, within these bounds.
+DICTIONARY_BYTES = (256, 112 << 10)
 LEVEL = 3
 
 
@@ -37,23 +37,37 @@ class CompressionModel:
     weights: tuple[float, ...]
 
 
-def dictionary(texts: list[bytes]) -> bytes:
-    """A zstandard dictionary of some texts; what they have is taken whole where it is too little to train on."""
+def training_blocks(texts: DataFrame, id_col: str, blocks: int = TRAINING_BLOCKS) -> dict[int, list[bytes]]:
+    """At most so many blocks of the texts of each label, drawn from the whole texts.
+
+    Documents give a block in turn, each in an order drawn by hash, so a very long text weighs no more
+    than the others as long as they have blocks left.
+    """
+    drawn = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.octet_length("text") / BLOCK_BYTES).cast("int") - 1),
+        lambda i: F.struct(
+            F.xxhash64(F.lit("block"), F.col(id_col), i).alias("drawn"),
+            F.substring(F.col("text"), i * BLOCK_BYTES + 1, F.lit(BLOCK_BYTES)).alias("block"),
+        ),
+    )
+    turns = texts.where(F.octet_length("text") > 0).select("label", F.posexplode(F.array_sort(drawn)).alias("turn", "found"))
+    found = {}
+    for label in (0, 1):
+        first = turns.where(F.col("label") == label).orderBy("turn", "found").limit(blocks)
+        found[label] = [bytes(line["block"]) for line in first.select("found.block").collect()]
+    return found
+
+
+def dictionary(blocks: list[bytes]) -> bytes:
+    """A zstandard dictionary of some blocks; of blocks the library finds nothing common in, their own bytes."""
     import zstandard
 
-    whole, size = [], 0
-    for text in texts:
-        if text and size + len(text) <= TRAINING_BYTES:
-            whole.append(text)
-            size += len(text)
-    # Short samples train better dictionaries than few long ones, and paragraphs are cut evenly.
-    samples = [text[i : i + 1024] for text in whole for i in range(0, len(text), 1024)]
-    if size >= 8 * DICTIONARY_BYTES and len(samples) >= 64:
-        try:
-            return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=512, d=8).as_bytes()
-        except zstandard.ZstdError:
-            pass  # samples without anything in common
-    return b"".join(whole)[:DICTIONARY_BYTES] or b"\0" * 8
+    least, most = DICTIONARY_BYTES
+    size = min(most, max(least, sum(map(len, blocks)) // 8))
+    try:
+        return zstandard.train_dictionary(size, blocks, k=512, d=8).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(blocks)[:size] or b"\0" * 8
 
 
 class Sizes:
@@ -97,21 +111,12 @@ def fit(
 ) -> CompressionModel:
     """A model from at most ``limit`` labelled documents; bad ones are as welcome as good ones.
 
+    Half of them build the dictionaries, by at most ``TRAINING_BLOCKS`` blocks a label, half calibrate.
     Without labels of a class its dictionary is empty and the score is the smoothed base rate.
     """
     sample = labelled_sample(docs, labels, label_col, allowed, limit, id_col, text_col)
     frame = sample.select("draw", "label", id_col, F.col("text").cast("binary").alias("text"))
-    # Texts come in the order of their draw until there are enough bytes, so what is collected is bounded.
-    first = frame.where((F.col("draw") < 500) & (F.octet_length("text") <= LONGEST_TRAINED))
-    texts: dict[int, list[bytes]] = {0: [], 1: []}
-    for label in (0, 1):
-        size = 0
-        part = first.where(F.col("label") == label).orderBy("draw", id_col).limit(limit // 4)
-        for line in part.select("text").toLocalIterator():
-            texts[label].append(bytes(line["text"]))
-            size += len(line["text"])
-            if size > TRAINING_BYTES:
-                break
+    texts = training_blocks(frame.where("draw < 500"), id_col)
     good, bad = dictionary(texts[1]), dictionary(texts[0])
     shared = docs.sparkSession.sparkContext.broadcast((good, bad))
 

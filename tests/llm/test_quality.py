@@ -109,6 +109,28 @@ def test_edges(spark, edges, documents, labelled):
     assert quality_rules.learned_and_judged(documents([]), labels).count() == 0
 
 
+def test_blocks_come_in_turn_from_whole_texts(spark):
+    size = quality_classifier.BLOCK_BYTES
+    long = bytes(i % 251 for i in range(3 * size + 7)) * 40
+    texts = [(1, 1, long), (2, 1, b"short"), (3, 1, b""), (4, 0, b"x" * (2 * size))]
+    frame = spark.createDataFrame(texts, "doc_id long, label int, text binary")
+    found = quality_classifier.training_blocks(frame, "doc_id", 50)
+    assert len(found[1]) == 50 and b"short" in found[1][:2] and all(b in long for b in found[1] if b != b"short")
+    assert found[0] == [b"x" * size] * 2
+    whole = quality_classifier.training_blocks(frame, "doc_id")[1]
+    assert sum(map(len, whole)) == len(long) + 5
+    assert quality_classifier.training_blocks(frame.where("false"), "doc_id") == {0: [], 1: []}
+
+
+def test_dictionaries_of_any_blocks():
+    source = random.Random(3)
+    for n in (0, 1, 2, 7, 30, 300, 3000):
+        blocks = [" ".join(source.choices(["alpha", "beta", "gamma", "delta"], k=source.randrange(1, 150))).encode() for _ in range(n)]
+        built = quality_classifier.dictionary(blocks)
+        assert 0 < len(built) <= quality_classifier.DICTIONARY_BYTES[1]
+        assert quality_classifier.Sizes(built, built).features(b"alpha beta")[0] == 0
+
+
 def test_folds_follow_the_checksum(spark):
     import zlib
 
