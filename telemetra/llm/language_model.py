@@ -8,10 +8,6 @@ Every word has estimates of its own, however rare it is: words are told apart by
 bigrams by hashes of the pair. Probabilities sum to one over all words seen in training and one unseen
 word. Only totals, histograms and weights come to the driver.
 
-A caller may limit the ``classes`` instead. Then the most frequent words are classes of their own, the
-others and all unseen ones share one class, and inside that class a word has its own unigram estimate
-mixed with a uniform one, again with a weight learned on deleted counts.
-
 Texts are turned into blocks of tokens once and kept in the shared folder. Counts are gathered by
 exchanges: a block sends its distinct words or bigrams with their counts to ranges of them, the sums
 come back to the block. No table of words or bigrams is ever in one place.
@@ -21,7 +17,6 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +33,7 @@ COUNT_BINS, SHARE_BINS = 16, 2
 SHARES = 80
 STEPS = 200
 
-TOTALS, VOCABULARY, BINS, CLASS_OF = 0, 1, 2, 3
+TOTALS, BINS = 0, 1
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -202,8 +197,8 @@ def hash_bounds(buckets: int) -> np.ndarray:
     return np.array([(k << 64) // buckets for k in range(1, buckets)], dtype=np.uint64)
 
 
-def unigram_exchange(blocks: DataFrame, partitions: int, vocabulary: bool = True) -> DataFrame:
-    """Training counts of the words of each block, the ``vocabulary`` seen twice or more, and bins of counts."""
+def unigram_exchange(blocks: DataFrame, partitions: int) -> DataFrame:
+    """Training counts of the words of each block, and bins of counts."""
     bounds = hash_bounds(partitions)
 
     def send(lines: Iterator[tuple]) -> Iterator[tuple]:
@@ -214,11 +209,8 @@ def unigram_exchange(blocks: DataFrame, partitions: int, vocabulary: bool = True
 
     def sum_up(group: list[tuple]) -> Iterator[tuple]:
         parts = [(block, start, unpacked_hashes(k), unpacked(c)) for _, block, start, k, c in group]
-        keys, totals, back = summed(parts)
+        _, totals, back = summed(parts)
         yield from back
-        if vocabulary:
-            often = np.flatnonzero(totals > 1)
-            yield VOCABULARY, -1, 0, len(often), keys[often].tobytes() + totals[often].astype("<i8").tobytes()
         seen = totals[totals > 0]
         bins = count_bin(seen)
         for b in np.unique(bins).tolist():
@@ -228,102 +220,6 @@ def unigram_exchange(blocks: DataFrame, partitions: int, vocabulary: bool = True
     return exchanged(sent, partitions, sum_up)
 
 
-@dataclass(frozen=True)
-class Unigrams:
-    """Totals of the training tokens and the classes; ``words`` are the class words by hash."""
-
-    words: np.ndarray
-    counts: np.ndarray  # of the class words, then of the shared class, then of text beginnings
-    tokens: int
-    types: int
-    rare_types: int
-    own_weight: float  # of a word's own estimate inside the shared class
-
-    @property
-    def rare(self) -> int:
-        return len(self.words)
-
-    def classes(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(words), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, at, self.rare)
-
-    def keys(self, classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Context and bigram key of each token of a block; a text begins in a context of its own."""
-        context = np.empty(len(classes), dtype=np.int64)
-        context[1:] = classes[:-1]
-        context[np.cumsum(lengths)[:-1]] = self.rare + 1
-        context[:1] = self.rare + 1
-        return context, context * (self.rare + 1) + classes
-
-    def bounds(self, buckets: int) -> np.ndarray:
-        """Ranges of bigram keys of about equal weight; a frequent context is cut by the next word."""
-        share = max(1.0, self.tokens / buckets)
-        after = np.cumsum(self.counts[:-1]) / max(1, self.counts[:-1].sum())
-        found, filled = [], 0.0
-        for context, weight in enumerate(self.counts.tolist()):
-            first = context * (self.rare + 1)
-            pieces = int(weight // share)
-            if pieces > 1:
-                cuts = np.searchsorted(after, np.arange(1, pieces) / pieces)
-                found += [first, *(first + cuts).tolist()]
-                filled = share
-            elif filled + weight > share:
-                found.append(first)
-                filled = weight
-            else:
-                filled += weight
-        return np.unique(np.array(found, dtype=np.int64))
-
-
-def learned_own_weight(bins: list[tuple[int, int, int]], rare_tokens: int, rare_types: int) -> float:
-    """The weight of a rare word's own count, by expectation-maximisation on deleted counts."""
-    if rare_tokens < 2:
-        return 0.5
-    types, tokens = (np.array(x, dtype=float) for x in zip(*[(n, t) for _, n, t in bins], strict=True))
-    own = (tokens / types - 1) / (rare_tokens - 1)
-    other = 1 / (rare_types + 1)
-    weight = 0.5
-    for _ in range(STEPS):
-        weight = float((tokens * weight * own / (weight * own + (1 - weight) * other)).sum() / tokens.sum())
-    return min(max(weight, 1e-6), 1 - 1e-6)
-
-
-def unigrams(returned: DataFrame, beginnings: int, classes: int) -> Unigrams:
-    """The class words and totals; what is collected is bounded by ``classes`` and the number of bins."""
-    bins = sorted(
-        (line["block"], line["types"], line["tokens"])
-        for line in returned.where(F.col("kind") == BINS)
-        .groupBy("block")
-        .agg(F.sum("start").alias("types"), F.sum("n").alias("tokens"))
-        .collect()
-    )
-    types, tokens = sum(b[1] for b in bins), sum(b[2] for b in bins)
-    held, lowest = 0, int(count_bin(np.array([1 << 60]))[0])
-    for b, n, _ in reversed(bins):
-        if held + n > classes or b == 0:
-            break
-        held, lowest = held + n, b
-    schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
-
-    def frequent(lines: Iterator[tuple]) -> Iterator[tuple]:
-        for n, data in lines:
-            words = np.frombuffer(data, dtype=np.int64, count=n)
-            counts = np.frombuffer(data, dtype="<i8", offset=8 * n)
-            top = np.flatnonzero(count_bin(counts) >= lowest)
-            yield from zip(words[top].tolist(), counts[top].tolist(), strict=True)
-
-    vocabulary = returned.where(F.col("kind") == VOCABULARY).select("n", "data")
-    found = map_rows(vocabulary, "word bigint, n bigint", schema, frequent).collect()
-    words = np.array([line["word"] for line in found], dtype=np.int64).view(np.uint64)
-    order = np.argsort(words)
-    counts = np.array([line["n"] for line in found], dtype=np.int64)[order]
-    rare_types, rare_tokens = types - len(words), tokens - int(counts.sum())
-    own_weight = learned_own_weight([b for b in bins if b[0] < lowest], rare_tokens, rare_types)
-    return Unigrams(words[order], np.append(counts, [rare_tokens, beginnings]), tokens, types, rare_types, own_weight)
-
-
 def context_bucket(counts: np.ndarray) -> np.ndarray:
     """Buckets of contexts by how often they were seen: 0 for never, then doublings."""
     return np.where(counts > 0, 1 + np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64), 0)
@@ -338,51 +234,7 @@ def share_of_bin(bins: np.ndarray) -> np.ndarray:
     return np.where(bins == SHARES - 1, 0.0, 2.0 ** -((bins + 0.5) / SHARE_BINS))
 
 
-def bigram_exchange(blocks: DataFrame, shared, partitions: int) -> DataFrame:
-    """Training counts of the bigrams of each block, the classes of its words, and bins of deleted shares."""
-
-    def send(lines: Iterator[tuple]) -> Iterator[tuple]:
-        model, bounds = shared.value
-        for block, training, lengths, words, counts, tokens in lines:
-            classes = model.classes(unpacked_hashes(words))
-            lengths = unpacked(lengths)
-            _, keys = model.keys(classes[unpacked_tokens(tokens, counts)], lengths)
-            distinct, inverse = np.unique(keys, return_inverse=True)
-            trained = np.repeat(unpacked(training).astype(bool), lengths)
-            counts = np.bincount(inverse[trained], minlength=len(distinct))
-            yield block % partitions, CLASS_OF, block, 0, packed(classes), b""
-            for bucket, part in slices(distinct, bounds):
-                own = distinct[part]
-                yield bucket, TOTALS, block, part.start, packed(np.diff(own, prepend=0)), packed(counts[part])
-
-    def sum_up(group: list[tuple]) -> Iterator[tuple]:
-        model, _ = shared.value
-        parts = []
-        for kind, block, start, keys, counts in group:
-            if kind == CLASS_OF:
-                yield CLASS_OF, block, 0, 0, keys
-            else:
-                parts.append((block, start, np.cumsum(unpacked(keys)), unpacked(counts)))
-        if not parts:
-            return
-        keys, totals, back = summed(parts)
-        yield from back
-        seen = np.flatnonzero(totals)
-        totals, context, word = totals[seen], keys[seen] // (model.rare + 1), keys[seen] % (model.rare + 1)
-        in_context, alone = model.counts[context], model.counts[word]
-        after = share_bin((totals - 1) / np.maximum(in_context - 1, 1))
-        single = share_bin((alone - 1) / max(model.tokens - 1, 1))
-        code = (context_bucket(in_context) * SHARES + after) * SHARES + single
-        codes, inverse = np.unique(code, return_inverse=True)
-        weights = np.bincount(inverse, weights=totals)
-        for c, n in zip(codes.tolist(), weights.tolist(), strict=True):
-            yield BINS, c, 0, int(n), None
-
-    sent = map_rows(blocks.select("block", "training", "lengths", "words", "counts", "tokens"), SENT, SENT_SCHEMA, send)
-    return exchanged(sent, partitions, sum_up)
-
-
-def mixture_weights(bins: list[tuple[int, int]], classes: int) -> np.ndarray:
+def mixture_weights(bins: list[tuple[int, int]], words: int) -> np.ndarray:
     """Per bucket of contexts the weights of bigram, unigram and uniform estimates.
 
     Expectation-maximisation on the deleted shares of all training tokens; a bucket without any keeps
@@ -394,7 +246,7 @@ def mixture_weights(bins: list[tuple[int, int]], classes: int) -> np.ndarray:
         by_bucket.setdefault(code // SHARES // SHARES, []).append((code // SHARES % SHARES, code % SHARES, n))
     for bucket, found in by_bucket.items():
         after, single, n = (np.array(x) for x in zip(*found, strict=True))
-        parts = np.stack([share_of_bin(after), share_of_bin(single), np.full(len(n), 1 / classes)])
+        parts = np.stack([share_of_bin(after), share_of_bin(single), np.full(len(n), 1 / words)])
         shares = np.full(3, 1 / 3)
         for _ in range(STEPS):
             joint = shares[:, None] * parts
@@ -533,53 +385,11 @@ def by_words(blocks: DataFrame, counted: DataFrame, partitions: int) -> Converte
     return joined, convert
 
 
-def by_classes(blocks: DataFrame, counted: DataFrame, partitions: int, beginnings: int, classes: int) -> Converted:
-    """The same with at most so many ``classes``."""
-    spark = blocks.sparkSession
-    model = unigrams(counted, beginnings, classes)
-    bounds = model.bounds(partitions)
-    paired = written(bigram_exchange(blocks, spark.sparkContext.broadcast((model, bounds)), partitions), "bigrams")
-    bins = paired.where(F.col("kind") == BINS).groupBy("block").agg(F.sum("n").alias("n")).collect()
-    weights = mixture_weights([(line["block"], line["n"]) for line in bins], model.rare + 1)
-    shared = spark.sparkContext.broadcast((model, weights))
-    joined = (
-        blocks.select("block", "ids", "training", "lengths", "counts", "tokens")
-        .join(by_block(counted, TOTALS, "words"), "block")
-        .join(by_block(paired, CLASS_OF, "classes"), "block")
-        .join(by_block(paired, TOTALS, "pairs"), "block")
-        .drop("block")
-    )
-
-    def convert(lines: Iterator[tuple]) -> Iterator[tuple]:
-        model, weights = shared.value
-        n, v = model.tokens, model.types
-        for ids, training, lengths, counts, tokens, words, classes, pairs in lines:
-            lengths, tokens = unpacked(lengths), unpacked_tokens(tokens, counts)
-            seen = assembled(words)[tokens]
-            word = assembled(classes)[tokens]
-            context, keys = model.keys(word, lengths)
-            together = assembled(pairs)[np.unique(keys, return_inverse=True)[1]]
-            in_context = model.counts[context]
-            share = weights[context_bucket(in_context)]
-            p = share[:, 0] * together / np.maximum(in_context, 1)
-            p += share[:, 1] * model.counts[word] / max(n, 1) if n else share[:, 1] / (model.rare + 1)
-            p += share[:, 2] / (model.rare + 1)
-            score = np.log10(p)
-            rare = word == model.rare
-            own = model.own_weight if model.counts[model.rare] else 0.0
-            inside = own * seen[rare] / max(1, model.counts[model.rare]) + (1 - own) / (model.rare_types + 1)
-            score[rare] += np.log10(inside)
-            yield from summaries(ids, unpacked(training), lengths, seen, n, v, score)
-
-    return joined, convert
-
-
 def scores(
     docs: DataFrame,
     training: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    classes: int | None = None,
 ) -> DataFrame:
     """``(id, training, n_tokens, n_known, train_tokens, base_score, score)`` per row of ``docs``.
 
@@ -589,7 +399,7 @@ def scores(
     null and repeated rows are texts of their own; without training rows every token is unseen.
 
     Bigrams are told apart by 64-bit hashes: among n distinct ones, two are taken for the same with
-    probability n^2 / 2^65. ``classes`` limits the words that have estimates of their own.
+    probability n^2 / 2^65.
     """
     spark = docs.sparkSession
     partitions = exchange_partitions(spark)
@@ -597,11 +407,8 @@ def scores(
     kind = frame.schema["ids"].dataType.elementType.simpleString()
     id_type = arrow_schema(frame).field("ids").type.value_type
     blocks = written(frame, "token-blocks")
-    counted = written(unigram_exchange(blocks, partitions, classes is not None), "unigrams")
-    if classes is None:
-        joined, convert = by_words(blocks, counted, partitions)
-    else:
-        joined, convert = by_classes(blocks, counted, partitions, docs.where(training).count(), classes)
+    counted = written(unigram_exchange(blocks, partitions), "unigrams")
+    joined, convert = by_words(blocks, counted, partitions)
     out = pa.schema(
         [
             (id_col, id_type),
