@@ -7,8 +7,10 @@ within T (the pigeonhole principle), and only pairs within T are looked at furth
 confirmed on the full shingle sets.
 
 Documents with the same set are one node. Within a key, nodes are first compared with one leader;
-what that leaves in different components is compared in blocks, across components only. So a large
-group of near copies costs about one comparison per copy, and no link between components is lost.
+what that leaves in different components is compared in blocks, across components only: first each
+node with its nearest. Nodes that are still near others of another component are gathered in clusters
+and tested there on their full sets, so no row is made per pair of near documents that are not linked.
+A large group of near copies costs about one comparison per copy, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.llm.common import (
     Emitter,
@@ -40,6 +42,9 @@ from telemetra.llm.words import WordHashes, lower_words, shingle_hashes
 
 #: Nodes of a key that are compared with each other in one block.
 BLOCK_NODES = 1000
+#: Nodes, and shingles of their sets, of a cluster that are tested on each other in one block, about.
+CLUSTER_NODES = 200
+CLUSTER_SHINGLES = 1 << 20
 #: Shingles whose signatures are computed together.
 TOGETHER = 1 << 17
 #: Rows of groups, and pairs among them, that are compared at once.
@@ -188,28 +193,52 @@ def close_pairs(pairs: DataFrame, nodes: DataFrame, signature: Signature, percen
     return joined.mapInArrow(run, "a bigint, b bigint, apart int")
 
 
-def crossing_pairs(
-    members: DataFrame, nodes: DataFrame, signature: Signature, percent: int, partitions: int, nearest: bool
-) -> DataFrame:
-    """``(a, b, apart, key)`` that are near enough among members ``(key, node, component)`` of a key.
+def block_pairs(members: DataFrame, group: str, blocks: Column) -> DataFrame:
+    """``members`` once for each pair of blocks ``(low, high)`` of their group that has their ``own``.
 
-    Only pairs of different components count; with ``nearest`` only the closest one of each node in a
-    block. A key with many members is cut into blocks by a hash of the node, and each pair of blocks
-    is a group of its own, so no task ever holds more than two blocks of a key. A pair that shares
-    several keys is given under the first of them.
+    A group is cut into ``blocks`` by a hash of the node, so no task ever holds more than two blocks of it.
     """
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = members.join(sizes, "key").withColumn("own", own)
+    sizes = members.groupBy(group).agg(blocks.cast("int").alias("blocks"))
+    placed = members.join(sizes, group).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    placed = placed.select(
-        "key",
+    return placed.select(
+        group,
         F.least("own", "other").alias("low"),
         F.greatest("own", "other").alias("high"),
         "node",
         "component",
         "own",
     )
+
+
+def spanning_forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """The numbers of as few of the pairs ``(i, j)`` below ``n`` as connect what all of them connect."""
+    label, live, kept = np.arange(n), np.arange(len(i)), []
+    while len(live):
+        x, y = label[i[live]], label[j[live]]
+        apart = x != y
+        live, low, high = live[apart], np.minimum(x, y)[apart], np.maximum(x, y)[apart]
+        # Each label but the smallest of its neighbours hooks to a smaller one, so no circle is closed.
+        hooked, first = np.unique(high, return_index=True)
+        kept.append(live[first])
+        up = np.arange(n)
+        up[hooked] = low[first]
+        while (up != up[up]).any():
+            up = up[up]
+        label = up[label]
+    return np.sort(np.concatenate(kept)) if kept else live
+
+
+def crossing_pairs(
+    members: DataFrame, nodes: DataFrame, signature: Signature, percent: int, partitions: int, nearest: bool
+) -> DataFrame:
+    """``(a, b, apart, key)`` that are near enough among members ``(key, node, component)`` of a key.
+
+    Only pairs of different components count. With ``nearest`` the closest one of each node in a block is
+    given, else as few as connect what all of them connect. A pair that shares several keys is looked at
+    under the first of them.
+    """
+    placed = block_pairs(members, "key", F.ceil(F.count("*") / BLOCK_NODES))
     # Signatures join last: they are much larger than the rows they go to.
     placed = placed.join(nodes.select("node", "signature"), "node")
     placed = placed.select("key", "low", "high", "node", "component", "own", "signature")
@@ -247,6 +276,9 @@ def crossing_pairs(
                 order = np.lexsort((j, apart, i))
                 order = order[np.concatenate(([True], np.diff(i[order]) != 0))]
                 i, j, apart = i[order], j[order], apart[order]
+            elif not nearest:
+                few = spanning_forest(i, j, len(lines))
+                i, j, apart = i[few], j[few], apart[few]
             columns = np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), apart, key[i]
             yield pa.record_batch([pa.array(c) for c in columns], names=["a", "b", "apart", "key"])
 
@@ -313,6 +345,52 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return map_rows(joined, "a bigint, b bigint", pa.schema([("a", pa.int64()), ("b", pa.int64())]), convert)
 
 
+def set_links(
+    nodes: np.ndarray, component: np.ndarray, sets: list[np.ndarray], percent: int
+) -> Iterator[tuple[int, int]]:
+    """Links between nodes of different components, by their full sets: per node one to each component."""
+    _, part = np.unique(component, return_inverse=True)
+    sizes = np.array([len(s) for s in sets])
+    starts = np.cumsum(sizes) - sizes
+    values, number = np.unique(np.concatenate(sets), return_inverse=True)
+    held = np.zeros(len(values), dtype=bool)
+    # A pair of different components has a node outside of the largest one.
+    for i in np.flatnonzero(part != np.bincount(part).argmax()):
+        own = number[starts[i] : starts[i] + sizes[i]]
+        held[own] = True
+        both = np.add.reduceat(held[number], starts, dtype=np.int64)
+        held[own] = False
+        linked = np.flatnonzero((100 * both >= percent * (sizes[i] + sizes - both)) & (part != part[i]))
+        _, first = np.unique(part[linked], return_index=True)
+        for j in linked[first]:
+            yield int(nodes[i]), int(nodes[j])
+
+
+def cluster_links(members: DataFrame, texts: DataFrame, size: int, percent: int, partitions: int) -> DataFrame:
+    """``(a, b)``: links that connect all linked components of each cluster.
+
+    ``members`` is ``(cluster, node, component, n_shingles)``. All nodes of a cluster meet, block by block,
+    and each pair of different components is tested on its full sets.
+    """
+    blocks = F.ceil(F.greatest(F.count("*") / CLUSTER_NODES, F.sum("n_shingles") / CLUSTER_SHINGLES))
+    # Texts join last: they are much larger than the rows they go to.
+    placed = block_pairs(members, "cluster", blocks).join(texts, "node")
+    placed = placed.select("cluster", "low", "high", "node", "component", "packed")
+    grouped = placed.repartition(partitions, "cluster", "low", "high").sortWithinPartitions("cluster", "low", "high")
+
+    def convert(lines: Iterator[tuple]) -> Iterator[tuple]:
+        hashes, unpacker = WordHashes(), zstandard.ZstdDecompressor()
+        for _, group in itertools.groupby(lines, key=lambda line: line[:3]):
+            nodes, component, sets = [], [], []
+            for *_, node, label, packed in group:
+                nodes.append(node)
+                component.append(label)
+                sets.append(shingle_set(unpacker.decompress(packed), hashes, size))
+            yield from set_links(np.array(nodes), np.array(component), sets, percent)
+
+    return map_rows(grouped, "a bigint, b bigint", pa.schema([("a", pa.int64()), ("b", pa.int64())]), convert)
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
@@ -333,7 +411,9 @@ def near_duplicates(
     partitions = exchange_partitions(docs.sparkSession)
     profile = written(profiles(docs, signature, words, id_col, text_col), "profiles")
     nodes = written(
-        profile.where("node is not null").groupBy("node").agg(F.min(id_col).alias("id"), F.first("signature").alias("signature")),
+        profile.where("node is not null")
+        .groupBy("node")
+        .agg(F.min(id_col).alias("id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")),
         "nodes",
     )
     keys = chunk_keys(nodes, signature)
@@ -350,7 +430,6 @@ def near_duplicates(
     wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
     texts = written(node_texts(docs, wanted.join(nodes.select("node", "id"), "node"), words, id_col, text_col), "texts")
     links = written(confirmed(closest, texts, words, percent), "confirmed")
-    tested = closest
     # Components only grow: a key without a near pair between two of them has none later either.
     mixing = members.select("key")
     for nearest in (True, False):
@@ -361,20 +440,24 @@ def near_duplicates(
         mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
         held = placed.join(mixed.select("key"), "key", "left_semi").select("key", "node", "component")
         found = written(crossing_pairs(held, nodes, signature, percent, partitions, nearest), "crossing")
-        mixing = found.select("key").distinct()
-        seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = written(found.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti"), "crossing")
         if found.isEmpty():
             break
-        if pairs.isEmpty():
-            continue
-        more = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        mixing = found.select("key").distinct()
+        more = found.select(F.col("a").alias("node")).union(found.select("b")).distinct()
         missing = more.join(texts.select("node"), "node", "left_anti")
         if not missing.isEmpty():
             extra = node_texts(docs, missing.join(nodes.select("node", "id"), "node"), words, id_col, text_col)
             texts = texts.union(written(extra, "texts"))
-        links = links.union(written(confirmed(pairs, texts, words, percent), "confirmed"))
-        tested = tested.union(pairs)
+        if nearest:
+            seen = closest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            pairs = found.select("a", "b").distinct().join(seen, ["a", "b"], "left_anti")
+            more_links = confirmed(pairs, texts, words, percent)
+        else:
+            clusters = components(found.select("a", "b")).withColumnRenamed("component", "cluster")
+            inside = clusters.join(labels, "node", "left").join(nodes.select("node", "n_shingles"), "node")
+            inside = inside.select("cluster", "node", F.coalesce("component", "node").alias("component"), "n_shingles")
+            more_links = cluster_links(inside, texts, words, percent, partitions)
+        links = links.union(written(more_links, "confirmed"))
 
     labels = components(links)
     named = labels.join(nodes.select("node", "id"), "node")

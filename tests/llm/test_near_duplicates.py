@@ -72,6 +72,45 @@ def test_a_chain_through_one_large_group(documents, monkeypatch):
     assert found(documents(texts)) == brute(texts)
 
 
+def test_near_documents_that_are_not_linked_make_no_row_per_pair(documents, monkeypatch):
+    monkeypatch.setattr(ops, "CLUSTER_NODES", 60, raising=False)
+    source, base, made, written = random.Random(14), [f"w{i}" for i in range(200)], {}, ops.written
+
+    def counted(df, label):
+        out = written(df, label)
+        made.setdefault(label, []).append(out.count())
+        return out
+
+    texts = []
+    for i in range(240):  # most pairs are alike by 0.72, few by 0.8
+        text = list(base)
+        for at in source.sample(range(4, 196), 4):
+            text[at] = f"v{i}"
+        texts.append(text)
+    texts = [(i, " ".join(text)) for i, text in enumerate(texts)]
+    monkeypatch.setattr(ops, "written", counted)
+    assert found(documents(texts)) == brute(texts)
+    assert max(made["crossing"] + made["confirmed"]) <= made["members"][0]
+    assert made["confirmed"][-1] < 4 * len(texts)
+
+
+def test_a_forest_connects_what_the_pairs_connect():
+    rng = np.random.default_rng(15)
+    for n, m in ((1, 0), (30, 20), (50, 400), (200, 180)):
+        i, j = rng.integers(0, n, (2, m))
+        i, j = i[i != j], j[i != j]
+        few = ops.spanning_forest(i, j, n)
+
+        def roots(a, b, n=n):
+            label = np.arange(n)
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                label[label == max(label[x], label[y])] = min(label[x], label[y])
+            return label
+
+        assert (roots(i, j) == roots(i[few], j[few])).all()
+        assert len(few) == n - len(set(roots(i, j).tolist()))
+
+
 def test_signatures_find_every_pair_within_the_distance():
     rng = np.random.default_rng(12)
     signature = ops.Signature()
